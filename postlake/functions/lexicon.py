@@ -6,6 +6,8 @@ it: it works on whole words and phrases and knows no context.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,37 +136,57 @@ def word_line(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
-def _as_words(term: str) -> str:
-    return f" {term.replace('-', ' ')} "
+def _words(term: str) -> list[str]:
+    return term.replace("-", " ").split(" ")
+
+
+def anchors(*lexicons: dict[str, list[str]]) -> list[str]:
+    """The first words of all terms: a text without any of them has no term."""
+    terms = (term for lexicon in lexicons for listed in lexicon.values() for term in listed)
+    return list(dict.fromkeys(_words(term)[0] for term in terms))
+
+
+def anchors_found(line: Column, *lexicons: dict[str, list[str]]) -> Column:
+    """The first words of terms that the line holds: one pass with a hash set.
 
+    Each term is then tested on this short list, and only a phrase whose first
+    word is there is searched in the whole line.
+    """
+    return F.array_intersect(F.split(line, " "), F.array(*[F.lit(a) for a in anchors(*lexicons)]))
 
-def mentions(line: Column, terms: list[str]) -> Column:
-    """Whether a word line holds any of the terms as whole words."""
-    found = F.lit(False)
-    for term in terms:
-        found = found | F.contains(line, F.lit(_as_words(term)))
-    return found
 
+def has_term(line: Column, found: Column, term: str) -> Column:
+    """Whether the line holds a term as whole words."""
+    first, *rest = _words(term)
+    begins = F.array_contains(found, F.lit(first))
+    return begins & F.contains(line, F.lit(f" {' '.join([first, *rest])} ")) if rest else begins
 
-def tags(line: Column, lexicon: dict[str, list[str]]) -> Column:
-    """Names of all lists with a term in the word line, in list order."""
+
+def mentions(line: Column, found: Column, terms: list[str]) -> Column:
+    """Whether the line holds any of the terms."""
+    return reduce(lambda a, b: a | b, [has_term(line, found, term) for term in terms])
+
+
+def tags(line: Column, found: Column, lexicon: dict[str, list[str]]) -> Column:
+    """Names of all lists with a term in the line, in list order."""
     return F.array_compact(
-        F.array(*[F.when(mentions(line, terms), F.lit(name)) for name, terms in lexicon.items()])
+        F.array(*[F.when(mentions(line, found, ts), F.lit(name)) for name, ts in lexicon.items()])
     )
 
 
-def terms_found(line: Column, lexicon: dict[str, list[str]]) -> Column:
-    """All terms of all lists that the word line holds, each once."""
+def terms_found(line: Column, found: Column, lexicon: dict[str, list[str]]) -> Column:
+    """All terms of all lists that the line holds, each once."""
     terms = dict.fromkeys(term for listed in lexicon.values() for term in listed)
     return F.array_compact(
-        F.array(*[F.when(F.contains(line, F.lit(_as_words(t))), F.lit(t)) for t in terms])
+        F.array(*[F.when(has_term(line, found, term), F.lit(term)) for term in terms])
     )
 
 
-def first_tag(line: Column, lexicon: dict[str, list[str]], otherwise: str | None) -> Column:
-    """Name of the first list with a term in the word line."""
-    (name, terms), *rest = lexicon.items()
-    choice = F.when(mentions(line, terms), F.lit(name))
-    for name, terms in rest:
-        choice = choice.when(mentions(line, terms), F.lit(name))
-    return choice.otherwise(F.lit(otherwise))
+def first_tag(
+    line: Column, found: Column, lexicon: dict[str, list[str]], otherwise: str | None
+) -> Column:
+    """Name of the first list with a term in the line."""
+    return F.coalesce(
+        *[F.when(mentions(line, found, ts), F.lit(name)) for name, ts in lexicon.items()],
+        F.lit(otherwise),
+    )

@@ -7,45 +7,29 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- Fixed values: redaction rules, applied in this order --------------------
+# --- Fixed values: patterns of personal data, and the tokens they become ------
 #
-# The e-mail rule may begin only where no letter or digit precedes it, or right
-# after the previous match. That finds the same addresses as a rule without
-# this start condition (a failed run of letters fails from each of its
-# positions), but in linear time on long unbroken runs such as encoded blobs.
+# The e-mail pattern may begin only where no letter or digit precedes it, or
+# right after the previous match. That finds the same addresses as a pattern
+# without this condition (a run of letters that fails from its first position
+# fails from all), but in linear time on long unbroken runs such as encoded
+# blobs.
 URL = r"(?i)https?://\S+|\bwww\.[^\s]+"
 EMAIL = r"(?i)(?:\G|(?<![a-z0-9]))[a-z0-9][a-z0-9._%+-]*+@[a-z0-9][a-z0-9.-]*\.[a-z]{2,}"
 PHONE = r"\+?[0-9][0-9\-\s\(\)]{7,}[0-9]"
 USER = r"(?i)\bu/[a-z0-9_\-]+"
 COMMUNITY = r"(?i)\br/[a-z0-9_]+"
-
-REDACTIONS = [
-    (URL, "[URL]"),
-    (EMAIL, "[EMAIL]"),
-    (PHONE, "[PHONE]"),
-    (USER, "u/[USER]"),
-    (COMMUNITY, "r/[SUB]"),
-]
-
+WHITESPACE = r"\s+"
 SENTENCE_END = r"[.!?]+"
 
-# Any run of whitespace becomes one space. A lone space is left out of the
-# pattern because replacing it by itself would only cost time.
-WHITESPACE = r"\s{2,}|[\t\n\x0B\f\r]"
-
 PROMPT_ID = "{{POST_ID}}"
 PROMPT_TEXT = "{{POST_TEXT}}"
 PROMPT_TEXT_CHARS = 2000
 
 
-def collapse_whitespace(text: Column) -> Column:
-    """Every run of whitespace as a single space."""
-    return F.regexp_replace(text, WHITESPACE, " ")
-
-
 def normalise(content: Column) -> Column:
     """Missing content as '', outer spaces (only spaces) off, runs collapsed."""
-    return collapse_whitespace(F.trim(F.coalesce(content, F.lit(""))))
+    return F.regexp_replace(F.trim(F.coalesce(content, F.lit(""))), WHITESPACE, " ")
 
 
 def content_hash(title: Column, content: Column) -> Column:
@@ -54,14 +38,9 @@ def content_hash(title: Column, content: Column) -> Column:
     return F.md5(F.concat(F.coalesce(title, none), F.lit("|"), F.coalesce(content, none)))
 
 
-def redact(text: Column) -> Column:
-    """Replace links, addresses, numbers, users and communities by tokens."""
-    done = reduce(
-        lambda column, rule: F.regexp_replace(column, F.lit(rule[0]), F.lit(rule[1])),
-        REDACTIONS,
-        text,
-    )
-    return collapse_whitespace(done)
+def holds(text: Column, *literals: str) -> Column:
+    """Whether the text has any of the literals in it."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in literals])
 
 
 def count_of(text: Column, token: str) -> Column:

@@ -185,14 +185,20 @@ def to_annotations(results: DataFrame) -> DataFrame:
 
 def tag_by_lexicon(posts: DataFrame, column: str = "text_for_llm") -> DataFrame:
     """Keyword domains, terms, safety flags and stage by whole-word triggers."""
+    domains, triggers, stages = (
+        lexicon.KEYWORD_DOMAINS,
+        lexicon.SAFETY_TRIGGERS,
+        lexicon.STAGE_TRIGGERS,
+    )
     # The generator makes one row of one row; it keeps a filter on a tag from
     # being pushed below it, which would repeat the cleaning for every term.
     lines = posts.select("post_id", F.explode(F.array(lexicon.word_line(F.col(column)))).alias("_l"))
-    line = F.col("_l")
+    lines = lines.withColumn("_f", lexicon.anchors_found(F.col("_l"), domains, triggers, stages))
+    line, found = F.col("_l"), F.col("_f")
     return lines.select(
         "post_id",
-        lexicon.tags(line, lexicon.KEYWORD_DOMAINS).alias("domains"),
-        lexicon.terms_found(line, lexicon.KEYWORD_DOMAINS).alias("keywords"),
-        lexicon.tags(line, lexicon.SAFETY_TRIGGERS).alias("safety_flags"),
-        lexicon.first_tag(line, lexicon.STAGE_TRIGGERS, "unclear").alias("trimester"),
+        lexicon.tags(line, found, domains).alias("domains"),
+        lexicon.terms_found(line, found, domains).alias("keywords"),
+        lexicon.tags(line, found, triggers).alias("safety_flags"),
+        lexicon.first_tag(line, found, stages, "unclear").alias("trimester"),
     )

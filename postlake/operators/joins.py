@@ -63,8 +63,3 @@ def without_annotation(posts: DataFrame, annotations: DataFrame) -> DataFrame:
     seen = distinct_ids(annotations.filter(F.col("post_id").isNotNull()))
     joined = posts.join(seen.withColumn("_seen", F.lit(True)), "post_id", "left")
     return joined.filter(F.col("_seen").isNull()).drop("_seen")
-
-
-def not_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose post id the stored table does not hold, so re-runs add nothing."""
-    return new.join(distinct_ids(stored), "post_id", "left_anti")

@@ -24,15 +24,19 @@ TOP_LIMIT = 1000
 RANK_SALTS = 64
 
 
+def _of_day(raw: DataFrame, community: str, day: dt.date) -> DataFrame:
+    return raw.filter(
+        (F.col("post_date") >= start_of(day))
+        & (F.col("post_date") < start_of(day + dt.timedelta(days=1)))
+        & (F.lower("subreddit") == community.lower())
+    )
+
+
 def posts_for_day(
     raw: DataFrame, community: str, day: dt.date, max_posts: int | None = None
 ) -> DataFrame:
     """Posts of one community created on one day (UTC), oldest first."""
-    chosen = raw.filter(
-        (F.col("post_date") >= start_of(day))
-        & (F.col("post_date") < start_of(day + dt.timedelta(days=1)))
-        & (F.lower("subreddit") == community.lower())
-    ).orderBy("post_date", "post_id")
+    chosen = _of_day(raw, community, day).orderBy("post_date", "post_id")
     return chosen if max_posts is None else chosen.limit(max_posts)
 
 
@@ -102,4 +106,4 @@ def is_community_loaded(raw: DataFrame, name: str) -> bool:
 
 def is_day_loaded(raw: DataFrame, name: str, day: dt.date) -> bool:
     """Whether any post of a community and day is stored."""
-    return not posts_for_day(raw, name, day).isEmpty()
+    return not _of_day(raw, name, day).isEmpty()

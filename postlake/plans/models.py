@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions import lexicon, text
-from postlake.operators import arrays, dedupe, joins
+from postlake.operators import arrays, clean, dedupe, joins
 from postlake.schemas import ANNOTATION_COLUMNS, GOLD_COLUMNS, SILVER_COLUMNS
 
 
@@ -57,29 +57,11 @@ def bronze_without_text(raw: DataFrame) -> DataFrame:
 
 
 def silver(bronze_posts: DataFrame, **routing) -> DataFrame:
-    """Redacted text, its metrics and the routing flag.
-
-    The redacted text passes through a generator that makes one row of one row.
-    Without it a filter on ``needs_annotation`` or on a metric would be pushed
-    below the projection with a copy of the whole redaction for each use.
-    """
-    base = bronze_posts.filter(F.col("post_content_raw").isNotNull())
-    kept = [
-        "post_id",
-        "post_date",
-        "post_timestamp",
-        "post_flair",
-        "post_title",
-        F.col("url").alias("post_url"),
-        "subreddit",
-        "score",
-        "num_comments",
-        "scraped_at",
-        "content_hash",
-        F.col("post_content_raw").alias("text_raw"),
-    ]
-    clean = text.redact(F.col("post_content_raw"))
-    redacted = base.select(*kept, F.explode(F.array(clean)).alias("text_for_llm"))
+    """Redacted text, its metrics and the routing flag."""
+    base = bronze_posts.filter(F.col("post_content_raw").isNotNull()).withColumnsRenamed(
+        {"url": "post_url", "post_content_raw": "text_raw"}
+    )
+    redacted = clean.redact(base, "text_raw", "text_for_llm")
     measured = redacted.withColumns(text.text_metrics(F.col("text_for_llm")))
     flag = text.needs_annotation(
         F.col("text_for_llm"), F.col("n_words"), F.col("token_estimate"), **routing
@@ -164,19 +146,20 @@ def with_heuristics(
     def reaches(level: tuple[int, int]) -> Column:
         return (F.col("score") >= level[0]) | (F.col("num_comments") >= level[1])
 
+    clinical = {"clinical": lexicon.KEYWORD_DOMAINS["clinical"]}
     lines = silver_posts.withColumn("_l", lexicon.word_line(F.col("text_for_llm")))
+    line, found = F.col("_l"), F.col("_f")
+    lines = lines.withColumn("_f", lexicon.anchors_found(line, clinical, lexicon.PHASE_TRIGGERS))
     return lines.withColumns(
         {
             "lang_hint": text.lang_hint(F.col("text_for_llm")),
-            "has_medical_terms": lexicon.mentions(
-                F.col("_l"), lexicon.KEYWORD_DOMAINS["clinical"]
-            ),
-            "trimester_hint": lexicon.first_tag(F.col("_l"), lexicon.PHASE_TRIGGERS, None),
+            "has_medical_terms": lexicon.mentions(line, found, clinical["clinical"]),
+            "trimester_hint": lexicon.first_tag(line, found, lexicon.PHASE_TRIGGERS, None),
             "engagement_level": F.when(reaches(high), "high")
             .when(reaches(medium), "medium")
             .otherwise("low"),
         }
-    ).drop("_l")
+    ).drop("_l", "_f")
 
 
 def views(spark: SparkSession, raw: DataFrame, annotations: DataFrame) -> list[str]:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.operators import dedupe, joins
+from postlake.operators import dedupe, joins, select
 from postlake.operators.annotate import sanitise_free_text
 from postlake.schemas import (
     ANNOTATION,
@@ -35,21 +37,33 @@ def annotation_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(ANNOTATION_COLUMNS)
 
 
-def _create(spark: SparkSession, table: str, columns: str, location: str | None) -> None:
+def _create(
+    spark: SparkSession, table: str, columns: str, location: str | None, buckets: int | None
+) -> None:
     if "." in table:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
+    bucketing = f" CLUSTERED BY (post_id) INTO {buckets} BUCKETS" if buckets else ""
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{bucketing}{place}")
+
 
+def create_raw_table(
+    spark: SparkSession, table: str, location: str | None = None, buckets: int | None = None
+) -> None:
+    """Create the raw table unless it is there; a schema in the name as well.
 
-def create_raw_table(spark: SparkSession, table: str, location: str | None = None) -> None:
-    """Create the raw table unless it is there; a schema in the name as well."""
-    _create(spark, table, RAW_POST_DDL, location)
+    With ``buckets`` the rows lie by post id, and deduplication and the joins
+    behind it need no shuffle: it is paid once, on append. Leave it out where
+    one post may be scraped so often that its bucket would be too large.
+    """
+    _create(spark, table, RAW_POST_DDL, location, buckets)
 
 
-def create_annotation_table(spark: SparkSession, table: str, location: str | None = None) -> None:
+def create_annotation_table(
+    spark: SparkSession, table: str, location: str | None = None, buckets: int | None = None
+) -> None:
     """Create the annotation table unless it is there; a schema in the name as well."""
-    _create(spark, table, ANNOTATION_DDL, location)
+    _create(spark, table, ANNOTATION_DDL, location, buckets)
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -57,6 +71,16 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def community_loaded(spark: SparkSession, table: str, name: str) -> bool:
+    """Whether the table is there and holds a post of the community (exact case)."""
+    return table_exists(spark, table) and select.is_community_loaded(spark.table(table), name)
+
+
+def day_loaded(spark: SparkSession, table: str, name: str, day: dt.date) -> bool:
+    """Whether the table is there and holds a post of the community (any case) and day."""
+    return table_exists(spark, table) and select.is_day_loaded(spark.table(table), name, day)
+
+
 def append_posts(posts: DataFrame, table: str) -> None:
     """Append raw posts as they are. The table keeps every scrape of a post.
 
@@ -79,8 +103,8 @@ def append_posts_by_day(posts: DataFrame, path: str) -> None:
 
 def new_annotations(annotations: DataFrame, stored: DataFrame) -> DataFrame:
     """Clean annotations, one per post, of posts the stored table does not hold."""
-    fresh = joins.not_stored(annotations.select(ANNOTATION_COLUMNS), stored)
-    return sanitise_free_text(dedupe.latest_annotations(fresh))
+    named = annotations.filter(F.col("post_id").isNotNull()).select(ANNOTATION_COLUMNS)
+    return sanitise_free_text(joins.without_annotation(dedupe.latest_annotations(named), stored))
 
 
 def append_annotations(annotations: DataFrame, table: str) -> None:
