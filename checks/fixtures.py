@@ -33,10 +33,12 @@ def _id() -> Column:
 
 
 
+DOCUMENTS = "doc_id bigint, text string, lang string, source string"
+LABELS = "doc_id bigint, quality int, toxic int"
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", "text", "lang", "source"
-    )
+    return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
 def _at(seconds: Column) -> Column:
@@ -92,22 +94,31 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_posts_of(documents(spark, sf_dir))
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    array = F.array(*[F.lit(v) for v in values])
-    return F.element_at(array, (index % len(values) + 1).cast("int"))
+def _texts(values: list[str]) -> str:
+    """An array of text literals in Spark SQL."""
+    return "array(" + ", ".join(f'r"{v}"' for v in values) + ")"
+
+
+def _pick_sql(values: list[str], index: str) -> str:
+    return f"element_at({_texts(values)}, cast({index} % {len(values)} + 1 as int))"
+
+
+def _pick(values: list[str], index: str = "doc_id") -> Column:
+    return F.expr(_pick_sql(values, index))
 
 
 def _topic() -> Column:
     """A topic of the post's group."""
-    choice = F.lit(None)
-    for at, topics in enumerate(TOPICS.values()):
-        choice = F.when(_id() % 6 == at, _pick(topics, F.floor(_id() / 6))).otherwise(choice)
-    return choice
+    cases = " ".join(
+        f"when {at} then {_pick_sql(topics, 'doc_id div 6')}"
+        for at, topics in enumerate(TOPICS.values())
+    )
+    return F.expr(f"case doc_id % 6 {cases} end")
 
 
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotation for each labelled document."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir)
     words = F.split("text", " ")
     flags = (
@@ -122,17 +133,17 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     columns = {
         "post_id": F.concat(F.lit("d"), _id().cast("string")),
-        "primary_group": _pick(list(TOPICS), _id()),
+        "primary_group": _pick(list(TOPICS)),
         "primary_topic": _topic(),
         "secondary_topics": secondary,
-        "trimester": _pick(TRIMESTERS, _id()),
+        "trimester": _pick(TRIMESTERS),
         "sentiment": F.when(F.col("quality") == 1, SENTIMENTS[2]).otherwise(SENTIMENTS[0]),
         "urgency_0_3": (_id() % 4).cast("int"),
         "keywords": F.slice(words, 1, 6),
         "safety_flags": flags,
         "post_summary": F.concat(F.lit('Post "'), _id().cast("string"), F.lit('"\nwas labelled.')),
         "care_response": F.trim(F.repeat(F.lit("kind words "), (50 + _id() % 70).cast("int"))),
-        "model_name": _pick(["model-a", "model-b"], _id()),
+        "model_name": _pick(["model-a", "model-b"]),
         "model_version": F.lit("1.0.0"),
         "prompt_hash": text.prompt_hash(F.lit(TEMPLATE)),
         "input_tokens": F.ceil(F.length("text") / 4.0).cast("int"),
@@ -196,7 +207,7 @@ def _numbered(stem: str, n: Column) -> Column:
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotator output: mostly sound objects, and each kind of broken one."""
     kind = _id() % 9
-    group = _pick(list(TOPICS), _id())
+    group = _pick(list(TOPICS))
     topic = F.when(kind == 3, F.lit("no_such_topic")).otherwise(_topic())
     n_secondary = F.when(kind == 4, 4).otherwise(_id() % 4).cast("int")
     n_keywords = F.when(kind == 5, 4).when(kind == 6, 21).otherwise(5 + _id() % 16).cast("int")
@@ -209,7 +220,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             group.alias("primary_group"),
             topic.alias("primary_topic"),
             secondary.alias("secondary_topics"),
-            _pick(TRIMESTERS, _id()).alias("trimester"),
+            _pick(TRIMESTERS).alias("trimester"),
             F.lit("neutral").alias("sentiment"),
             (_id() % 4).cast("int").alias("urgency_0_3"),
             _numbered("k", n_keywords).alias("keywords"),
@@ -248,7 +259,7 @@ def tagged_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with a sentence of trigger words at the end."""
     return documents(spark, sf_dir).select(
         F.concat(F.lit("d"), _id().cast("string")).alias("post_id"),
-        F.concat("text", F.lit(" "), _pick(TRIGGER_PHRASES, _id())).alias("text_for_llm"),
+        F.concat("text", F.lit(" "), _pick(TRIGGER_PHRASES)).alias("text_for_llm"),
         ((_id() * 37) % 500).alias("score"),
         ((_id() * 13) % 80).alias("num_comments"),
     )

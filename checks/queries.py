@@ -397,7 +397,7 @@ def incremental_bronze(spark: SparkSession, sf: str) -> DataFrame:
     incremental.take_in_new(
         spark,
         f"{sf}/documents*.parquet",
-        spark.read.parquet(f"{sf}/documents.parquet").schema,
+        fx.documents(spark, sf).schema,
         target,
         scratch_path(spark, "bronze_progress"),
         shape=fx.raw_posts_of,

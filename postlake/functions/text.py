@@ -44,8 +44,12 @@ def holds(text: Column, *literals: str) -> Column:
 
 
 def count_of(text: Column, token: str) -> Column:
-    """How often a literal token occurs, without building a list of matches."""
-    gap = F.length(text) - F.length(F.replace(text, F.lit(token), F.lit("")))
+    """How often a literal ASCII token occurs.
+
+    From the bytes that go when it is taken out: byte lengths are stored with a
+    string, while its characters would have to be counted.
+    """
+    gap = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(token), F.lit("")))
     return gap if len(token) == 1 else (gap / len(token)).cast("int")
 
 
