@@ -1,0 +1,98 @@
+"""The physical plans that matter at scale."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import fixtures as fx
+from postlake.operators import joins, select
+from postlake.plans import models
+from postlake.sources import tables
+from tests.conftest import TINY
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """Raw posts and annotations as plain Parquet, joined without broadcast."""
+    root = tmp_path_factory.mktemp("stored")
+    fx.raw_posts(spark, TINY).write.parquet(str(root / "raw"))
+    fx.annotations(spark, TINY).write.parquet(str(root / "notes"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    yield (
+        tables.raw_posts(spark, str(root / "raw")),
+        tables.annotations(spark, str(root / "notes")),
+    )
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def read_columns(text: str) -> list[set[str]]:
+    return [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+
+
+def test_filter_on_metrics_does_not_repeat_redaction(stored):
+    silver = models.silver(models.bronze(stored[0]))
+    text = plan(silver.filter("needs_annotation and n_urls_redacted > 0"))
+    assert text.count("[EMAIL]") == plan(silver).count("[EMAIL]")
+    assert text.count("regexp_replace") == plan(silver).count("regexp_replace")
+
+
+def test_gold_shuffles_each_side_once(stored):
+    raw, notes = stored
+    text = plan(models.gold(models.silver(models.bronze(raw)), notes))
+    assert text.count("Exchange") == 2
+
+
+def test_pending_drops_known_posts_before_cleaning(stored):
+    text = plan(models.pending(*stored))
+    join, redaction = text.index("LeftOuter"), text.index("(?i)https?://")
+    assert redaction < join  # printed from the root: the join is below
+    dedupe = text.index("WindowGroupLimit")
+    assert join < dedupe  # and the deduplication below the join
+    assert text.count("Exchange") == 2
+
+
+def test_array_marts_read_one_raw_column(spark, stored):
+    raw, notes = stored
+    review = models.review_of_ids(raw, notes, ["keywords"])
+    columns = read_columns(plan(models.keywords_exploded(review)))
+    assert {"post_id"} in columns
+    assert {"post_id", "keywords"} in columns
+    assert len(columns) == 2
+
+
+def test_reports_without_text_do_not_read_it(spark, stored):
+    raw, notes = stored
+    posts = models.bronze_without_text(raw)
+    for df in (select.top_posts(posts), joins.with_annotations(posts, notes)):
+        columns = read_columns(plan(df))
+        assert columns and all("content" not in names for names in columns)
+
+
+def test_day_slice_reaches_the_scan(spark, stored):
+    text = plan(select.posts_for_day(stored[0], "src1", dt.date(2024, 1, 2)))
+    assert "GreaterThanOrEqual(post_date" in text and "LessThan(post_date" in text
+
+
+def test_id_filter_passes_the_deduplication(stored):
+    text = plan(models.silver(models.bronze(stored[0])).filter(F.col("post_id").isin("d1", "d2")))
+    assert "In(post_id, [d1,d2])" in text
+
+
+def test_silver_is_compiled(stored):
+    """No operator of the text work falls out of whole-stage code generation."""
+    df = models.silver(models.bronze(stored[0]))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    work = [line for line in final.splitlines() if "Generate explode" in line or "Project [" in line]
+    assert len(work) > 7
+    assert all(re.search(r"\*\(\d+\) (Generate|Project)", line) for line in work)
