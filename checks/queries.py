@@ -327,19 +327,17 @@ def prompt_render(spark: SparkSession, sf: str) -> DataFrame:
     return annotate.render_prompts(silver(spark, sf), fx.TEMPLATE)
 
 
-def label_by_length(prompts: list[str]) -> list[annotate.Reply]:
-    """A stand-in annotator whose answers follow from the prompt's length."""
-    replies = []
-    for prompt in prompts:
-        size = len(prompt)
-        if size % 50 == 0:
-            raise ValueError("no answer")
-        answer = {"sentiment": "neutral", "urgency_0_3": size % 4, "keywords": [f"k{size}"]}
-        replies.append((json.dumps(answer), size // 4, size % 100))
-    return replies
-
-
 def annotate_batch(spark: SparkSession, sf: str) -> DataFrame:
+    def label_by_length(texts: list[str]) -> list[annotate.Reply]:
+        """A stand-in annotator whose answers follow from the prompt's length."""
+        replies = []
+        for size in map(len, texts):
+            if size % 50 == 0:
+                raise ValueError("no answer")
+            answer = {"sentiment": "neutral", "urgency_0_3": size % 4, "keywords": [f"k{size}"]}
+            replies.append((json.dumps(answer), size // 4, size % 100))
+        return replies
+
     prompts = annotate.render_prompts(pending_posts(spark, sf), fx.TEMPLATE)
     replies = annotate.annotate(prompts, label_by_length, partitions=8)
     results = annotate.with_metadata(

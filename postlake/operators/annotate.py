@@ -47,40 +47,42 @@ def render_prompts(posts: DataFrame, template: str) -> DataFrame:
     )
 
 
-def _ask(annotator: Annotator, prompts: list[str]) -> list[tuple]:
-    """Replies with status; when a batch fails, each prompt is tried by itself."""
-    try:
-        replies = annotator(prompts)
-        if len(replies) != len(prompts):
-            raise ValueError(f"{len(replies)} replies to {len(prompts)} prompts")
-        return [(*reply, "ok", None) for reply in replies]
-    except Exception as failure:
-        if len(prompts) == 1:
-            return [(None, None, None, "failed", f"{type(failure).__name__}: {failure}")]
-        return [row for prompt in prompts for row in _ask(annotator, [prompt])]
-
-
 def annotate(
     prompts: DataFrame, annotator: Annotator, partitions: int | None = None, batch: int = 64
 ) -> DataFrame:
     """Run the caller's annotator over all prompts in distributed batches.
 
     ``partitions`` sets how many batches run side by side. The post id is the
-    one of the input row. A failing prompt gives a row with status 'failed' and
-    never stops the job.
+    one of the input row. When a batch fails, each of its prompts is tried by
+    itself; a failing prompt gives a row with status 'failed' and never stops
+    the job.
     """
     if partitions:
         prompts = prompts.repartition(partitions, "post_id")
 
+    # Both functions travel to the workers by value, so the workers need not
+    # have this package installed.
+    def ask(texts: list[str]) -> list[tuple]:
+        try:
+            replies = annotator(texts)
+            if len(replies) != len(texts):
+                raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
+            return [(*reply, "ok", None) for reply in replies]
+        except Exception as failure:
+            if len(texts) == 1:
+                return [(None, None, None, "failed", f"{type(failure).__name__}: {failure}")]
+            return [row for one in texts for row in ask([one])]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
-                rows = _ask(annotator, part["prompt"].tolist())
+                rows = ask(part["prompt"].tolist())
                 replies = [(post_id, *row) for post_id, row in zip(part["post_id"], rows)]
-                reply = pd.DataFrame(replies, columns=REPLY.fieldNames())
+                reply = pd.DataFrame(replies, columns=names)
                 yield reply.astype({"input_tokens": "Int32", "output_tokens": "Int32"})
 
+    names = REPLY.fieldNames()
     return prompts.select("post_id", "prompt").mapInPandas(run, REPLY)
 
 

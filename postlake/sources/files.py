@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text survives as it is: quotes doubled, outer spaces and line breaks kept,
-# and "" told apart from a missing value.
+# Text survives as it is: quotes doubled, outer spaces and line breaks kept.
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
-    "emptyValue": '""',
-    "nullValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
@@ -39,7 +36,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
     # A line break may stand inside a quoted value, so a file is read as a whole
     # by one task; the writer's many part files keep the read parallel.
-    options = CSV_OPTIONS | {"multiLine": "true", "emptyValue": ""}
+    # An empty field is a missing value and "" is empty text; the reader takes
+    # both for missing unless its mark of a missing value is something else.
+    options = CSV_OPTIONS | {"multiLine": "true", "nullValue": "\0"}
     rows = spark.read.schema(flat).options(**options).csv(path)
     return rows.withColumns({name: F.from_json(name, kind) for name, kind in arrays.items()})
 
