@@ -59,16 +59,16 @@ redacted as (
       '\s+', ' ', 'g') as text_for_llm
   from bronze),
 measured as (
-  select *, length(text_for_llm) as n_chars,
-    len(string_split(text_for_llm, ' ')) as n_words,
-    greatest(len(regexp_extract_all(text_for_llm, '[\.!?]+')), 1) as n_sentences,
-    len(regexp_extract_all(text_for_llm, '\?')) as n_questions,
-    len(regexp_extract_all(text_for_llm, '!')) as n_exclaims,
-    len(regexp_extract_all(text_for_llm, '\[URL\]')) as n_urls_redacted,
-    len(regexp_extract_all(text_for_llm, '\[EMAIL\]')) as n_emails_redacted,
-    len(regexp_extract_all(text_for_llm, '\[PHONE\]')) as n_phones_redacted,
-    len(regexp_extract_all(text_for_llm, 'u/\[USER\]')) as n_usernames_redacted,
-    len(regexp_extract_all(text_for_llm, 'r/\[SUB\]')) as n_subreddits_redacted,
+  select *, cast(length(text_for_llm) as int) as n_chars,
+    cast(len(string_split(text_for_llm, ' ')) as int) as n_words,
+    cast(greatest(len(regexp_extract_all(text_for_llm, '[\.!?]+')), 1) as int) as n_sentences,
+    cast(len(regexp_extract_all(text_for_llm, '\?')) as int) as n_questions,
+    cast(len(regexp_extract_all(text_for_llm, '!')) as int) as n_exclaims,
+    cast(len(regexp_extract_all(text_for_llm, '\[URL\]')) as int) as n_urls_redacted,
+    cast(len(regexp_extract_all(text_for_llm, '\[EMAIL\]')) as int) as n_emails_redacted,
+    cast(len(regexp_extract_all(text_for_llm, '\[PHONE\]')) as int) as n_phones_redacted,
+    cast(len(regexp_extract_all(text_for_llm, 'u/\[USER\]')) as int) as n_usernames_redacted,
+    cast(len(regexp_extract_all(text_for_llm, 'r/\[SUB\]')) as int) as n_subreddits_redacted,
     cast(ceil(length(text_for_llm) / 4.0) as bigint) as token_estimate
   from redacted),
 silver as (
@@ -436,8 +436,9 @@ ORACLE: dict[str, str] = {
         TO_BRONZE,
         """
         select * from (
-          select subreddit, row_number() over (partition by subreddit order by score desc, post_id)
-            as top_rank, post_id, score, post_title
+          select subreddit, cast(row_number() over (
+              partition by subreddit order by score desc, post_id) as int) as top_rank,
+            post_id, score, post_title
           from bronze
           where post_date >= (select max(post_date) from raw_posts) - interval 30 day)
         where top_rank <= 1000

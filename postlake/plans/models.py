@@ -123,11 +123,18 @@ def pending(raw: DataFrame, annotations: DataFrame, limit: int | None = None) ->
     what is new. The order by id makes the limited choice repeatable.
     """
     unseen = joins.without_annotation(bronze(raw), annotations)
-    return pending_of(silver(unseen), limit)
+    return _to_annotate(silver(unseen), limit)
 
 
-def pending_of(unseen: DataFrame, limit: int | None = None) -> DataFrame:
-    """The rows of unannotated silver posts to annotate next."""
+def pending_of_silver(
+    silver_posts: DataFrame, annotations: DataFrame, limit: int | None = None
+) -> DataFrame:
+    """The same from a stored silver table, whose flag is a filter of the scan."""
+    wanted = silver_posts.filter("needs_annotation")
+    return _to_annotate(joins.without_annotation(wanted, annotations), limit)
+
+
+def _to_annotate(unseen: DataFrame, limit: int | None) -> DataFrame:
     chosen = unseen.filter("needs_annotation").select("post_id", "text_for_llm", "text_raw")
     return chosen if limit is None else chosen.orderBy("post_id").limit(limit)
 

@@ -61,6 +61,17 @@ def test_pending_drops_known_posts_before_cleaning(stored):
     assert text.count("Exchange") == 2
 
 
+def test_stored_silver_is_filtered_in_the_scan(spark, stored, tmp_path):
+    raw, notes = stored
+    models.silver(models.bronze(raw)).write.parquet(str(tmp_path / "silver"))
+    pending = models.pending_of_silver(spark.read.parquet(str(tmp_path / "silver")), notes)
+    text = plan(pending)
+    assert "EqualTo(needs_annotation,true)" in text and "regexp_replace" not in text
+    assert {"post_id", "text_raw", "text_for_llm", "needs_annotation"} in read_columns(text)
+    fresh = models.pending(raw, notes)
+    assert pending.exceptAll(fresh).isEmpty() and fresh.exceptAll(pending).isEmpty()
+
+
 def test_array_marts_read_one_raw_column(spark, stored):
     raw, notes = stored
     review = models.review_of_ids(raw, notes, ["keywords"])
