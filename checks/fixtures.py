@@ -120,7 +120,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotation for each labelled document."""
     labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir)
-    words = F.split("text", " ")
+    first_words = F.split(F.substring_index("text", " ", 6), " ")
     flags = (
         F.when(F.col("toxic") == 1, F.array(F.lit("urgent_bleeding"), F.lit("mental_health_crisis")))
         .when(_id() % 7 == 0, F.array(F.lit("Urgent_Pain")))
@@ -139,7 +139,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trimester": _pick(TRIMESTERS),
         "sentiment": F.when(F.col("quality") == 1, SENTIMENTS[2]).otherwise(SENTIMENTS[0]),
         "urgency_0_3": (_id() % 4).cast("int"),
-        "keywords": F.slice(words, 1, 6),
+        "keywords": first_words,
         "safety_flags": flags,
         "post_summary": F.concat(F.lit('Post "'), _id().cast("string"), F.lit('"\nwas labelled.')),
         "care_response": F.trim(F.repeat(F.lit("kind words "), (50 + _id() % 70).cast("int"))),

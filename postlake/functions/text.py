@@ -53,6 +53,11 @@ def count_of(text: Column, token: str) -> Column:
     return gap if len(token) == 1 else (gap / len(token)).cast("int")
 
 
+def count_of_token(text: Column, token: str) -> Column:
+    """How often a redaction token occurs; most texts have no bracket at all."""
+    return F.when(holds(text, "["), count_of(text, token)).when(text.isNotNull(), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     """Pieces between single spaces: '' is one word, edge spaces add empty ones."""
     return count_of(text, " ") + 1
@@ -75,11 +80,11 @@ def text_metrics(text: Column) -> dict[str, Column]:
         "n_sentences": sentence_count(text),
         "n_questions": count_of(text, "?"),
         "n_exclaims": count_of(text, "!"),
-        "n_urls_redacted": count_of(text, "[URL]"),
-        "n_emails_redacted": count_of(text, "[EMAIL]"),
-        "n_phones_redacted": count_of(text, "[PHONE]"),
-        "n_usernames_redacted": count_of(text, "u/[USER]"),
-        "n_subreddits_redacted": count_of(text, "r/[SUB]"),
+        "n_urls_redacted": count_of_token(text, "[URL]"),
+        "n_emails_redacted": count_of_token(text, "[EMAIL]"),
+        "n_phones_redacted": count_of_token(text, "[PHONE]"),
+        "n_usernames_redacted": count_of_token(text, "u/[USER]"),
+        "n_subreddits_redacted": count_of_token(text, "r/[SUB]"),
         "token_estimate": token_estimate(text),
     }
 

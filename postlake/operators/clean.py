@@ -25,25 +25,30 @@ RULES = [
     Rule(text.URL, "[URL]", lambda t: text.holds(t, "://") | text.holds(F.lower(t), "www.")),
     Rule(text.EMAIL, "[EMAIL]", lambda t: text.holds(t, "@")),
     Rule(text.PHONE, "[PHONE]"),
-    Rule(text.USER, "u/[USER]", lambda t: text.holds(t, "u/", "U/")),
-    Rule(text.COMMUNITY, "r/[SUB]", lambda t: text.holds(t, "r/", "R/")),
-    Rule(text.WHITESPACE, " ", lambda t: text.holds(t, "  ", "\t", "\n", "\x0b", "\f", "\r")),
+    Rule(text.USER, "u/[USER]", lambda t: text.holds(t, "/") & text.holds(t, "u/", "U/")),
+    Rule(text.COMMUNITY, "r/[SUB]", lambda t: text.holds(t, "/") & text.holds(t, "r/", "R/")),
 ]
 
+COLLAPSE = Rule(text.WHITESPACE, " ")
 
-def redact(df: DataFrame, source: str, target: str) -> DataFrame:
+
+def redact(df: DataFrame, source: str, target: str, collapsed: bool = False) -> DataFrame:
     """Add ``target``: the source text with personal data replaced by tokens.
 
     Most texts lack most kinds, and finding that by literal search is many
     times cheaper than by pattern. Each rule is a projection of its own, so the
     text it tests and changes is computed once.
 
+    The last rule turns runs of whitespace into single spaces. ``collapsed``
+    says that the source has none: as no token is empty or holds whitespace, the
+    other rules cannot make one, and the pass is left out.
+
     In the end the text passes through a generator that makes one row of one
     row. Without it a filter on the text, or on anything computed from it, would
     be pushed below all rules with a copy of them for each use.
     """
     step = df.withColumn(target, F.col(source))
-    for rule in RULES:
+    for rule in RULES if collapsed else [*RULES, COLLAPSE]:
         now = F.col(target)
         changed = F.regexp_replace(now, F.lit(rule.pattern), F.lit(rule.token))
         if rule.may_match:

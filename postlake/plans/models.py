@@ -61,7 +61,7 @@ def silver(bronze_posts: DataFrame, **routing) -> DataFrame:
     base = bronze_posts.filter(F.col("post_content_raw").isNotNull()).withColumnsRenamed(
         {"url": "post_url", "post_content_raw": "text_raw"}
     )
-    redacted = clean.redact(base, "text_raw", "text_for_llm")
+    redacted = clean.redact(base, "text_raw", "text_for_llm", collapsed=True)
     measured = redacted.withColumns(text.text_metrics(F.col("text_for_llm")))
     flag = text.needs_annotation(
         F.col("text_for_llm"), F.col("n_words"), F.col("token_estimate"), **routing

@@ -77,6 +77,16 @@ def test_redaction_equals_plain_patterns(spark):
     assert not wrong, wrong[:3]
 
 
+def test_collapsed_source_needs_no_last_pass(spark):
+    rng = random.Random(11)
+    parts = list("abur01@@..-/ ()") + ["www.", "http://", "u/", "r/", "a@b.com", "+1 (743) 555-0199"]
+    values = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    df = df.withColumn("s", text.normalise(F.col("s")))
+    both = clean.redact(clean.redact(df, "s", "short", collapsed=True), "s", "full")
+    assert both.filter("short <> full").isEmpty()
+
+
 def test_second_redaction_changes_nothing(spark):
     df = spark.createDataFrame([(c[0],) for c in CASES], "s string")
     once = clean.redact(df, "s", "t")
@@ -94,6 +104,7 @@ def test_email_rule_is_linear_on_long_runs(spark):
 def test_missing_text(spark):
     df = spark.createDataFrame([(None,)], "s string")
     assert clean.redact(df, "s", "t").first().t is None
+    assert df.select(text.count_of_token(F.col("s"), "[URL]").alias("n")).first().n is None
     assert df.select(text.normalise(F.col("s")).alias("n")).first().n == ""
 
 
