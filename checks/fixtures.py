@@ -20,9 +20,11 @@ from postlake.schemas import (
 )
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
+DOCUMENTS = "doc_id bigint, text string, lang string, source string"
+LABELS = "doc_id bigint, quality int, toxic int"
 TEMPLATE = (
     "Label the post below and answer with one JSON object.\n"
-    'post_id: "{{POST_id()}}"\n'
+    'post_id: "{{POST_ID}}"\n'
     'post_text: "{{POST_TEXT}}"\n'
     "Keep {{braces}} as they are.\n"
 )
@@ -32,11 +34,6 @@ def _id() -> Column:
     return F.col("doc_id")
 
 
-
-DOCUMENTS = "doc_id bigint, text string, lang string, source string"
-LABELS = "doc_id bigint, quality int, toxic int"
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from postlake.functions import lexicon, text
 from postlake.functions.time import instant
+from postlake.operators.once import add_once
 from postlake.schemas import (
     ANNOTATION_COLUMNS,
     RESPONSE,
@@ -92,7 +93,7 @@ def parse_responses(replies: DataFrame) -> DataFrame:
     ``echoed_id`` is the id the response claims. Text that is no JSON object
     turns the status to 'failed'; a field of the wrong type becomes null.
     """
-    parsed = replies.withColumn("r", F.from_json("response", RESPONSE))
+    parsed = add_once(replies, "r", F.from_json("response", RESPONSE))
     is_object = F.json_object_keys("response").isNotNull()
     fields = [f"r.{name}" for name in RESPONSE.fieldNames() if name != "post_id"]
     has_status = "status" in replies.columns
@@ -136,7 +137,7 @@ def sanitise_free_text(annotations: DataFrame) -> DataFrame:
 
 
 def _none_of(array: Column, allowed: list[str]) -> Column:
-    return F.size(F.array_except(array, F.array(*[F.lit(a) for a in allowed]))) > 0
+    return F.array_size(F.array_except(array, F.array(*[F.lit(a) for a in allowed]))) > 0
 
 
 def _violations(columns: list[str]) -> dict[str, Column]:
@@ -152,11 +153,11 @@ def _violations(columns: list[str]) -> dict[str, Column]:
     rules = {
         "primary_group": ~col("primary_group").isin(list(TOPICS)),
         "primary_topic": ~topic_fits,
-        "secondary_topics": F.coalesce(F.size("secondary_topics"), F.lit(0)) > 3,
+        "secondary_topics": F.coalesce(F.array_size("secondary_topics"), F.lit(0)) > 3,
         "trimester": ~col("trimester").isin(TRIMESTERS),
         "sentiment": ~col("sentiment").isin(SENTIMENTS),
         "urgency_0_3": ~col("urgency_0_3").between(0, 3),
-        "keyword_count": ~F.size("keywords").between(5, 20),
+        "keyword_count": ~F.array_size("keywords").between(5, 20),
         "keyword_case": F.exists("keywords", lambda k: k != F.lower(k)),
         "safety_flags": _none_of(col("safety_flags"), SAFETY_FLAGS),
         "post_summary": col("post_summary").isNull() | ~sentences.between(1, 3),
@@ -177,7 +178,7 @@ def validate(annotations: DataFrame) -> DataFrame:
         for name, condition in _violations(annotations.columns).items()
     ]
     checked = annotations.withColumn("violations", F.array_compact(F.array(*broken)))
-    return checked.withColumn("is_valid", F.size("violations") == 0)
+    return checked.withColumn("is_valid", F.array_size("violations") == 0)
 
 
 def to_annotations(results: DataFrame) -> DataFrame:
@@ -192,10 +193,8 @@ def tag_by_lexicon(posts: DataFrame, column: str = "text_for_llm") -> DataFrame:
         lexicon.SAFETY_TRIGGERS,
         lexicon.STAGE_TRIGGERS,
     )
-    # The generator makes one row of one row; it keeps a filter on a tag from
-    # being pushed below it, which would repeat the cleaning for every term.
-    lines = posts.select("post_id", F.explode(F.array(lexicon.word_line(F.col(column)))).alias("_l"))
-    lines = lines.withColumn("_f", lexicon.anchors_found(F.col("_l"), domains, triggers, stages))
+    lines = posts.select("post_id", lexicon.word_line(F.col(column)).alias("_l"))
+    lines = add_once(lines, "_f", lexicon.anchors_found(F.col("_l"), domains, triggers, stages))
     line, found = F.col("_l"), F.col("_f")
     return lines.select(
         "post_id",

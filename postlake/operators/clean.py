@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions import text
+from postlake.operators.once import add_once
 
 
 @dataclass(frozen=True)
@@ -43,9 +44,7 @@ def redact(df: DataFrame, source: str, target: str, collapsed: bool = False) ->
     says that the source has none: as no token is empty or holds whitespace, the
     other rules cannot make one, and the pass is left out.
 
-    In the end the text passes through a generator that makes one row of one
-    row. Without it a filter on the text, or on anything computed from it, would
-    be pushed below all rules with a copy of them for each use.
+    The result is added so that no filter repeats the rules below it.
     """
     step = df.withColumn(target, F.col(source))
     for rule in RULES if collapsed else [*RULES, COLLAPSE]:
@@ -54,5 +53,4 @@ def redact(df: DataFrame, source: str, target: str, collapsed: bool = False) ->
         if rule.may_match:
             changed = F.when(rule.may_match(now), changed).otherwise(now)
         step = step.withColumn(target, changed)
-    kept = [c for c in step.columns if c != target]
-    return step.select(*kept, F.explode(F.array(target)).alias(target))
+    return add_once(step, target, F.col(target))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.functions.time import instant
+from postlake.operators.once import add_once
 from postlake.schemas import ARCHIVE_RECORD, RAW_COLUMNS
 
 # --- Fixed values: link prefixes of the two feeds -----------------------------
@@ -28,7 +29,7 @@ def _or_default(field: str, default) -> Column:
 
 def parse_archive(records: DataFrame) -> DataFrame:
     """JSON text in ``value`` next to its typed form ``r``; bad text gives nulls."""
-    return records.withColumn("r", F.from_json("value", ARCHIVE_RECORD))
+    return add_once(records, "r", F.from_json("value", ARCHIVE_RECORD))
 
 
 def _is_usable() -> Column:

@@ -170,14 +170,18 @@ def with_heuristics(
 
 
 def views(spark: SparkSession, raw: DataFrame, annotations: DataFrame) -> list[str]:
-    """Register every model as a temporary view; returns the view names."""
+    """Register every model as a temporary view; returns the view names.
+
+    The marts on arrays equal those of ``post_review`` but read no text.
+    """
     models = {"bronze": bronze(raw)}
     models["silver"] = silver(models["bronze"])
     models["gold"] = gold(models["silver"], annotations)
     models["post_review"] = post_review(models["gold"])
-    models["keywords_exploded"] = keywords_exploded(models["post_review"])
-    models["safety_flags_exploded"] = safety_flags_exploded(models["post_review"])
-    models["safety_booleans"] = safety_booleans(models["post_review"])
+    arrays_only = review_of_ids(raw, annotations, ["keywords", "safety_flags"])
+    models["keywords_exploded"] = keywords_exploded(arrays_only)
+    models["safety_flags_exploded"] = safety_flags_exploded(arrays_only)
+    models["safety_booleans"] = safety_booleans(arrays_only)
     for name, model in models.items():
         model.createOrReplaceTempView(name)
     return list(models)

@@ -112,3 +112,14 @@ def test_materialised_model(spark, make_raw, tmp_path):
     silver = models.silver(models.bronze(make_raw({"post_id": "a", "content": "b c d e f"})))
     stored = tables.materialise(silver, "silver_stored", 2, str(tmp_path / "silver"))
     assert same(stored, silver)
+
+
+def test_views(spark, make_raw, make_annotations):
+    raw = make_raw({"post_id": "a", "content": "x y"}, {"post_id": "b", "subreddit": "S"})
+    notes = make_annotations({"post_id": "a", "keywords": ["Iron"], "safety_flags": ["urgent_pain"]})
+    names = models.views(spark, raw, notes)
+    assert [n for n in names if not spark.catalog.tableExists(n)] == []
+    row = spark.sql(
+        "select * from post_review join keywords_exploded using (post_id) join safety_booleans using (post_id)"
+    ).first()
+    assert (row.post_id, row.text_for_llm, row.keyword, row.is_urgent_pain) == ("a", "x y", "iron", True)

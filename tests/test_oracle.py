@@ -41,5 +41,7 @@ def test_known_figures(spark):
     assert queries["scan_raw_posts"](spark, SMALL).count() == 1200
     assert queries["scan_annotations"](spark, SMALL).count() == 399
     assert queries["pending_posts"](spark, SMALL).count() == 542
+    prompts = queries["prompt_render"](spark, SMALL)
+    assert prompts.filter("not contains(prompt, post_id) or contains(prompt, 'POST_')").isEmpty()
     kpis = queries["safety_kpis"](spark, SMALL).first()
     assert (kpis["urgent_bleeding_posts"], kpis["urgent_pain_posts"]) == (51, 0)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from postlake.operators import joins, select
+from postlake.operators import annotate, joins, select, shape
 from postlake.plans import models
 from postlake.sources import tables
 from tests.conftest import TINY
@@ -46,6 +46,15 @@ def test_filter_on_metrics_does_not_repeat_redaction(stored):
     assert text.count("regexp_replace") == plan(silver).count("regexp_replace")
 
 
+def test_json_is_parsed_once(spark):
+    landed = spark.createDataFrame([("a", "{}")], "post_id string, value string")
+    shaped = shape.shape_archive(landed, dt.datetime(2024, 1, 1))
+    assert plan(shaped.filter("score > 3 and title <> ''")).count("from_json") == 1
+    replies = landed.withColumnRenamed("value", "response")
+    checked = annotate.validate(annotate.parse_responses(replies))
+    assert plan(checked.filter("is_valid")).count("from_json") == 1
+
+
 def test_gold_shuffles_each_side_once(stored):
     raw, notes = stored
     text = plan(models.gold(models.silver(models.bronze(raw)), notes))
