@@ -113,8 +113,7 @@ def append_posts(spark: SparkSession, sf: str) -> DataFrame:
 def append_posts_by_day(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "raw_by_day")
     tables.append_posts_by_day(fx.raw_posts(spark, sf), path)
-    dated = T.StructType([*RAW_POST.fields, T.StructField("post_day", T.DateType())])
-    stored = spark.read.schema(dated).parquet(path)
+    stored = tables.raw_posts_by_day(spark, path)
     return stored.groupBy("post_day").agg(
         F.count("*").alias("n_posts"), F.sum(F.length("content")).alias("n_chars")
     )

@@ -21,10 +21,12 @@ PERIODS = {
 }
 
 TOP_LIMIT = 1000
-RANK_SALTS = 64
+RANK_SALTS = 256
 
 
 def _of_day(raw: DataFrame, community: str, day: dt.date) -> DataFrame:
+    if "post_day" in raw.columns:
+        raw = raw.filter(F.col("post_day") == F.lit(day))
     return raw.filter(
         (F.col("post_date") >= start_of(day))
         & (F.col("post_date") < start_of(day + dt.timedelta(days=1)))
@@ -46,7 +48,8 @@ def has_flair(flair: Column, wanted: str) -> Column:
 
 
 def with_flair(raw: DataFrame, wanted: str) -> DataFrame:
-    return raw.filter(has_flair(F.col("post_flair"), wanted))
+    """Posts with a flair that holds the wanted text; all posts if none is wanted."""
+    return raw.filter(has_flair(F.col("post_flair"), wanted)) if wanted else raw
 
 
 def of_communities(raw: DataFrame, names: list[str] | None = None) -> DataFrame:

@@ -20,6 +20,8 @@ RAW_POST = T.StructType(
     ]
 )
 
+RAW_POST_BY_DAY = T.StructType([*RAW_POST.fields, T.StructField("post_day", T.DateType())])
+
 ANNOTATION = T.StructType(
     [
         T.StructField("post_id", T.StringType(), False),

@@ -15,6 +15,7 @@ from postlake.schemas import (
     ANNOTATION_DDL,
     RAW_COLUMNS,
     RAW_POST,
+    RAW_POST_BY_DAY,
     RAW_POST_DDL,
 )
 
@@ -24,6 +25,11 @@ def raw_posts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_POST).parquet(path)
 
 
+def raw_posts_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """Raw posts that ``append_posts_by_day`` wrote, with the folder's ``post_day``."""
+    return spark.read.schema(RAW_POST_BY_DAY).parquet(path)
+
+
 def annotations(spark: SparkSession, path: str) -> DataFrame:
     """Stored annotations under a path, with the declared schema."""
     return spark.read.schema(ANNOTATION).parquet(path)
@@ -81,21 +87,28 @@ def day_loaded(spark: SparkSession, table: str, name: str, day: dt.date) -> bool
     return table_exists(spark, table) and select.is_day_loaded(spark.table(table), name, day)
 
 
-def append_posts(posts: DataFrame, table: str) -> None:
+def _append(rows: DataFrame, table: str, buckets: int | None) -> None:
+    if buckets:
+        rows = rows.repartition(buckets, "post_id")
+    rows.write.insertInto(table)
+
+
+def append_posts(posts: DataFrame, table: str, buckets: int | None = None) -> None:
     """Append raw posts as they are. The table keeps every scrape of a post.
 
-    An empty frame adds no rows. It is not tested for emptiness first, as that
-    would run the plan behind it twice.
+    For a bucketed table give its bucket count: each bucket then gets one file
+    instead of one per task. An empty frame adds no rows; it is not tested for
+    emptiness first, as that would run the plan behind it twice.
     """
-    posts.select(RAW_COLUMNS).write.insertInto(table)
+    _append(posts.select(RAW_COLUMNS), table, buckets)
 
 
 def append_posts_by_day(posts: DataFrame, path: str) -> None:
     """Append raw posts below a path, in one folder per day of the post.
 
-    Day slices and loaded checks then read only their days. Rows of a day are
-    brought together before the write so that days do not fall into small files;
-    the rebalance splits a day that is far larger than the others.
+    Read with ``raw_posts_by_day``, a day slice opens the folder of its day only.
+    Rows of a day are brought together before the write so that days do not fall
+    into small files; the rebalance splits a day far larger than the others.
     """
     dated = posts.select(*RAW_COLUMNS, F.to_date("post_date").alias("post_day"))
     dated.hint("rebalance", "post_day").write.mode("append").partitionBy("post_day").parquet(path)
@@ -107,11 +120,10 @@ def new_annotations(annotations: DataFrame, stored: DataFrame) -> DataFrame:
     return sanitise_free_text(joins.without_annotation(dedupe.latest_annotations(named), stored))
 
 
-def append_annotations(annotations: DataFrame, table: str) -> None:
+def append_annotations(annotations: DataFrame, table: str, buckets: int | None = None) -> None:
     """Append annotations of new posts; running it again adds nothing."""
     stored = annotations.sparkSession.table(table)
-    fresh = new_annotations(annotations, stored)
-    fresh.select(ANNOTATION_COLUMNS).write.insertInto(table)
+    _append(new_annotations(annotations, stored).select(ANNOTATION_COLUMNS), table, buckets)
 
 
 def materialise(model: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:

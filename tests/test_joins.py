@@ -96,8 +96,9 @@ def test_marts_of_ids_equal_marts_of_gold(make_raw, make_annotations):
 def test_bucketed_tables_join_without_shuffle(spark, make_raw, make_annotations, tmp_path):
     tables.create_raw_table(spark, "bucketed_raw", str(tmp_path / "raw"), buckets=4)
     tables.create_annotation_table(spark, "bucketed_notes", str(tmp_path / "notes"), buckets=4)
-    tables.append_posts(make_raw(*[{"post_id": f"p{i % 20}", "score": i} for i in range(60)]), "bucketed_raw")
-    tables.append_annotations(make_annotations({"post_id": "p3"}), "bucketed_notes")
+    tables.append_posts(make_raw(*[{"post_id": f"p{i % 20}", "score": i} for i in range(60)]), "bucketed_raw", 4)
+    tables.append_annotations(make_annotations({"post_id": "p3"}), "bucketed_notes", 4)
+    assert len(list((tmp_path / "raw").glob("*.parquet"))) == 4
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         silver = models.silver(models.bronze(tables.raw_table(spark, "bucketed_raw")))

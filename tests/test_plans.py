@@ -103,6 +103,15 @@ def test_day_slice_reaches_the_scan(spark, stored):
     assert "GreaterThanOrEqual(post_date" in text and "LessThan(post_date" in text
 
 
+def test_day_folders_are_pruned(spark, stored, tmp_path):
+    tables.append_posts_by_day(stored[0], str(tmp_path / "days"))
+    by_day = tables.raw_posts_by_day(spark, str(tmp_path / "days"))
+    day = dt.date(2024, 1, 2)
+    pruned = select.posts_for_day(by_day, "src1", day)
+    assert re.search(r"PartitionFilters: \[[^\]]*post_day", plan(pruned))
+    assert pruned.drop("post_day").collect() == select.posts_for_day(stored[0], "src1", day).collect()
+
+
 def test_id_filter_passes_the_deduplication(stored):
     text = plan(models.silver(models.bronze(stored[0])).filter(F.col("post_id").isin("d1", "d2")))
     assert "In(post_id, [d1,d2])" in text

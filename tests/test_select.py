@@ -32,6 +32,7 @@ def test_flair_is_a_substring_in_any_case(make_raw):
     flairs = ["Question", "QUESTION?", "my question", "Quest", "", None]
     raw = make_raw(*[{"post_id": str(i), "post_flair": f} for i, f in enumerate(flairs)])
     assert sorted(r.post_id for r in select.with_flair(raw, "question").collect()) == ["0", "1", "2"]
+    assert select.with_flair(raw, "").count() == len(flairs)
 
 
 def test_communities(make_raw):
