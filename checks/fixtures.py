@@ -265,22 +265,22 @@ def tagged_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- The same tables for DuckDB ----------------------------------------------
 
 
-def _quoted(value: str) -> str:
+def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _list(values: list[str]) -> str:
-    return "[" + ", ".join(_quoted(v) for v in values) + "]"
+def sql_list(values: list[str]) -> str:
+    return "[" + ", ".join(quoted(v) for v in values) + "]"
 
 
-def _sql_ts(seconds: str) -> str:
+def sql_ts(seconds: str) -> str:
     return f"make_timestamp(cast({seconds} as bigint) * 1000000)"
 
 
 RAW_SQL = f"""
 base as (
   select 'd' || cast(doc_id as varchar) as post_id, doc_id,
-    {_sql_ts(f'{EPOCH} + doc_id * 3600')} as post_date,
+    {sql_ts(f'{EPOCH} + doc_id * 3600')} as post_date,
     {EPOCH} + doc_id * 3600 as post_timestamp,
     case when doc_id % 10 = 0 then null else upper(lang) || ' Question' end as post_flair,
     case when doc_id % 97 = 0 then null else '  ' || substr(text, 1, 40) || ' ' end as title,
@@ -289,7 +289,7 @@ base as (
     (doc_id * 37) % 500 as score, (doc_id * 13) % 80 as num_comments,
     upper(source) as subreddit,
     case when doc_id % 50 = 0 then null
-         else {_sql_ts(f'{EPOCH} + doc_id * 3600 + 86400')} end as scraped_at
+         else {sql_ts(f'{EPOCH} + doc_id * 3600 + 86400')} end as scraped_at
   from documents),
 again as (
   select post_id, doc_id, post_date, post_timestamp, post_flair, title, url,
@@ -298,24 +298,24 @@ again as (
       || '@x.io! by U/user_' || cast(doc_id as varchar) || ' in r/' || subreddit
       || ' call +1 (743) 555-' || cast(1000 + doc_id as varchar) || '?' as content,
     score + 10 as score, num_comments + 1 as num_comments, subreddit,
-    {_sql_ts(f'{EPOCH} + doc_id * 3600 + 172800')} as scraped_at
+    {sql_ts(f'{EPOCH} + doc_id * 3600 + 172800')} as scraped_at
   from base where doc_id % 5 = 0),
 raw_posts as (
   select {", ".join(RAW_COLUMNS)} from base
   union all select {", ".join(RAW_COLUMNS)} from again)"""
 
 TOPIC_SQL = "case doc_id % 6 " + " ".join(
-    f"when {at} then {_list(topics)}[(doc_id // 6) % {len(topics)} + 1]"
+    f"when {at} then {sql_list(topics)}[(doc_id // 6) % {len(topics)} + 1]"
     for at, topics in enumerate(TOPICS.values())
 ) + " end"
 
 ANNOTATION_SQL = f"""
 annotations as (
   select 'd' || cast(doc_id as varchar) as post_id,
-    {_list(list(TOPICS))}[doc_id % 6 + 1] as primary_group,
+    {sql_list(list(TOPICS))}[doc_id % 6 + 1] as primary_group,
     {TOPIC_SQL} as primary_topic,
     ['sleep_fatigue', 'insurance_costs', 'labor_delivery'][1:doc_id % 4] as secondary_topics,
-    {_list(TRIMESTERS)}[doc_id % 8 + 1] as trimester,
+    {sql_list(TRIMESTERS)}[doc_id % 8 + 1] as trimester,
     case quality when 1 then 'positive' else 'negative' end as sentiment,
     cast(doc_id % 4 as int) as urgency_0_3,
     string_split(text, ' ')[1:6] as keywords,
@@ -326,8 +326,8 @@ annotations as (
     trim(repeat('kind words ', 50 + doc_id % 70)) as care_response,
     ['model-a', 'model-b'][doc_id % 2 + 1] as model_name,
     '1.0.0' as model_version,
-    substr(sha256({_quoted(TEMPLATE)}), 1, 16) as prompt_hash,
+    substr(sha256({quoted(TEMPLATE)}), 1, 16) as prompt_hash,
     cast(ceil(length(text) / 4.0) as int) as input_tokens,
     cast(100 + doc_id % 300 as int) as output_tokens,
-    {_sql_ts(f'{EPOCH} + doc_id * 60')} as annotated_at
+    {sql_ts(f'{EPOCH} + doc_id * 60')} as annotated_at
   from labels join documents using (doc_id))"""

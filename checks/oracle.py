@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from checks import fixtures as fx
 from checks.queries import COMMUNITIES
 from postlake.functions import lexicon
@@ -18,7 +20,7 @@ from postlake.schemas import (
 RAW = ", ".join(RAW_COLUMNS)
 ARRAYS = ("secondary_topics", "keywords", "safety_flags")
 RUN_TS = "timestamp '2024-06-01 12:00:00'"
-HASH = f"substr(sha256({fx._quoted(fx.TEMPLATE)}), 1, 16)"
+HASH = f"substr(sha256({fx.quoted(fx.TEMPLATE)}), 1, 16)"
 
 
 def as_json(name: str) -> str:
@@ -45,35 +47,53 @@ bronze as (
     md5(coalesce(title, '') || '|' || coalesce(content, '')) as content_hash
   from latest)"""
 
-SILVER = r"""
+# What is redacted, in order, with the flags of the search.
+REDACTED = [
+    (r"https?://\S+|\bwww\.[^\s]+", "[URL]", "gi"),
+    (r"[a-z0-9][a-z0-9._%+-]*@[a-z0-9][a-z0-9.-]*\.[a-z]{2,}", "[EMAIL]", "gi"),
+    (r"(\+?[0-9][0-9\-\s\(\)]{7,}[0-9])", "[PHONE]", "g"),
+    (r"\bu/[a-z0-9_\-]+", "u/[USER]", "gi"),
+    (r"\br/[a-z0-9_]+", "r/[SUB]", "gi"),
+    (r"\s+", " ", "g"),
+]
+
+# Metric columns that count the matches of a pattern.
+COUNTED = {
+    "n_questions": r"\?",
+    "n_exclaims": r"!",
+    "n_urls_redacted": r"\[URL\]",
+    "n_emails_redacted": r"\[EMAIL\]",
+    "n_phones_redacted": r"\[PHONE\]",
+    "n_usernames_redacted": r"u/\[USER\]",
+    "n_subreddits_redacted": r"r/\[SUB\]",
+}
+
+
+def _matches(pattern: str) -> str:
+    return f"len(regexp_extract_all(text_for_llm, '{pattern}'))"
+
+
+REDACTED_TEXT = reduce(
+    lambda sql, rule: f"regexp_replace({sql}, '{rule[0]}', '{rule[1]}', '{rule[2]}')",
+    REDACTED,
+    "post_content_raw",
+)
+COUNTS = ", ".join(f"cast({_matches(p)} as int) as {name}" for name, p in COUNTED.items())
+
+SILVER = f"""
 redacted as (
-  select post_id, post_date, post_timestamp, post_flair, post_title, url as post_url,
-    subreddit, score, num_comments, scraped_at, content_hash, post_content_raw as text_raw,
-    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
-      post_content_raw,
-      'https?://\S+|\bwww\.[^\s]+', '[URL]', 'gi'),
-      '[a-z0-9][a-z0-9._%+-]*@[a-z0-9][a-z0-9.-]*\.[a-z]{2,}', '[EMAIL]', 'gi'),
-      '(\+?[0-9][0-9\-\s\(\)]{7,}[0-9])', '[PHONE]', 'g'),
-      '\bu/[a-z0-9_\-]+', 'u/[USER]', 'gi'),
-      '\br/[a-z0-9_]+', 'r/[SUB]', 'gi'),
-      '\s+', ' ', 'g') as text_for_llm
+  select * rename (url as post_url, post_content_raw as text_raw),
+    {REDACTED_TEXT} as text_for_llm
   from bronze),
 measured as (
-  select *, cast(length(text_for_llm) as int) as n_chars,
+  select *, {COUNTS},
+    cast(length(text_for_llm) as int) as n_chars,
     cast(len(string_split(text_for_llm, ' ')) as int) as n_words,
-    cast(greatest(len(regexp_extract_all(text_for_llm, '[\.!?]+')), 1) as int) as n_sentences,
-    cast(len(regexp_extract_all(text_for_llm, '\?')) as int) as n_questions,
-    cast(len(regexp_extract_all(text_for_llm, '!')) as int) as n_exclaims,
-    cast(len(regexp_extract_all(text_for_llm, '\[URL\]')) as int) as n_urls_redacted,
-    cast(len(regexp_extract_all(text_for_llm, '\[EMAIL\]')) as int) as n_emails_redacted,
-    cast(len(regexp_extract_all(text_for_llm, '\[PHONE\]')) as int) as n_phones_redacted,
-    cast(len(regexp_extract_all(text_for_llm, 'u/\[USER\]')) as int) as n_usernames_redacted,
-    cast(len(regexp_extract_all(text_for_llm, 'r/\[SUB\]')) as int) as n_subreddits_redacted,
+    cast(greatest({_matches("[.!?]+")}, 1) as int) as n_sentences,
     cast(ceil(length(text_for_llm) / 4.0) as bigint) as token_estimate
   from redacted),
 silver as (
-  select *, case when n_words between 5 and 1000 and token_estimate < 4000
-      and text_for_llm is not null then true else false end as needs_annotation
+  select *, (n_words between 5 and 1000) and token_estimate < 4000 as needs_annotation
   from measured)"""
 
 GOLD = f"""
@@ -83,9 +103,9 @@ gold as (
 
 PENDING = """
 pending as (
-  select post_id, text_for_llm, text_raw from silver
-  where needs_annotation = true
-    and post_id not in (select distinct post_id from annotations))"""
+  select post_id, text_for_llm, text_raw from silver s
+  where needs_annotation
+    and not exists (select 1 from annotations a where a.post_id = s.post_id))"""
 
 KEYWORDS = """
 keywords as (select post_id, lower(k) as keyword from
@@ -138,7 +158,7 @@ archive as (
 SHAPE_ARCHIVE = with_(
     [ARCHIVE],
     f"""
-    select id as post_id, {fx._sql_ts("created_utc")} as post_date, created_utc as post_timestamp,
+    select id as post_id, {fx.sql_ts("created_utc")} as post_date, created_utc as post_timestamp,
       link_flair_text as post_flair, title, 'https://reddit.com' || permalink as url,
       case when selftext is null or selftext = '' then url else selftext end as content,
       score, num_comments, subreddit, {RUN_TS} as scraped_at
@@ -148,7 +168,7 @@ SHAPE_ARCHIVE = with_(
 
 SHAPE_TOP = f"""
 select 'd' || cast(doc_id as varchar) as post_id,
-  {fx._sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as post_date,
+  {fx.sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as post_date,
   {fx.EPOCH} + doc_id * 3600 as post_timestamp,
   case when doc_id % 10 = 0 then null else upper(lang) end as post_flair,
   substr(text, 1, 40) as title,
@@ -166,10 +186,10 @@ from documents"""
 RESPONSES = f"""
 made as (
   select 'd' || cast(doc_id as varchar) as post_id, doc_id % 9 as kind,
-    {fx._list(list(TOPICS))}[doc_id % 6 + 1] as primary_group,
+    {fx.sql_list(list(TOPICS))}[doc_id % 6 + 1] as primary_group,
     case when doc_id % 9 = 3 then 'no_such_topic' else {fx.TOPIC_SQL} end as primary_topic,
     case when doc_id % 9 = 4 then 4 else doc_id % 4 end as n_secondary,
-    {fx._list(TRIMESTERS)}[doc_id % 8 + 1] as trimester,
+    {fx.sql_list(TRIMESTERS)}[doc_id % 8 + 1] as trimester,
     'neutral' as sentiment,
     case when doc_id % 9 = 2 then null else cast(doc_id % 4 as int) end as urgency_0_3,
     case doc_id % 9 when 5 then 4 when 6 then 21 else 5 + doc_id % 16 end as n_keywords,
@@ -211,10 +231,10 @@ PARSED_COLUMNS = [
 
 
 def _violations() -> str:
-    pairs = ", ".join(fx._quoted(f"{g}/{t}") for g, topics in TOPICS.items() for t in topics)
+    pairs = ", ".join(fx.quoted(f"{g}/{t}") for g, topics in TOPICS.items() for t in topics)
 
     def known(column: str, values: list[str]) -> str:
-        return f"coalesce({column} in ({', '.join(map(fx._quoted, values))}), false)"
+        return f"coalesce({column} in ({', '.join(map(fx.quoted, values))}), false)"
 
     rules = {
         "primary_group": known("primary_group", list(TOPICS)),
@@ -227,7 +247,7 @@ def _violations() -> str:
         "keyword_case": "keywords is not null and "
         "len(list_filter(keywords, lambda k: k <> lower(k))) = 0",
         "safety_flags": "safety_flags is not null and "
-        f"list_has_all({fx._list(SAFETY_FLAGS)}, safety_flags)",
+        f"list_has_all({fx.sql_list(SAFETY_FLAGS)}, safety_flags)",
         "post_summary": r"coalesce(greatest(len(regexp_extract_all(post_summary, '[.!?]+')), 1)"
         " between 1 and 3, false) and post_summary is not null",
         "care_response": "coalesce(len(string_split(trim(care_response), ' '))"
@@ -245,7 +265,7 @@ def _violations() -> str:
 TAGGED = rf"""
 tagged as (
   select 'd' || cast(doc_id as varchar) as post_id,
-    text || ' ' || {fx._list(fx.TRIGGER_PHRASES)}[doc_id % {len(fx.TRIGGER_PHRASES)} + 1]
+    text || ' ' || {fx.sql_list(fx.TRIGGER_PHRASES)}[doc_id % {len(fx.TRIGGER_PHRASES)} + 1]
       as text_for_llm,
     (doc_id * 37) % 500 as score, (doc_id * 13) % 80 as num_comments
   from documents),
@@ -255,16 +275,16 @@ lines as (
 
 
 def _has(terms: list[str]) -> str:
-    return " or ".join(f"contains(line, {fx._quoted(' ' + t.replace('-', ' ') + ' ')})" for t in terms)
+    return " or ".join(f"contains(line, {fx.quoted(' ' + t.replace('-', ' ') + ' ')})" for t in terms)
 
 
 def _tags(words: dict[str, list[str]]) -> str:
-    cases = ", ".join(f"case when {_has(t)} then {fx._quoted(n)} end" for n, t in words.items())
+    cases = ", ".join(f"case when {_has(t)} then {fx.quoted(n)} end" for n, t in words.items())
     return f"list_filter([{cases}], lambda v: v is not null)"
 
 
 def _first(words: dict[str, list[str]], otherwise: str) -> str:
-    cases = " ".join(f"when {_has(t)} then {fx._quoted(n)}" for n, t in words.items())
+    cases = " ".join(f"when {_has(t)} then {fx.quoted(n)}" for n, t in words.items())
     return f"case {cases} else {otherwise} end"
 
 
@@ -303,7 +323,7 @@ ASCII_SHARE = (
 
 PROMPTS = f"""
 prompts as (
-  select post_id, replace(replace({fx._quoted(fx.TEMPLATE)}, '{{{{POST_ID}}}}', post_id),
+  select post_id, replace(replace({fx.quoted(fx.TEMPLATE)}, '{{{{POST_ID}}}}', post_id),
     '{{{{POST_TEXT}}}}', substr(text_for_llm, 1, 2000)) as prompt
   from FROM_TABLE)"""
 
@@ -392,10 +412,10 @@ ORACLE: dict[str, str] = {
             fx.RAW_SQL,
             f"""
             wanted as (
-              select source as subreddit, cast({fx._sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as date)
+              select source as subreddit, cast({fx.sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as date)
                 as day from documents
               union
-              select source, cast({fx._sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as date) + 1
+              select source, cast({fx.sql_ts(f"{fx.EPOCH} + doc_id * 3600")} as date) + 1
               from documents)""",
         ],
         """
@@ -430,7 +450,7 @@ ORACLE: dict[str, str] = {
     "subreddit_batch": with_(
         [fx.RAW_SQL],
         f"select {RAW} from raw_posts where lower(subreddit) in "
-        f"({', '.join(fx._quoted(c.lower()) for c in COMMUNITIES)})",
+        f"({', '.join(fx.quoted(c.lower()) for c in COMMUNITIES)})",
     ),
     "top_posts_period": with_(
         TO_BRONZE,
