@@ -53,9 +53,12 @@ def count_of(text: Column, token: str) -> Column:
     return gap if len(token) == 1 else (gap / len(token)).cast("int")
 
 
-def count_of_token(text: Column, token: str) -> Column:
-    """How often a redaction token occurs; most texts have no bracket at all."""
-    return F.when(holds(text, "["), count_of(text, token)).when(text.isNotNull(), F.lit(0))
+def count_of_rare(text: Column, token: str, sign: str) -> Column:
+    """The same for a token that most texts lack, as they lack its sign.
+
+    Looking for the sign is several times cheaper than taking the token out.
+    """
+    return F.when(holds(text, sign), count_of(text, token)).when(text.isNotNull(), F.lit(0))
 
 
 def word_count(text: Column) -> Column:
@@ -78,13 +81,13 @@ def text_metrics(text: Column) -> dict[str, Column]:
         "n_chars": F.length(text),
         "n_words": word_count(text),
         "n_sentences": sentence_count(text),
-        "n_questions": count_of(text, "?"),
-        "n_exclaims": count_of(text, "!"),
-        "n_urls_redacted": count_of_token(text, "[URL]"),
-        "n_emails_redacted": count_of_token(text, "[EMAIL]"),
-        "n_phones_redacted": count_of_token(text, "[PHONE]"),
-        "n_usernames_redacted": count_of_token(text, "u/[USER]"),
-        "n_subreddits_redacted": count_of_token(text, "r/[SUB]"),
+        "n_questions": count_of_rare(text, "?", "?"),
+        "n_exclaims": count_of_rare(text, "!", "!"),
+        "n_urls_redacted": count_of_rare(text, "[URL]", "["),
+        "n_emails_redacted": count_of_rare(text, "[EMAIL]", "["),
+        "n_phones_redacted": count_of_rare(text, "[PHONE]", "["),
+        "n_usernames_redacted": count_of_rare(text, "u/[USER]", "["),
+        "n_subreddits_redacted": count_of_rare(text, "r/[SUB]", "["),
         "token_estimate": token_estimate(text),
     }
 

@@ -104,7 +104,7 @@ def test_email_rule_is_linear_on_long_runs(spark):
 def test_missing_text(spark):
     df = spark.createDataFrame([(None,)], "s string")
     assert clean.redact(df, "s", "t").first().t is None
-    assert df.select(text.count_of_token(F.col("s"), "[URL]").alias("n")).first().n is None
+    assert df.select(text.count_of_rare(F.col("s"), "[URL]", "[").alias("n")).first().n is None
     assert df.select(text.normalise(F.col("s")).alias("n")).first().n == ""
 
 
