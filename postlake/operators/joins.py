@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # A key is hot when it holds at least this share of all rows, so there can be
 # no more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.01
+HOT_SHARE = 0.001
+HOT_PARTS = 8
 
 
 def hot_ids(df: DataFrame, key: str = "post_id", min_rows: int = 1_000_000) -> list[str]:
@@ -37,19 +38,22 @@ def with_annotations(
     """Join posts, unique on post id, with all their annotations.
 
     Annotations should be unique as well, then this is one shuffled join. When
-    the stored table holds one id very often, give it as ``hot`` (``hot_ids``
-    finds them): those annotations stay where they are and meet their posts, at
-    most one row per hot id, by broadcast. AQE cannot split that side of a left
-    join by itself.
+    the stored table holds some ids very often, give them as ``hot`` (``hot_ids``
+    finds them). AQE cannot split the annotations of a left join, so those of hot
+    ids are joined apart, in salted parts, by an inner join with the few posts
+    they have. There AQE broadcasts the posts if their measured size allows it,
+    and splits parts that are still too large if not.
     """
     if not hot:
         return posts.join(annotations, "post_id", how)
     is_hot = F.coalesce(F.col("post_id").isin(hot), F.lit(False))
-    few = F.broadcast(posts.filter(F.col("post_id").isin(hot)))
     rest = posts.filter(~is_hot).join(annotations.filter(~is_hot), "post_id", how)
-    return rest.unionByName(
-        annotations.filter(F.col("post_id").isin(hot)).join(few, "post_id").select(rest.columns)
-    )
+
+    part = F.pmod(F.xxhash64(*annotations.columns), F.lit(HOT_PARTS)).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.lit(HOT_PARTS - 1)))
+    few = posts.filter(F.col("post_id").isin(hot)).withColumn("_part", parts)
+    many = annotations.filter(F.col("post_id").isin(hot)).withColumn("_part", part)
+    return rest.unionByName(many.join(few, ["post_id", "_part"]).select(rest.columns))
 
 
 def without_annotation(posts: DataFrame, annotations: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from postlake.operators import joins
@@ -23,7 +24,9 @@ def same(a, b) -> bool:
 
 def test_hot_ids_are_found(spark):
     _, notes = sample(spark)
-    assert joins.hot_ids(notes, min_rows=1) == ["p7"]
+    hot = joins.hot_ids(notes.filter("post_id = 'p7' or note > 2990"), min_rows=1)
+    assert "p7" in hot
+    assert len(joins.hot_ids(notes, min_rows=1)) <= 1000
     assert joins.hot_ids(notes) == []
 
 
@@ -36,14 +39,49 @@ def test_hot_path_gives_the_plain_join(spark):
         assert same(plain, split)
 
 
-def test_hot_annotations_are_not_shuffled(spark):
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture
+def conf(spark):
+    """Set options for one test."""
+    names = []
+
+    def set_all(**options):
+        for name, value in options.items():
+            names.append("spark.sql." + name.replace("__", "."))
+            spark.conf.set(names[-1], value)
+
+    yield set_all
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_hot_annotations_meet_few_posts_by_measured_broadcast(spark, tmp_path):
     posts, notes = sample(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = joins.with_annotations(posts, notes, ["p7"])._jdf.queryExecution().executedPlan()
-        assert "BroadcastHashJoin" in plan.toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    posts.write.parquet(str(tmp_path / "p"))
+    notes.repartition(3).write.parquet(str(tmp_path / "n"))
+    posts, notes = (spark.read.parquet(str(tmp_path / n)) for n in "pn")
+    assert "BroadcastHashJoin" in final_plan(joins.with_annotations(posts, notes, ["p7"]))
+
+
+def test_hot_annotations_are_split_where_broadcast_is_too_large(spark, conf, tmp_path):
+    posts, notes = sample(spark)
+    posts.write.parquet(str(tmp_path / "p"))
+    wide = notes.withColumn("pad", F.sha2(F.col("note").cast("string"), 512))
+    wide.repartition(8).write.parquet(str(tmp_path / "n"))
+    posts, wide = (spark.read.parquet(str(tmp_path / n)) for n in "pn")
+    conf(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB",
+        adaptive__skewJoin__skewedPartitionFactor="1",
+        adaptive__advisoryPartitionSizeInBytes="1KB",
+    )
+    split = joins.with_annotations(posts, wide, ["p7", "p8"])
+    assert "SortMergeJoin(skew=true)" in final_plan(split)
+    assert same(split, joins.with_annotations(posts, wide))
 
 
 def test_without_annotation(spark):
