@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import postlake.llm
 from postlake.session import scratch_path
 
+# Functions of these modules travel to the workers by value, so the workers need not
+# have this package installed. Broadcasts hold plain data for the same reason.
+cloudpickle.register_pickle_by_value(postlake.llm)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 # A-Z in lower case; every other ASCII character but letters and digits a space.

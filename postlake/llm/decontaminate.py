@@ -127,11 +127,11 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _scan(docs: DataFrame, block: dict[bytes, list[int]], keys: list[str]) -> DataFrame:
     """Add what one block of patterns finds to the spans and items so far."""
-    held = docs.sparkSession.sparkContext.broadcast(tables_of(block))
+    held = docs.sparkSession.sparkContext.broadcast(block)
     out = docs.schema
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = held.value
+        tables = tables_of(held.value)
         for part in batches:
             starts, ends, items, counts = [], [], [], []
             for text, s, e, known in zip(

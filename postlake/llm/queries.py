@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import decontaminate, mixing
+from postlake.llm import decontaminate, mixing, simhash, toxicity
 from postlake.llm.sql import DECONTAMINATE, MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,19 @@ def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.report(simhash.near_duplicates(table(spark, sf, "documents")))
+
+
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix": op2_mix,
+    "op6_simhash": op6_simhash,
+    "op8_toxicity": op8_toxicity,
 }
 ORACLE: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
