@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import decontaminate, mixing, simhash, toxicity
-from postlake.llm.sql import DECONTAMINATE, MIX
+from postlake.llm import decontaminate, linededup, mixing, simhash, toxicity
+from postlake.llm.sql import DECONTAMINATE, LINE_DEDUP, MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return linededup.report(table(spark, sf, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.report(simhash.near_duplicates(table(spark, sf, "documents")))
 
@@ -38,10 +42,12 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix": op2_mix,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
     "op8_toxicity": op8_toxicity,
 }
 ORACLE: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_mix": MIX,
+    "op5_line_dedup": LINE_DEDUP,
 }

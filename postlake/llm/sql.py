@@ -101,3 +101,41 @@ select doc_id, size, s as source_size, target,
   (whole + if(rises and (upto <= target or upto - target < target - (upto - tied)), 1, 0))::bigint as copies
 from cum
 """
+
+LINE_DEDUP = r"""
+with doc as (
+  select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as ls from documents
+), line as (
+  select rid, doc_id, i as line_no,
+    list_transform(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+'),
+      lambda t: if(regexp_matches(t, '[0-9]'), '<*>', t)) as w
+  from doc, unnest(range(1, len(ls) + 1)) as u(i)
+), leafed as (
+  select *, len(w)::varchar || ' ' || array_to_string(w[1:3], ' ') as leaf, array_to_string(w, ' ') as line
+  from line where len(w) >= 5
+), counted as (
+  select leaf, line, any_value(w) as w, count(*) as n, min((doc_id, line_no)) as first
+  from leafed group by leaf, line
+), lead as (
+  select leaf, line as lead_line, w as lead_w
+  from counted qualify row_number() over (partition by leaf order by n desc, first) = 1
+), general as (
+  select leaf, line, if(
+      len(list_filter(range(1, len(w) + 1), lambda i: w[i] = lead_w[i])) >= 0.8::double * len(w),
+      lead_line, line) as template
+  from counted join lead using (leaf)
+), place as (
+  select rid, doc_id, line_no, leaf, template from leafed join general using (leaf, line)
+), recurring as (
+  select leaf, template, min(doc_id) as lo from place
+  group by leaf, template having min(doc_id) < max(doc_id)
+), gone as (
+  select rid, list(line_no) as drop_ from place join recurring using (leaf, template)
+  where doc_id <> lo group by rid
+)
+select doc_id, coalesce(len(ls), 0)::bigint as n_lines, coalesce(len(drop_), 0)::bigint as n_dropped,
+  if(text is null, null, array_to_string(
+    list_transform(list_filter(range(1, len(ls) + 1), lambda i: not list_contains(coalesce(drop_, []), i)),
+      lambda i: ls[i]), chr(10))) as text
+from doc left join gone using (rid)
+"""
