@@ -43,13 +43,15 @@ def hashed(buffer: bytes, least: int, most: int, bits: int) -> Iterator[tuple[np
             yield at, (mixed >> np.uint32(32 - bits)).astype(np.int64)
 
 
-def grouped(texts: list[list[bytes]], most_bytes: int = 1 << 20) -> Iterator[tuple[int, bytes, np.ndarray]]:
+def grouped(
+    texts: list[list[bytes]], most_bytes: int = 1 << 20, most_texts: int = 1 << 16
+) -> Iterator[tuple[int, bytes, np.ndarray]]:
     """Joined words of consecutive texts, some at a time: the first text's number, the
     buffer, and where each text ends in it. One long text is a group of its own."""
     first, parts, ends, size = 0, [], [], 0
     for i, words in enumerate(texts):
         part = b" " + b" ".join(words) + b" "
-        if parts and size + len(part) > most_bytes:
+        if parts and (size + len(part) > most_bytes or len(parts) == most_texts):
             yield first, b"".join(parts), np.array(ends)
             first, parts, ends, size = i, [], [], 0
         parts.append(part)

@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import decontaminate, linededup, mixing, simhash, toxicity
+from postlake.llm import (
+    decontaminate,
+    htmltext,
+    langid,
+    linededup,
+    mixing,
+    secrets,
+    simhash,
+    toxicity,
+    vectors,
+)
 from postlake.llm.sql import DECONTAMINATE, LINE_DEDUP, MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +37,14 @@ def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op3_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return htmltext.extracted(table(spark, sf, "pages"))
+
+
+def op4_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(table(spark, sf, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return linededup.report(table(spark, sf, "documents"))
 
@@ -35,16 +53,28 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.report(simhash.near_duplicates(table(spark, sf, "documents")))
 
 
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.report(table(spark, sf, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op10_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix": op2_mix,
+    "op3_extract": op3_extract,
+    "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
+    "op10_vectors": op10_vectors,
 }
 ORACLE: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
