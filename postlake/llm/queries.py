@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postlake.llm import (
     decontaminate,
+    hmm,
     htmltext,
     langid,
     linededup,
@@ -61,6 +62,10 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.report(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op9_hmm(spark: SparkSession, sf: str) -> DataFrame:
+    return hmm.report(table(spark, sf, "documents"))
+
+
 def op10_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf, "embeddings"))
 
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
     "op8_toxicity": op8_toxicity,
+    "op9_hmm": op9_hmm,
     "op10_vectors": op10_vectors,
 }
 ORACLE: dict[str, str] = {
