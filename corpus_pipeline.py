@@ -18,8 +18,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines whose template an earlier document has."""
-    return linededup.without_recurring_lines(docs).select(*docs.columns)
+    """Documents without lines whose template an earlier document has; one that loses
+    all it says, a copy, goes with them."""
+    return linededup.without_recurring_lines(docs, keep_emptied=False)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import numpy as np
+from postlake.llm import vectors as v
+
+from tests.conftest import SMALL
+
+SCHEMA = "vec_id long, embedding array<float>, label int, n long, id long, first long, vector string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, x, 0, 1, 2, 3, "v") for i, x in rows], SCHEMA)
+
+
+def brute(rows, least=0.95):
+    n = len(rows)
+    good = [x is not None and len(x) > 0 and all(c is not None and np.isfinite(c) for c in x) and any(x) for _, x in rows]
+    units = [np.array(x, np.float32).astype(float) / np.linalg.norm(np.array(x, np.float32).astype(float)) if g else None for (_, x), g in zip(rows, good, strict=True)]
+    near = [[j for j in range(n) if j != i and good[i] and good[j] and len(units[i]) == len(units[j]) and units[i] @ units[j] >= least] for i in range(n)]
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in near[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        root = min(ids) if ids else None
+        out.append((rows[i][0], len(near[i]), root, rows[i][0] is not None and rows[i][0] == root))
+    return sorted(out, key=repr)
+
+
+def clusters(seed=0, groups=25, size=64):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        centre = rng.standard_normal(size)
+        for _ in range(1 + g % 5):
+            rows.append((1000 - len(rows), (centre + 0.12 * rng.standard_normal(size) * (g % 3)).astype(np.float32).tolist()))
+    return rows
+
+
+def test_against_brute_force_with_hard_rows(spark):
+    rows = clusters()
+    rows += [(5000, rows[3][1]), (5000, rows[3][1]), (None, rows[3][1]), (5001, [2 * c for c in rows[7][1]])]
+    rows += [(5002, None), (5003, []), (5004, [0.0] * 64), (5005, [float("nan")] * 64), (5006, [None] + [1.0] * 63),
+             (5007, [float("inf")] * 64), (5008, [1.0, 2.0]), (5009, [1.0, 2.001]), (None, [7.0]), (5010, [1e30] * 64)]
+    got = sorted((tuple(r) for r in v.near_duplicates(frame(spark, rows)).collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_recall_on_the_test_table(spark):
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    x = np.array([r.embedding for r in table.collect()], float)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    wanted = int((x @ x.T >= 0.95).sum()) - len(x)
+    found = v.near_duplicates(table)
+    assert found.count() == len(x)
+    assert 0.9 * wanted <= sum(r.n_links for r in found.collect()) <= wanted
+
+
+def test_recall_at_the_threshold(spark):
+    """Pairs just above the threshold, which are the hardest to find."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        a = rng.standard_normal(64)
+        b = rng.standard_normal(64)
+        a /= np.linalg.norm(a)
+        b -= (a @ b) * a
+        b /= np.linalg.norm(b)
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (0.951 * a + np.sqrt(1 - 0.951**2) * b).tolist())]
+    found = v.near_duplicates(frame(spark, rows)).collect()
+    assert sum(r.n_links for r in found) >= 0.95 * 800
+
+
+def test_windows_across_batches(spark):
+    """A window that spans batches loses no pair and gives none twice."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(i, (np.ones(64) + 0.01 * np.sin(np.arange(64) * i)).tolist()) for i in range(40)]
+        got = v.near_duplicates(frame(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(r.n_links == 39 and r.component_id == 0 for r in got)
+
+
+def test_plan_grows_slowly():
+    sizes = [v.plan(n) for n in (10**3, 10**6, 10**9)]
+    assert [g for g, _, _ in sizes] == sorted(g for g, _, _ in sizes)
+    # About the fourth root of the number of classes.
+    assert sizes[2][1] < 10 ** (6 / 4) * sizes[0][1]
+
+
+def test_empty_table(spark):
+    assert v.near_duplicates(frame(spark, [])).count() == 0
