@@ -117,10 +117,10 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One annotation for each labelled document."""
     labels = spark.read.schema(LABELS).parquet(f"{sf_dir}/labels.parquet")
     docs = documents(spark, sf_dir)
-    first_words = F.split(F.substring_index("text", " ", 6), " ")
     flags = (
         F.when(F.col("toxic") == 1, F.array(F.lit("urgent_bleeding"), F.lit("mental_health_crisis")))
         .when(_id() % 7 == 0, F.array(F.lit("Urgent_Pain")))
+        .when(_id() % 11 == 0, F.array(F.lit("urgent_pain"), F.lit("urgent_fetal_concern")))
         .otherwise(F.array().cast("array<string>"))
     )
     secondary = F.slice(
@@ -136,7 +136,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trimester": _pick(TRIMESTERS),
         "sentiment": F.when(F.col("quality") == 1, SENTIMENTS[2]).otherwise(SENTIMENTS[0]),
         "urgency_0_3": (_id() % 4).cast("int"),
-        "keywords": first_words,
+        "keywords": F.split("text", " "),
         "safety_flags": flags,
         "post_summary": F.concat(F.lit('Post "'), _id().cast("string"), F.lit('"\nwas labelled.')),
         "care_response": F.trim(F.repeat(F.lit("kind words "), (50 + _id() % 70).cast("int"))),
@@ -151,6 +151,14 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(*[columns[name].alias(name) for name in ANNOTATION_COLUMNS])
 
 
+def crowded_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotations, a third of them of one post, and those twice over."""
+    notes = annotations(spark, sf_dir)
+    third = F.substring("post_id", 2, 20).cast("long") % 3 == 0
+    crowd = notes.filter(third).withColumn("post_id", F.lit("d5"))
+    return notes.filter(~third).unionByName(crowd).unionByName(crowd)
+
+
 def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed archive records: some keys absent, some null, some unusable."""
 
@@ -161,7 +169,7 @@ def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(
             absent_every(31, F.concat(F.lit("d"), _id().cast("string"))).alias("id"),
             absent_every(37, EPOCH + _id() * 3600).alias("created_utc"),
-            F.when(_id() % 3 == 0, F.lit("")).when(_id() % 3 == 1, F.col("text")).alias("selftext"),
+            F.when(_id() % 30 == 0, F.lit("")).when(_id() % 30 != 1, F.col("text")).alias("selftext"),
             absent_every(4, F.concat(F.lit("https://ex.org/"), _id().cast("string"))).alias("url"),
             absent_every(6, F.concat(F.lit("/r/"), "source", F.lit("/"), _id().cast("string"))).alias("permalink"),
             absent_every(10, F.col("lang")).alias("link_flair_text"),
@@ -189,8 +197,8 @@ def top_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("text", 1, 40).alias("title"),
         F.concat(F.lit("https://ex.org/"), _id().cast("string")).alias("url"),
         F.concat(F.lit("/r/"), "source", F.lit("/"), _id().cast("string")).alias("permalink"),
-        (_id() % 3 != 0).alias("is_self"),
-        F.when(_id() % 3 != 0, F.col("text")).otherwise("").alias("selftext"),
+        (_id() % 30 != 0).alias("is_self"),
+        F.when(_id() % 30 != 0, F.col("text")).otherwise("").alias("selftext"),
         ((_id() * 37) % 500).alias("score"),
         ((_id() * 13) % 80).alias("num_comments"),
         F.col("source").alias("subreddit"),
@@ -201,6 +209,18 @@ def _numbered(stem: str, n: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit(stem), i.cast("string")))
 
 
+def _spoilt(body: Column) -> Column:
+    """A sound object with more around it, in five ways; a repeated key is no fault."""
+    forms = [
+        F.concat(body, F.lit(" and more")),
+        F.concat(F.lit("```json\n"), body, F.lit("\n```")),
+        F.concat(F.lit("["), body, F.lit("]")),
+        F.concat(body, F.lit("]")),
+        F.concat(F.lit('{"sentiment":"positive",'), F.substr(body, F.lit(2))),
+    ]
+    return F.element_at(F.array(*forms), (_id() % 5 + 1).cast("int"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotator output: mostly sound objects, and each kind of broken one."""
     kind = _id() % 9
@@ -224,12 +244,13 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(_id() % 5 == 0, F.array(F.lit("urgent_pain")))
             .otherwise(F.array().cast("array<string>"))
             .alias("safety_flags"),
-            F.concat(F.lit('It "is" so.\r\nSay: '), F.substring("text", 1, 60)).alias("post_summary"),
+            F.concat(F.lit('It "is" so.\r\nSay: '), "text").alias("post_summary"),
             F.trim(F.repeat(F.lit("kind words "), (50 + _id() % 70).cast("int"))).alias("care_response"),
         )
     )
     response = (
         F.when(kind == 1, F.substring(body, 1, 30))
+        .when(kind == 8, _spoilt(body))
         .when(kind == 2, F.regexp_replace(body, '"urgency_0_3":([0-9])', '"urgency_0_3":"$1"'))
         .otherwise(body)
     )
@@ -318,9 +339,10 @@ annotations as (
     {sql_list(TRIMESTERS)}[doc_id % 8 + 1] as trimester,
     case quality when 1 then 'positive' else 'negative' end as sentiment,
     cast(doc_id % 4 as int) as urgency_0_3,
-    string_split(text, ' ')[1:6] as keywords,
+    string_split(text, ' ') as keywords,
     case when toxic = 1 then ['urgent_bleeding', 'mental_health_crisis']
          when doc_id % 7 = 0 then ['Urgent_Pain']
+         when doc_id % 11 = 0 then ['urgent_pain', 'urgent_fetal_concern']
          else cast([] as varchar[]) end as safety_flags,
     'Post "' || cast(doc_id as varchar) || '"' || chr(10) || 'was labelled.' as post_summary,
     trim(repeat('kind words ', 50 + doc_id % 70)) as care_response,
@@ -331,3 +353,11 @@ annotations as (
     cast(100 + doc_id % 300 as int) as output_tokens,
     {sql_ts(f'{EPOCH} + doc_id * 60')} as annotated_at
   from labels join documents using (doc_id))"""
+
+CROWDED_SQL = """
+numbered as (select *, cast(substr(post_id, 2) as bigint) % 3 = 0 as third from annotations),
+crowded as (
+  select * exclude (third) from numbered where not third
+  union all
+  select n.* exclude (third) replace ('d5' as post_id)
+  from numbered n, range(2) t where third)"""

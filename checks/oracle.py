@@ -143,7 +143,7 @@ archive as (
   select doc_id, doc_id % 41 = 0 as is_broken,
     case when doc_id % 31 = 0 then null else 'd' || cast(doc_id as varchar) end as id,
     case when doc_id % 37 = 0 then null else {fx.EPOCH} + doc_id * 3600 end as created_utc,
-    case doc_id % 3 when 0 then '' when 1 then text end as selftext,
+    case doc_id % 30 when 0 then '' when 1 then null else text end as selftext,
     case when doc_id % 4 = 0 then '' else 'https://ex.org/' || cast(doc_id as varchar) end as url,
     case when doc_id % 6 = 0 then ''
       else '/r/' || source || '/' || cast(doc_id as varchar) end as permalink,
@@ -172,10 +172,10 @@ select 'd' || cast(doc_id as varchar) as post_id,
   {fx.EPOCH} + doc_id * 3600 as post_timestamp,
   case when doc_id % 10 = 0 then null else upper(lang) end as post_flair,
   substr(text, 1, 40) as title,
-  case when doc_id % 3 <> 0
+  case when doc_id % 30 <> 0
     then 'https://www.reddit.com/r/' || source || '/' || cast(doc_id as varchar)
     else 'https://ex.org/' || cast(doc_id as varchar) end as url,
-  case when doc_id % 3 <> 0 then text else '' end as content,
+  case when doc_id % 30 <> 0 then text else '' end as content,
   (doc_id * 37) % 500 as score, (doc_id * 13) % 80 as num_comments,
   source as subreddit, {RUN_TS} as scraped_at
 from documents"""
@@ -185,7 +185,8 @@ from documents"""
 # The fields a sound reader finds in each response, from how it was made.
 RESPONSES = f"""
 made as (
-  select 'd' || cast(doc_id as varchar) as post_id, doc_id % 9 as kind,
+  select 'd' || cast(doc_id as varchar) as post_id,
+    doc_id % 9 = 1 or (doc_id % 9 = 8 and doc_id % 5 <> 4) as is_broken,
     {fx.sql_list(list(TOPICS))}[doc_id % 6 + 1] as primary_group,
     case when doc_id % 9 = 3 then 'no_such_topic' else {fx.TOPIC_SQL} end as primary_topic,
     case when doc_id % 9 = 4 then 4 else doc_id % 4 end as n_secondary,
@@ -194,7 +195,7 @@ made as (
     case when doc_id % 9 = 2 then null else cast(doc_id % 4 as int) end as urgency_0_3,
     case doc_id % 9 when 5 then 4 when 6 then 21 else 5 + doc_id % 16 end as n_keywords,
     case when doc_id % 5 = 0 then ['urgent_pain'] else cast([] as varchar[]) end as safety_flags,
-    'It "is" so.' || chr(13) || chr(10) || 'Say: ' || substr(text, 1, 60) as post_summary,
+    'It "is" so.' || chr(13) || chr(10) || 'Say: ' || text as post_summary,
     trim(repeat('kind words ', 50 + doc_id % 70)) as care_response,
     case when doc_id % 9 = 7 then 'x' else 'd' end || cast(doc_id as varchar) as echoed_id
   from documents),
@@ -206,11 +207,11 @@ parsed as (
     list_transform(range(1, n_keywords + 1), lambda i: 'k' || cast(i as varchar)) as keywords,
     safety_flags, post_summary, care_response, echoed_id,
     'ok' as status, cast(null as varchar) as error
-  from made where kind <> 1
+  from made where not is_broken
   union all
   select post_id, null, null, null, null, null, null, null, null, null, null, null,
     'failed', 'not a JSON object'
-  from made where kind = 1)"""
+  from made where is_broken)"""
 
 PARSED_COLUMNS = [
     "post_id",
@@ -344,6 +345,69 @@ ANNOTATE_BATCH = with_(
     """,
 )
 
+RUN_ERRORS = """
+  case n % 13 when 1 then 'post_summary is longer than 1000'
+    when 2 then 'TypeError: a reply has three parts'
+    when 3 then 'TypeError: 1.5 is no number of tokens'
+    when 4 then 'TypeError: the response is dict, not text'
+    when 5 then 'ValueError: no answer' when 6 then 'not a JSON object' end"""
+
+# After two runs only prompts the annotator can't answer at all are left.
+ANNOTATION_RUN = with_(
+    [
+        *TO_SILVER,
+        "wanted as (select * from silver where needs_annotation)",
+        PROMPTS.replace("FROM_TABLE", "wanted"),
+        f"""
+        asked as (select post_id, n, {RUN_ERRORS} as error
+          from (select post_id, cast(length(prompt) as int) as n from prompts))""",
+    ],
+    """
+    select post_id, 1 as run, error, cast(null as int) as urgency_0_3 from asked where error is not null
+    union all
+    select post_id, 2, error, null from asked where n % 13 = 5
+    union all
+    select post_id, 0, null, n % 4 from asked where n % 13 <> 5
+    """,
+)
+
+_SINCE = {"hour": "1 hour", "day": "1 day", "week": "7 day", "month": "30 day", "year": "365 day"}
+_AS_OF = "timestamp '2024-01-09 06:00:00'"
+_PERIODS = {p: f"post_date between {_AS_OF} - interval {span} and {_AS_OF}" for p, span in _SINCE.items()}
+TOP_PERIODS = with_(
+    TO_BRONZE,
+    " union all ".join(
+        f"""
+        select '{period}' as period, subreddit, top_rank, post_id, score from (
+          select *, cast(row_number() over (
+            partition by subreddit order by score desc, post_id) as int) as top_rank
+          from bronze where {condition})
+        where top_rank <= 3"""
+        for period, condition in (_PERIODS | {"all": "true"}).items()
+    ),
+)
+
+ALL_VIEWS = with_(
+    [
+        *TO_GOLD,
+        KEYWORDS,
+        BOOLEANS,
+        "flags as (select post_id, unnest(safety_flags) as f from gold)",
+    ],
+    " union all ".join(
+        f"select '{view}' as view, count(*) as n_rows, count(distinct post_id) as n_posts from {table}"
+        for view, table in {
+            "bronze": "bronze",
+            "silver": "silver",
+            "gold": "gold",
+            "post_review": "gold",
+            "keywords_exploded": "keywords",
+            "safety_flags_exploded": "flags",
+            "safety_booleans": "booleans",
+        }.items()
+    ),
+)
+
 ALL_RAW = with_([fx.RAW_SQL], f"select {RAW} from raw_posts")
 ALL_ANNOTATIONS = with_([fx.ANNOTATION_SQL], f"select {listed(ANNOTATION_COLUMNS)} from annotations")
 ALL_GOLD = with_(
@@ -398,6 +462,7 @@ ORACLE: dict[str, str] = {
         from gold group by subreddit
         """,
     ),
+    "model_views_all": ALL_VIEWS,
     "loaded_subreddits": with_(
         [fx.RAW_SQL],
         """
@@ -464,6 +529,18 @@ ORACLE: dict[str, str] = {
         where top_rank <= 1000
         """,
     ),
+    "top_posts_periods": TOP_PERIODS,
+    "posts_for_day_limited": with_(
+        [fx.RAW_SQL],
+        """
+        select post_id, score,
+          cast(row_number() over (order by post_date, post_id, score) as int) as place
+        from (
+          select * from raw_posts
+          where post_date >= timestamp '2024-01-15' and post_date < timestamp '2024-01-16'
+          order by post_date, post_id limit 10)
+        """,
+    ),
     "bronze_dedup": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
     "first_seen": with_(
         [fx.RAW_SQL],
@@ -514,6 +591,11 @@ ORACLE: dict[str, str] = {
     "heuristic_flags": HEURISTICS,
     "lexicon_tags": LEXICON_TAGS,
     "gold": ALL_GOLD,
+    "gold_hot": with_(
+        [*TO_SILVER, fx.ANNOTATION_SQL, fx.CROWDED_SQL],
+        "select p.post_id, n_words, primary_topic, urgency_0_3, output_tokens"
+        " from silver p left join crowded a on p.post_id = a.post_id",
+    ),
     "post_review": ALL_GOLD,
     "keywords_exploded": with_([*TO_GOLD, KEYWORDS], "select post_id, keyword from keywords"),
     "safety_flags_exploded": with_(
@@ -555,6 +637,12 @@ ORACLE: dict[str, str] = {
     "pending_batch": with_(
         [*TO_SILVER, fx.ANNOTATION_SQL, PENDING], "select * from pending order by post_id limit 10"
     ),
+    "pending_of_silver": with_(
+        [*TO_SILVER, fx.ANNOTATION_SQL, PENDING],
+        "select *, 'all' as choice from pending union all"
+        " select *, 'ten' from (select * from pending order by post_id limit 10)",
+    ),
+    "annotation_run": ANNOTATION_RUN,
     "prompt_render": with_(
         [*TO_SILVER, PROMPTS.replace("FROM_TABLE", "silver")],
         f"select post_id, prompt, {HASH} as prompt_hash from prompts",
@@ -586,8 +674,9 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "repeated_annotations": with_(
-        [fx.RAW_SQL],
-        "select post_id, count(*) as n_annotations from raw_posts group by 1 having count(*) > 1",
+        [fx.ANNOTATION_SQL, fx.CROWDED_SQL],
+        "select post_id, count(*) as n_annotations from crowded group by 1 having count(*) > 1",
     ),
     "incremental_bronze": ALL_BRONZE,
+    "incremental_current": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
 }

@@ -10,15 +10,16 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
 from postlake.functions import text
 from postlake.operators import annotate, dedupe, joins, select, shape, summary
-from postlake.plans import models
+from postlake.plans import models, runs
 from postlake.schemas import ANNOTATION, RAW_COLUMNS, RAW_POST
 from postlake.session import configure, scratch_path
 from postlake.sources import files, tables
@@ -27,6 +28,7 @@ from postlake.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = dt.datetime(2024, 6, 1, 12, 0, tzinfo=dt.timezone.utc)
+AS_OF = dt.datetime(2024, 1, 9, 6, 0, tzinfo=dt.timezone.utc)
 DAY = dt.date(2024, 1, 15)
 COMMUNITIES = ["src0", "SRC3", "Src5", "src8", "src11", "SRC13", "src17"]
 
@@ -51,14 +53,13 @@ def silver(spark: SparkSession, sf: str, **routing) -> DataFrame:
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
-    stored = fx.annotations(spark, sf)
-    return models.gold(silver(spark, sf), stored, joins.hot_ids(stored))
+    return models.gold(silver(spark, sf), fx.annotations(spark, sf), joins.PART_ROWS)
 
 
 def review(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     stored = fx.annotations(spark, sf)
     return models.review_of_ids(
-        fx.raw_posts(spark, sf), stored, list(columns), joins.hot_ids(stored)
+        fx.raw_posts(spark, sf), stored, list(columns), joins.PART_ROWS
     )
 
 
@@ -155,6 +156,16 @@ def model_views(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def model_views_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and posts of each of the seven views."""
+    names = models.views(spark, fx.raw_posts(spark, sf), fx.annotations(spark, sf))
+    counts = [
+        spark.sql(f"select '{n}' as view, count(*) as n_rows, count(distinct post_id) as n_posts from {n}")
+        for n in names
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def loaded_subreddits(spark: SparkSession, sf: str) -> DataFrame:
     names = fx.documents(spark, sf).select("source").distinct()
     wanted = names.select(F.explode(F.array("source", F.upper("source"))).alias("subreddit"))
@@ -212,6 +223,25 @@ def top_posts_period(spark: SparkSession, sf: str) -> DataFrame:
     return select.top_posts(period).select("subreddit", "top_rank", "post_id", "score", "post_title")
 
 
+def top_posts_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """The three best posts of each community for every period up to a fixed time."""
+    raw = fx.raw_posts(spark, sf)
+    tops = []
+    for period in select.PERIODS:
+        posts = models.bronze_without_text(select.in_period(raw, period, AS_OF))
+        top = select.top_posts(posts, limit=3)
+        tops.append(top.select(F.lit(period).alias("period"), "subreddit", "top_rank", "post_id", "score"))
+    return reduce(DataFrame.unionByName, tops)
+
+
+def posts_for_day_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """A day of one large community, cut to its first ten posts, with their places."""
+    raw = fx.raw_posts(spark, sf).withColumn("subreddit", F.lit("Everyone"))
+    chosen = select.posts_for_day(raw, "everyone", DAY, max_posts=10)
+    place = F.row_number().over(Window.orderBy("post_date", "post_id", "score"))
+    return chosen.select("post_id", "score", place.alias("place"))
+
+
 def bronze_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return dedupe.latest_posts(fx.raw_posts(spark, sf))
 
@@ -277,6 +307,13 @@ def gold_text(spark: SparkSession, sf: str) -> DataFrame:
     return arrays_as_text(gold(spark, sf))
 
 
+def gold_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold where one post holds a third of all annotations, some of them equal rows."""
+    stored = fx.crowded_annotations(spark, sf)
+    joined = models.gold(silver(spark, sf), stored, part_rows=20)
+    return joined.select("post_id", "n_words", "primary_topic", "urgency_0_3", "output_tokens")
+
+
 def post_review(spark: SparkSession, sf: str) -> DataFrame:
     return arrays_as_text(models.post_review(gold(spark, sf)))
 
@@ -304,7 +341,7 @@ def top_keywords(spark: SparkSession, sf: str) -> DataFrame:
 def latest_annotated(spark: SparkSession, sf: str) -> DataFrame:
     stored = fx.annotations(spark, sf)
     posts = models.bronze_without_text(fx.raw_posts(spark, sf))
-    return summary.latest_annotated(joins.with_annotations(posts, stored, joins.hot_ids(stored)))
+    return summary.latest_annotated(joins.with_annotations(posts, stored, joins.PART_ROWS))
 
 
 def ingest_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,6 +359,67 @@ def pending_batch(spark: SparkSession, sf: str) -> DataFrame:
     return models.pending(fx.raw_posts(spark, sf), fx.annotations(spark, sf), limit=10)
 
 
+def _silver_table(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "silver")
+    silver(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def pending_of_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """All pending posts of a stored silver table, and the first ten by way of a limit."""
+    stored, notes = _silver_table(spark, sf), fx.annotations(spark, sf)
+    every = models.pending_of_silver(stored, notes).withColumn("choice", F.lit("all"))
+    some = models.pending_of_silver(stored, notes, limit=10).withColumn("choice", F.lit("ten"))
+    return every.unionByName(some)
+
+
+def annotation_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over all pending posts, with every kind of bad reply in the first.
+
+    Rows are what is stored after both, and the posts that fail in each.
+    """
+
+    def annotator(broken: bool):
+        def label(texts: list[str]) -> list:
+            replies = []
+            for size in map(len, texts):
+                answer = {"sentiment": "neutral", "urgency_0_3": size % 4, "post_summary": "It is."}
+                reply = (json.dumps(answer), size // 4, size % 100)
+                kind = size % 13 if broken or size % 13 == 5 else 0
+                if kind == 1:
+                    reply = (json.dumps(answer | {"post_summary": "x" * 1001}), 1, 1)
+                elif kind == 2:
+                    reply = reply[:2]
+                elif kind == 3:
+                    reply = (reply[0], 1.5, 1)
+                elif kind == 4:
+                    reply = (answer, 1, 1)
+                elif kind == 5:
+                    raise ValueError("no answer")
+                elif kind == 6:
+                    reply = (reply[0] + " and more", 1, 1)
+                replies.append(reply)
+            return replies
+
+        return label
+
+    _, table = _new_tables(spark)
+    # Stored once, so that both runs read the same posts.
+    posts, outcome = _silver_table(spark, sf), []
+    for number, broken in ((1, True), (2, False)):
+        results = runs.annotate_pending(
+            spark, posts, table, annotator(broken), fx.TEMPLATE, "by-length", "1.0.0", RUN_TS,
+            scratch_path(spark, "run"), saves=2,
+        )
+        failed = results.filter("status = 'failed'")
+        outcome.append(
+            failed.select("post_id", F.lit(number).alias("run"), "error", F.lit(None).cast("int").alias("urgency_0_3"))
+        )
+    kept = tables.annotation_table(spark, table)
+    outcome.append(kept.select("post_id", F.lit(0).alias("run"), F.lit(None).cast("string").alias("error"), "urgency_0_3"))
+    return outcome[0].unionByName(outcome[1]).unionByName(outcome[2])
+
+
 def prompt_render(spark: SparkSession, sf: str) -> DataFrame:
     return annotate.render_prompts(silver(spark, sf), fx.TEMPLATE)
 
@@ -385,8 +483,7 @@ def token_usage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repeated_annotations(spark: SparkSession, sf: str) -> DataFrame:
-    """Annotations taken from every scrape, so posts scraped twice repeat."""
-    return summary.repeated_annotations(fx.raw_posts(spark, sf))
+    return summary.repeated_annotations(fx.crowded_annotations(spark, sf))
 
 
 def incremental_bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,6 +499,21 @@ def incremental_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return models.bronze(tables.raw_posts(spark, f"{target}/batch=*"))
 
 
+def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
+    """Three landings, the later ones with scrapes of posts that came before."""
+    landed, target, progress = (scratch_path(spark, n) for n in ("landed", "state", "progress"))
+    posts = fx.raw_posts(spark, sf).withColumn(
+        "landing",
+        F.when(F.col("content").contains(" See https://x.example.com/a?b="), 2).otherwise(
+            F.col("post_timestamp") % 2
+        ),
+    )
+    for number in range(3):
+        posts.filter(F.col("landing") == number).drop("landing").write.mode("append").parquet(landed)
+        incremental.take_in_new(spark, landed, RAW_POST, target, progress)
+    return incremental.current_posts(spark, target)
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw_posts": scan_raw_posts,
     "scan_annotations": scan_annotations,
@@ -413,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "roundtrip_json": roundtrip_json,
     "annotations_csv": annotations_csv,
     "model_views": model_views,
+    "model_views_all": model_views_all,
     "loaded_subreddits": loaded_subreddits,
     "loaded_subreddit_days": loaded_subreddit_days,
     "shape_archive": shape_archive,
@@ -422,6 +535,8 @@ QUERIES: dict[str, Query] = {
     "flair_filter": flair_filter,
     "subreddit_batch": subreddit_batch,
     "top_posts_period": top_posts_period,
+    "top_posts_periods": top_posts_periods,
+    "posts_for_day_limited": posts_for_day_limited,
     "bronze_dedup": bronze_dedup,
     "first_seen": first_seen,
     "content_duplicates": content_duplicates,
@@ -437,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "heuristic_flags": heuristic_flags,
     "lexicon_tags": lexicon_tags,
     "gold": gold_text,
+    "gold_hot": gold_hot,
     "post_review": post_review,
     "keywords_exploded": keywords_exploded,
     "safety_flags_exploded": safety_flags_exploded,
@@ -447,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": ingest_summary,
     "pending_posts": pending_posts,
     "pending_batch": pending_batch,
+    "pending_of_silver": pending_of_silver,
+    "annotation_run": annotation_run,
     "prompt_render": prompt_render,
     "annotate_batch": annotate_batch,
     "parse_annotations": parse_annotations,
@@ -456,6 +574,7 @@ QUERIES: dict[str, Query] = {
     "token_usage": token_usage,
     "repeated_annotations": repeated_annotations,
     "incremental_bronze": incremental_bronze,
+    "incremental_current": incremental_current,
 }
 
 

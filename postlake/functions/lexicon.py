@@ -182,6 +182,18 @@ def terms_found(line: Column, found: Column, lexicon: dict[str, list[str]]) -> C
     )
 
 
+def lists_of(terms: Column, lexicon: dict[str, list[str]]) -> Column:
+    """Names of all lists that share a term with those found, in list order."""
+    return F.array_compact(
+        F.array(
+            *[
+                F.when(F.arrays_overlap(terms, F.array(*map(F.lit, listed))), F.lit(name))
+                for name, listed in lexicon.items()
+            ]
+        )
+    )
+
+
 def first_tag(
     line: Column, found: Column, lexicon: dict[str, list[str]], otherwise: str | None
 ) -> Column:

@@ -15,6 +15,7 @@ from postlake.functions.time import instant
 from postlake.operators.once import add_once
 from postlake.schemas import (
     ANNOTATION_COLUMNS,
+    ANNOTATION_WIDTHS,
     RESPONSE,
     SAFETY_FLAGS,
     SENTIMENTS,
@@ -53,22 +54,37 @@ def annotate(
 ) -> DataFrame:
     """Run the caller's annotator over all prompts in distributed batches.
 
-    ``partitions`` sets how many batches run side by side. The post id is the
-    one of the input row. When a batch fails, each of its prompts is tried by
-    itself; a failing prompt gives a row with status 'failed' and never stops
-    the job.
+    ``partitions`` sets how many tasks ask side by side, by default as many as the
+    session runs; prompts are always dealt out by number, since few or sorted
+    prompts would otherwise sit in one task. The post id is the one of the input
+    row. When a batch fails, each of its prompts is tried by itself; a failing
+    prompt, or a reply that isn't text with two whole numbers or None, gives a row
+    with status 'failed' and never stops the job.
     """
-    if partitions:
-        prompts = prompts.repartition(partitions, "post_id")
+    tasks = partitions or prompts.sparkSession.sparkContext.defaultParallelism
+    prompts = prompts.repartition(tasks, "post_id")
 
-    # Both functions travel to the workers by value, so the workers need not
+    # These functions travel to the workers by value, so the workers need not
     # have this package installed.
+    def row_of(reply) -> tuple:
+        if not isinstance(reply, (tuple, list)) or len(reply) != 3:
+            return (None, None, None, "failed", "TypeError: a reply has three parts")
+        response, *tokens = reply
+        if not isinstance(response, str):
+            kind = type(response).__name__
+            return (None, None, None, "failed", f"TypeError: the response is {kind}, not text")
+        for count in tokens:
+            whole = isinstance(count, int) and not isinstance(count, bool)
+            if count is not None and not (whole and 0 <= count < 1 << 31):
+                return (None, None, None, "failed", f"TypeError: {count!r} is no number of tokens")
+        return (response, *tokens, "ok", None)
+
     def ask(texts: list[str]) -> list[tuple]:
         try:
             replies = annotator(texts)
             if len(replies) != len(texts):
                 raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
-            return [(*reply, "ok", None) for reply in replies]
+            return [row_of(reply) for reply in replies]
         except Exception as failure:
             if len(texts) == 1:
                 return [(None, None, None, "failed", f"{type(failure).__name__}: {failure}")]
@@ -90,22 +106,41 @@ def annotate(
 def parse_responses(replies: DataFrame) -> DataFrame:
     """Response text to typed fields, the id of the input row kept.
 
-    ``echoed_id`` is the id the response claims. Text that is no JSON object
-    turns the status to 'failed'; a field of the wrong type becomes null.
+    ``echoed_id`` is the id the response claims. Text that is not one JSON object
+    from end to end turns the status to 'failed': text before or after it, a code
+    fence, an array. A field of the wrong type becomes null, but a value given
+    where a text is due is kept as its JSON text; of a repeated key the last counts.
+
+    The JSON reader stops where its value ends. So the text is read as the only
+    element of an array, which text behind it spoils unless it starts with the
+    closing bracket, and as the only value of an object, which then is spoilt.
     """
-    parsed = add_once(replies, "r", F.from_json("response", RESPONSE))
-    is_object = F.json_object_keys("response").isNotNull()
-    fields = [f"r.{name}" for name in RESPONSE.fieldNames() if name != "post_id"]
+    listed = F.from_json(
+        F.concat(F.lit("["), "response", F.lit("]")),
+        T.ArrayType(RESPONSE),
+        {"allowSingleQuotes": "false"},
+    )
+    parsed = add_once(replies, "_l", listed).withColumn("r", F.get("_l", F.lit(0)))
+    alone = F.json_object_keys(F.concat(F.lit('{"r":'), "response", F.lit("}")))
+    is_object = F.coalesce(
+        (F.array_size("_l") == 1) & F.col("r").isNotNull() & (alone == F.array(F.lit("r"))),
+        F.lit(False),
+    )
+
+    def field(name: str) -> Column:
+        return F.when(is_object, F.col(f"r.{name}"))
+
+    fields = [field(name).alias(name) for name in RESPONSE.fieldNames() if name != "post_id"]
     has_status = "status" in replies.columns
     answered = (F.col("status") == "ok") if has_status else F.lit(True)
     known = F.col("error") if has_status else F.lit(None).cast("string")
     return parsed.select(
         "post_id",
         *fields,
-        F.col("r.post_id").alias("echoed_id"),
+        field("post_id").alias("echoed_id"),
         *[c for c in ("input_tokens", "output_tokens") if c in replies.columns],
         F.when(answered & is_object, "ok").otherwise("failed").alias("status"),
-        F.when(answered & ~F.coalesce(is_object, F.lit(False)), "not a JSON object")
+        F.when(answered & ~is_object, "not a JSON object")
         .otherwise(known)
         .alias("error"),
     )
@@ -181,6 +216,27 @@ def validate(annotations: DataFrame) -> DataFrame:
     return checked.withColumn("is_valid", F.array_size("violations") == 0)
 
 
+def check_widths(results: DataFrame) -> DataFrame:
+    """Results that the stored table can't hold become 'failed', with the column named.
+
+    Nothing is cut: a text that is too long is an answer to ask for again.
+    """
+    reason = F.coalesce(
+        *[
+            F.when(F.length(name) > width, F.lit(f"{name} is longer than {width}"))
+            for name, width in ANNOTATION_WIDTHS.items()
+            if name in results.columns
+        ]
+    )
+    too_long = F.col("status").eqNullSafe("ok") & reason.isNotNull()
+    return results.withColumns(
+        {
+            "error": F.when(too_long, reason).otherwise(F.col("error")),
+            "status": F.when(too_long, "failed").otherwise(F.col("status")),
+        }
+    )
+
+
 def to_annotations(results: DataFrame) -> DataFrame:
     """Successful results in the column order of the stored table."""
     return sanitise_free_text(results.filter(F.col("status") == "ok")).select(ANNOTATION_COLUMNS)
@@ -196,10 +252,11 @@ def tag_by_lexicon(posts: DataFrame, column: str = "text_for_llm") -> DataFrame:
     lines = posts.select("post_id", lexicon.word_line(F.col(column)).alias("_l"))
     lines = add_once(lines, "_f", lexicon.anchors_found(F.col("_l"), domains, triggers, stages))
     line, found = F.col("_l"), F.col("_f")
+    lines = add_once(lines, "_t", lexicon.terms_found(line, found, domains))
     return lines.select(
         "post_id",
-        lexicon.tags(line, found, domains).alias("domains"),
-        lexicon.terms_found(line, found, domains).alias("keywords"),
+        lexicon.lists_of(F.col("_t"), domains).alias("domains"),
+        F.col("_t").alias("keywords"),
         lexicon.tags(line, found, triggers).alias("safety_flags"),
         lexicon.first_tag(line, found, stages, "unclear").alias("trimester"),
     )

@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds at least this share of all rows, so there can be
-# no more than 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.001
-HOT_PARTS = 8
+# Annotations of one post that a task may join; posts with more get several parts.
+PART_ROWS = 100_000
 
 
-def hot_ids(df: DataFrame, key: str = "post_id", min_rows: int = 1_000_000) -> list[str]:
-    """Keys that hold a large share of the rows of ``df``; at most 1 / HOT_SHARE.
+def hot_parts(annotations: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(post_id, _parts) of posts with more annotations than ``part_rows``.
 
-    A table too small to hurt has none, and then only its row count is read.
-    Otherwise one pass over the key column counts, with map-side combining.
+    One pass over the ids, combined map-side. At most one in ``part_rows``
+    annotations gives a row here.
     """
-    total = df.count()
-    if total < min_rows:
-        return []
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).count()
-    return [row[0] for row in counts.filter(F.col("count") >= HOT_SHARE * total).collect()]
+    counts = annotations.filter(F.col("post_id").isNotNull()).groupBy("post_id").count()
+    parts = F.ceil(F.col("count") / part_rows).cast("int")
+    return counts.select("post_id", parts.alias("_parts")).filter("_parts > 1")
 
 
 def distinct_ids(df: DataFrame) -> DataFrame:
@@ -32,28 +28,35 @@ def distinct_ids(df: DataFrame) -> DataFrame:
 def with_annotations(
     posts: DataFrame,
     annotations: DataFrame,
-    hot: list[str] | None = None,
+    part_rows: int | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Join posts, unique on post id, with all their annotations.
 
-    Annotations should be unique as well, then this is one shuffled join. When
-    the stored table holds some ids very often, give them as ``hot`` (``hot_ids``
-    finds them). AQE cannot split the annotations of a left join, so those of hot
-    ids are joined apart, in salted parts, by an inner join with the few posts
-    they have. There AQE broadcasts the posts if their measured size allows it,
-    and splits parts that are still too large if not.
+    Appends keep stored annotations unique as well, then this is one shuffled join.
+    Where a table may hold some ids very often give ``part_rows``, the number of
+    annotations of one post that a task may join. AQE cannot split the annotations
+    of a left join, so every post then gets as many parts as its count asks for, by
+    the same path at every size: its annotations are dealt out over the parts, one
+    copy of the post meets each, and of a post with annotations the copies that
+    meet none are dropped. Posts are read once. The dealing counts rows within a
+    task, which parts equal rows too; it is the same when a task that reads a
+    stored table runs twice.
     """
-    if not hot:
+    if not part_rows:
         return posts.join(annotations, "post_id", how)
-    is_hot = F.coalesce(F.col("post_id").isin(hot), F.lit(False))
-    rest = posts.filter(~is_hot).join(annotations.filter(~is_hot), "post_id", how)
-
-    part = F.pmod(F.xxhash64(*annotations.columns), F.lit(HOT_PARTS)).cast("int")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(HOT_PARTS - 1)))
-    few = posts.filter(F.col("post_id").isin(hot)).withColumn("_part", parts)
-    many = annotations.filter(F.col("post_id").isin(hot)).withColumn("_part", part)
-    return rest.unionByName(many.join(few, ["post_id", "_part"]).select(rest.columns))
+    hot = hot_parts(annotations, part_rows)
+    dealt = annotations.join(hot, "post_id", "left").withColumn(
+        "_part",
+        F.when(F.col("_parts").isNull(), 0)
+        .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_parts")))
+        .cast("int"),
+    )
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    spread = posts.join(hot, "post_id", "left").withColumn("_part", copies)
+    met = dealt.drop("_parts").withColumn("_met", F.lit(True))
+    joined = spread.join(met, ["post_id", "_part"], how)
+    return joined.filter(F.col("_parts").isNull() | F.col("_met")).drop("_part", "_parts", "_met")
 
 
 def without_annotation(posts: DataFrame, annotations: DataFrame) -> DataFrame:

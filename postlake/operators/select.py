@@ -59,10 +59,18 @@ def of_communities(raw: DataFrame, names: list[str] | None = None) -> DataFrame:
 
 
 def in_period(posts: DataFrame, period: str, as_of: dt.datetime) -> DataFrame:
-    """Posts of a trailing period that ends at ``as_of``."""
+    """Posts of a trailing period that ends at ``as_of``.
+
+    A post's creation time is the same in all its scrapes, so raw posts may be
+    filtered before they are deduplicated: the bounds then reach the scan, and day
+    folders outside the period stay closed.
+    """
     span = PERIODS[period]
     if span is None:
         return posts
+    if "post_day" in posts.columns:
+        days = [(t if t.tzinfo is None else t.astimezone(dt.timezone.utc)).date() for t in (as_of - span, as_of)]
+        posts = posts.filter(F.col("post_day").between(*map(F.lit, days)))
     return posts.filter(F.col("post_date").between(instant(as_of - span), instant(as_of)))
 
 
@@ -90,10 +98,19 @@ def loaded_communities(wanted: DataFrame, raw: DataFrame) -> DataFrame:
 
 
 def loaded_days(wanted: DataFrame, raw: DataFrame) -> DataFrame:
-    """For each wanted (``subreddit`` in any case, ``day``): stored posts and a flag."""
-    stored = raw.groupBy(
-        F.upper("subreddit").alias("_name"), F.to_date("post_date").alias("day")
-    ).agg(F.count("*").alias("_n"))
+    """For each wanted (``subreddit`` in any case, ``day``): stored posts and a flag.
+
+    Posts of other communities and days leave before they are counted; with day
+    folders the join prunes those of other days.
+    """
+    day = F.col("post_day") if "post_day" in raw.columns else F.to_date("post_date")
+    asked = wanted.select(F.upper("subreddit").alias("_name"), "day").distinct()
+    stored = (
+        raw.select(F.upper("subreddit").alias("_name"), day.alias("day"))
+        .join(asked, ["_name", "day"], "left_semi")
+        .groupBy("_name", "day")
+        .agg(F.count("*").alias("_n"))
+    )
     n_posts = F.coalesce("_n", F.lit(0))
     return (
         wanted.withColumn("_name", F.upper("subreddit"))

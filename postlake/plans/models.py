@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import lexicon, text
 from postlake.operators import arrays, clean, dedupe, joins
+from postlake.operators.once import add_once
 from postlake.schemas import ANNOTATION_COLUMNS, GOLD_COLUMNS, SILVER_COLUMNS
 
 
@@ -72,14 +73,17 @@ def silver(bronze_posts: DataFrame, **routing) -> DataFrame:
 def gold(
     silver_posts: DataFrame,
     annotations: DataFrame,
-    hot: list[str] | None = None,
+    part_rows: int | None = None,
     redacted_only: bool = False,
 ) -> DataFrame:
     """Posts with their annotations, 41 columns.
 
+    ``part_rows`` splits posts with more annotations than that, see the join.
     ``redacted_only`` leaves out the columns that still hold unredacted text.
     """
-    joined = joins.with_annotations(silver_posts, annotations.select(ANNOTATION_COLUMNS), hot)
+    joined = joins.with_annotations(
+        silver_posts, annotations.select(ANNOTATION_COLUMNS), part_rows
+    )
     unsafe = {"post_title", "post_url", "post_flair", "text_raw"} if redacted_only else set()
     return joined.select([c for c in GOLD_COLUMNS if c not in unsafe])
 
@@ -104,7 +108,7 @@ def safety_booleans(review: DataFrame) -> DataFrame:
 
 
 def review_of_ids(
-    raw: DataFrame, annotations: DataFrame, columns: list[str], hot: list[str] | None = None
+    raw: DataFrame, annotations: DataFrame, columns: list[str], part_rows: int | None = None
 ) -> DataFrame:
     """The post id and some annotation columns of the review, without post text.
 
@@ -113,7 +117,7 @@ def review_of_ids(
     and this reads one column of the raw table instead of all text.
     """
     ids = joins.distinct_ids(raw)
-    return joins.with_annotations(ids, annotations.select("post_id", *columns), hot)
+    return joins.with_annotations(ids, annotations.select("post_id", *columns), part_rows)
 
 
 def pending(raw: DataFrame, annotations: DataFrame, limit: int | None = None) -> DataFrame:
@@ -131,7 +135,12 @@ def pending_of_silver(
 ) -> DataFrame:
     """The same from a stored silver table, whose flag is a filter of the scan."""
     wanted = silver_posts.filter("needs_annotation")
-    return _to_annotate(joins.without_annotation(wanted, annotations), limit)
+    if limit is None:
+        return _to_annotate(joins.without_annotation(wanted, annotations), None)
+    # The choice is made on ids; only the texts of the chosen are fetched.
+    chosen = joins.without_annotation(wanted.select("post_id"), annotations)
+    chosen = chosen.orderBy("post_id").limit(limit)
+    return _to_annotate(wanted.join(chosen, "post_id", "left_semi"), None)
 
 
 def _to_annotate(unseen: DataFrame, limit: int | None) -> DataFrame:
@@ -154,19 +163,19 @@ def with_heuristics(
         return (F.col("score") >= level[0]) | (F.col("num_comments") >= level[1])
 
     clinical = {"clinical": lexicon.KEYWORD_DOMAINS["clinical"]}
-    lines = silver_posts.withColumn("_l", lexicon.word_line(F.col("text_for_llm")))
+    lines = add_once(silver_posts, "_l", lexicon.word_line(F.col("text_for_llm")))
     line, found = F.col("_l"), F.col("_f")
-    lines = lines.withColumn("_f", lexicon.anchors_found(line, clinical, lexicon.PHASE_TRIGGERS))
-    return lines.withColumns(
-        {
-            "lang_hint": text.lang_hint(F.col("text_for_llm")),
-            "has_medical_terms": lexicon.mentions(line, found, clinical["clinical"]),
-            "trimester_hint": lexicon.first_tag(line, found, lexicon.PHASE_TRIGGERS, None),
-            "engagement_level": F.when(reaches(high), "high")
-            .when(reaches(medium), "medium")
-            .otherwise("low"),
-        }
-    ).drop("_l", "_f")
+    lines = add_once(lines, "_f", lexicon.anchors_found(line, clinical, lexicon.PHASE_TRIGGERS))
+    hints = F.struct(
+        text.lang_hint(F.col("text_for_llm")).alias("lang_hint"),
+        lexicon.mentions(line, found, clinical["clinical"]).alias("has_medical_terms"),
+        lexicon.first_tag(line, found, lexicon.PHASE_TRIGGERS, None).alias("trimester_hint"),
+    )
+    hinted = add_once(lines, "_h", hints)
+    level = F.when(reaches(high), "high").when(reaches(medium), "medium").otherwise("low")
+    return hinted.select(
+        *silver_posts.columns, "_h.*", level.alias("engagement_level")
+    )
 
 
 def views(spark: SparkSession, raw: DataFrame, annotations: DataFrame) -> list[str]:
@@ -176,9 +185,11 @@ def views(spark: SparkSession, raw: DataFrame, annotations: DataFrame) -> list[s
     """
     models = {"bronze": bronze(raw)}
     models["silver"] = silver(models["bronze"])
-    models["gold"] = gold(models["silver"], annotations)
+    models["gold"] = gold(models["silver"], annotations, joins.PART_ROWS)
     models["post_review"] = post_review(models["gold"])
-    arrays_only = review_of_ids(raw, annotations, ["keywords", "safety_flags"])
+    arrays_only = review_of_ids(
+        raw, annotations, ["keywords", "safety_flags"], joins.PART_ROWS
+    )
     models["keywords_exploded"] = keywords_exploded(arrays_only)
     models["safety_flags_exploded"] = safety_flags_exploded(arrays_only)
     models["safety_booleans"] = safety_booleans(arrays_only)

@@ -3,48 +3,83 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from postlake.operators import annotate, shape, summary
+from postlake.functions import text
+from postlake.functions.time import instant
+from postlake.operators import annotate, dedupe, shape, summary
 from postlake.plans import models
-from postlake.session import scratch_path
 from postlake.sources import tables
 
 
 def ingest_archive(records: DataFrame, table: str, run_ts: dt.datetime) -> DataFrame:
-    """Shape landed archive records, append them, and report what was collected."""
+    """Shape landed archive records, append them, and report what was stored.
+
+    The report reads the stored rows of this ``run_ts``, so the landed text is read
+    and parsed once. ``tables.post_rejects`` lists what was too long to store.
+    """
     spark = records.sparkSession
     tables.create_raw_table(spark, table)
-    posts = shape.shape_archive(records, run_ts)
-    tables.append_posts(posts, table)
-    return summary.ingest_summary(posts)
+    tables.append_posts(shape.shape_archive(records, run_ts), table)
+    stored = tables.raw_table(spark, table).filter(F.col("scraped_at") == instant(run_ts))
+    return summary.ingest_summary(stored)
 
 
 def annotate_pending(
     spark: SparkSession,
-    raw: DataFrame,
+    posts: DataFrame,
     table: str,
     annotator: annotate.Annotator,
     template: str,
     model_name: str,
     model_version: str,
     run_ts: dt.datetime,
+    folder: str,
     limit: int | None = None,
     partitions: int | None = None,
+    saves: int = 1,
 ) -> DataFrame:
-    """Annotate what is pending and store it; returns the results with status.
+    """Annotate what is pending and store it; returns all results of the run.
 
-    Replies are written before anything reads them: they are costly, and a lost
-    executor or a second use of the results must not ask the model again.
+    ``posts`` is the raw table or a stored silver table, ``folder`` a place of this
+    run's own that all executors reach. Replies are written there before anything
+    reads them, in ``saves`` jobs one after another, so a job that fails costs its
+    own prompts only. A run repeated with the same folder reuses the good replies it
+    finds and asks for the others again. Results carry a status, the reason of a
+    failure, and the broken rules of the contract; what can't be parsed or stored is
+    'failed' and stays pending, everything else is appended.
     """
     tables.create_annotation_table(spark, table)
-    todo = models.pending(raw, tables.annotation_table(spark, table), limit)
-    replies = annotate.annotate(annotate.render_prompts(todo, template), annotator, partitions)
-    path = scratch_path(spark, "replies")
-    replies.write.parquet(path)
+    known = tables.annotation_table(spark, table)
+    is_silver = "needs_annotation" in posts.columns
+    todo = (models.pending_of_silver if is_silver else models.pending)(posts, known, limit)
+    prompts = annotate.render_prompts(todo, template)
+
+    # An empty append makes the folder, whether or not the run was here before.
+    kept, asked = f"{folder}/replies", f"{folder}/prompts-{uuid.uuid4().hex}"
+    replies = T.StructType([*annotate.REPLY.fields, T.StructField("prompt_hash", T.StringType())])
+    spark.createDataFrame([], replies).write.mode("append").parquet(kept)
+    earlier = spark.read.schema(replies).parquet(kept).filter(F.col("status") == "ok")
+    missing = prompts.join(earlier.select("post_id", "prompt_hash"), ["post_id", "prompt_hash"], "left_anti")
+    missing.write.parquet(asked)
+    open_ = spark.read.schema(prompts.schema).parquet(asked)
+    turn = F.pmod(F.xxhash64("post_id"), F.lit(saves))
+    for number in range(saves):
+        some = open_.filter(turn == number)
+        answers = annotate.annotate(some, annotator, partitions)
+        answers = answers.withColumn("prompt_hash", text.prompt_hash(F.lit(template)))
+        answers.write.mode("append").parquet(kept)
 
-    parsed = annotate.parse_responses(spark.read.schema(annotate.REPLY).parquet(path))
+    # A prompt that failed in one attempt and succeeded in a later one is a success.
+    attempts = spark.read.schema(replies).parquet(kept)
+    attempts = attempts.filter(F.col("prompt_hash") == text.prompt_hash(F.lit(template)))
+    best = [F.desc("status"), *(F.asc_nulls_last(c) for c in ("response", "error"))]
+    parsed = annotate.parse_responses(dedupe.first_by(attempts.drop("prompt_hash"), ["post_id"], best))
     results = annotate.with_metadata(parsed, model_name, model_version, template, run_ts)
+    results = annotate.validate(annotate.check_widths(results))
     tables.append_annotations(annotate.to_annotations(results), table)
     return results

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
+# --- Fixed values: columns and types of the tables ----------------------------
+
 RAW_POST = T.StructType(
     [
         T.StructField("post_id", T.StringType()),
@@ -95,6 +99,14 @@ ANNOTATION_DDL = """
     input_tokens INT, output_tokens INT, annotated_at TIMESTAMP
 """
 
+
+def _widths(ddl: str) -> dict[str, int]:
+    return {name: int(width) for name, width in re.findall(r"(\w+) VARCHAR\((\d+)\)", ddl)}
+
+
+RAW_WIDTHS = _widths(RAW_POST_DDL)
+ANNOTATION_WIDTHS = _widths(ANNOTATION_DDL)
+
 RAW_COLUMNS = RAW_POST.fieldNames()
 ANNOTATION_COLUMNS = ANNOTATION.fieldNames()
 

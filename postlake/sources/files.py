@@ -19,13 +19,18 @@ CSV_OPTIONS = {
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; array columns as JSON text."""
+# Rows of one CSV file: as values may hold line breaks, a file is read by one task.
+CSV_ROWS = 100_000
+
+
+def write_csv(df: DataFrame, path: str, rows_per_file: int = CSV_ROWS) -> None:
+    """CSV with a header; array columns as JSON text; files of bounded length."""
     columns = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in df.schema
     ]
-    df.select(columns).write.options(**CSV_OPTIONS).csv(path)
+    writer = df.select(columns).write.option("maxRecordsPerFile", rows_per_file)
+    writer.options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -35,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         [T.StructField(f.name, T.StringType()) if f.name in arrays else f for f in schema]
     )
     # A line break may stand inside a quoted value, so a file is read as a whole
-    # by one task; the writer's many part files keep the read parallel.
+    # by one task; the writer's bounded part files keep the read parallel.
     # An empty field is a missing value and "" is empty text; the reader takes
     # both for missing unless its mark of a missing value is something else.
     options = CSV_OPTIONS | {"multiLine": "true", "nullValue": "\0"}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.operators import dedupe, joins, select
@@ -13,10 +13,12 @@ from postlake.schemas import (
     ANNOTATION,
     ANNOTATION_COLUMNS,
     ANNOTATION_DDL,
+    ANNOTATION_WIDTHS,
     RAW_COLUMNS,
     RAW_POST,
     RAW_POST_BY_DAY,
     RAW_POST_DDL,
+    RAW_WIDTHS,
 )
 
 
@@ -93,14 +95,37 @@ def _append(rows: DataFrame, table: str, buckets: int | None) -> None:
     rows.write.insertInto(table)
 
 
+def _too_long(widths: dict[str, int]) -> Column:
+    """The first column whose text is longer than the table allows, or null."""
+    return F.coalesce(
+        *[F.when(F.length(c) > n, F.lit(f"{c} is longer than {n}")) for c, n in widths.items()]
+    )
+
+
+def post_rejects(posts: DataFrame) -> DataFrame:
+    """Raw posts that the table can't hold, with the ``reason``; appends leave them out."""
+    reason = _too_long(RAW_WIDTHS)
+    return posts.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def annotation_rejects(annotations: DataFrame) -> DataFrame:
+    """Annotations that the table can't hold, with the ``reason``; appends leave them out."""
+    reason = _too_long(ANNOTATION_WIDTHS)
+    return annotations.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def append_posts(posts: DataFrame, table: str, buckets: int | None = None) -> None:
     """Append raw posts as they are. The table keeps every scrape of a post.
 
+    Rows with a text too long for its column are left out, whole, so that one can't
+    fail the append of all others; ``post_rejects`` lists them.
+
     For a bucketed table give its bucket count: each bucket then gets one file
     instead of one per task. An empty frame adds no rows; it is not tested for
     emptiness first, as that would run the plan behind it twice.
     """
-    _append(posts.select(RAW_COLUMNS), table, buckets)
+    fitting = posts.select(RAW_COLUMNS).filter(_too_long(RAW_WIDTHS).isNull())
+    _append(fitting, table, buckets)
 
 
 def append_posts_by_day(posts: DataFrame, path: str) -> None:
@@ -121,9 +146,13 @@ def new_annotations(annotations: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def append_annotations(annotations: DataFrame, table: str, buckets: int | None = None) -> None:
-    """Append annotations of new posts; running it again adds nothing."""
+    """Append annotations of new posts; running it again adds nothing.
+
+    What is too long for its column stays out, see ``annotation_rejects``.
+    """
     stored = annotations.sparkSession.table(table)
-    _append(new_annotations(annotations, stored).select(ANNOTATION_COLUMNS), table, buckets)
+    fitting = annotations.filter(_too_long(ANNOTATION_WIDTHS).isNull())
+    _append(new_annotations(fitting, stored).select(ANNOTATION_COLUMNS), table, buckets)
 
 
 def materialise(model: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import json
 
 import pytest
@@ -57,6 +58,36 @@ def test_wrong_number_of_replies_is_a_failure(spark):
     assert replies.filter("status = 'failed' and error like 'ValueError%'").count() == 4
 
 
+@pytest.mark.parametrize(
+    ("reply", "error"),
+    [
+        (("{}", 1), "three parts"),
+        ("{}", "three parts"),
+        (None, "three parts"),
+        (("{}", 1.5, 1), "1.5 is no number"),
+        (("{}", True, 1), "True is no number"),
+        (("{}", 1, 1 << 31), "2147483648 is no number"),
+        (("{}", -1, None), "-1 is no number"),
+        (({"a": 1}, 1, 1), "the response is dict"),
+    ],
+)
+def test_badly_typed_reply_fails_alone(spark, reply, error):
+    prompts = spark.range(4).selectExpr("cast(id as string) as post_id", "cast(id as string) as prompt")
+    answer = lambda batch: [reply if p == "2" else ("{}", None, 3) for p in batch]
+    rows = {r.post_id: r for r in annotate.annotate(prompts, answer, partitions=1).collect()}
+    assert rows["2"].status == "failed" and error in rows["2"].error
+    assert all(rows[i].status == "ok" and rows[i].output_tokens == 3 for i in "013")
+
+
+def test_limited_prompts_are_asked_from_several_tasks(spark):
+    from pyspark import TaskContext
+
+    prompts = spark.range(1000).selectExpr("cast(id as string) as post_id", "'x' as prompt")
+    asker = lambda batch: [(str(TaskContext.get().partitionId()), 0, 0) for _ in batch]
+    replies = annotate.annotate(prompts.orderBy("post_id").limit(100), asker)
+    assert replies.select("response").distinct().count() >= 3
+
+
 def test_no_prompts(spark, fail_on_odd):
     prompts = spark.range(0).selectExpr("cast(id as string) as post_id", "'x' as prompt")
     assert annotate.annotate(prompts, fail_on_odd, partitions=2).count() == 0
@@ -73,6 +104,32 @@ def test_parse(spark):
     assert extra.status == "ok"
 
 
+@pytest.mark.parametrize(
+    ("form", "sentiment"),
+    [
+        ("%s and more", None),
+        ("so: %s", None),
+        ("%s]", None),
+        ("%s}", None),
+        ("%s,%s", None),
+        ('%s,"x":1', None),
+        ("[%s]", None),
+        ("```json\n%s\n```", None),
+        ("  %s\n ", "neutral"),
+    ],
+)
+def test_only_a_whole_object_is_parsed(spark, form, sentiment):
+    text = form.replace("%s", json.dumps(SOUND))
+    row = parsed(spark, text).first()
+    assert (row.status, row.sentiment) == ("ok" if sentiment else "failed", sentiment)
+
+
+def test_odd_objects(spark):
+    rows = parsed(spark, "null", "3", "", "{}", "{'sentiment': 'x'}", '{"sentiment": "a", "sentiment": "b"}', '{"sentiment": 3}').collect()
+    assert [r.status for r in rows] == ["failed"] * 3 + ["ok", "failed", "ok", "ok"]
+    assert [r.sentiment for r in rows[5:]] == ["b", "3"]
+
+
 @pytest.mark.parametrize(
     ("change", "broken"),
     [
@@ -140,10 +197,13 @@ def test_annotation_run(spark, make_raw, tmp_path):
             replies.append((json.dumps(answer), len(prompt), 5))
         return replies
 
+    number = itertools.count()
+
     def run(limit=None):
         return runs.annotate_pending(
-            spark, raw, table, label, "{{POST_ID}}: {{POST_TEXT}}", "m", "1", utc(2024, 1, 1), limit
-        )
+            spark, raw, table, label, "{{POST_ID}}: {{POST_TEXT}}", "m", "1", utc(2024, 1, 1),
+            str(tmp_path / f"run{next(number)}"), limit,
+        )
 
     assert summary.annotation_summary(run(limit=2)).first().n_total == 2
     first = summary.annotation_summary(run()).first()
@@ -160,6 +220,53 @@ def test_annotation_run(spark, make_raw, tmp_path):
     assert [r.post_id for r in models.pending(raw, stored).collect()] == ["bad"]
 
 
+def test_repeated_run_asks_only_what_has_no_good_reply(spark, make_raw, tmp_path):
+    """A run that stopped between its replies and the append asks nothing twice."""
+    tables.create_annotation_table(spark, "first_try", str(tmp_path / "a"))
+    tables.create_annotation_table(spark, "second_try", str(tmp_path / "b"))
+    raw = make_raw(*[{"post_id": f"p{i}", "content": f"one two three four five {i}"} for i in range(20)])
+    log, folder = tmp_path / "asked", str(tmp_path / "run")
+    log.mkdir()
+
+    def asker(bad):
+        def label(prompts):
+            replies = []
+            for p in prompts:
+                (log / f"{bad}-{p.split(':')[0]}").touch()
+                summary = "x" * (2000 if bad and p.startswith("p3") else 5)
+                replies.append((json.dumps(SOUND | {"post_summary": summary}), 1, 1) if not (bad and p.startswith("p1:")) else ("{}",))
+            return replies
+
+        return label
+
+    def run(table, bad):
+        return runs.annotate_pending(
+            spark, raw, table, asker(bad), "{{POST_ID}}: {{POST_TEXT}}", "m", "1", utc(2024, 1, 1), folder, saves=3
+        )
+
+    first = {r.post_id: r for r in run("first_try", True).collect()}
+    assert first["p1"].status == "failed" and "three parts" in first["p1"].error
+    assert first["p3"].error == "post_summary is longer than 1000"
+    assert first["p2"].status == "ok" and "echoed_id" in first["p2"].violations
+    assert tables.annotation_table(spark, "first_try").count() == 18
+    run("second_try", False)
+    assert sorted(p.name for p in log.glob("False-*")) == ["False-p1"]
+    assert tables.annotation_table(spark, "second_try").count() == 19
+
+
+def test_run_on_a_stored_silver_table(spark, make_raw, tmp_path):
+    tables.create_annotation_table(spark, "of_silver", str(tmp_path / "a"))
+    raw = make_raw(*[{"post_id": f"p{i}", "content": f"one two three four five {i}"} for i in range(9)])
+    models.silver(models.bronze(raw)).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    label = lambda prompts: [(json.dumps(SOUND), 1, 1) for _ in prompts]
+    results = runs.annotate_pending(
+        spark, silver, "of_silver", label, "{{POST_ID}}", "m", "1", utc(2024, 1, 1), str(tmp_path / "run"), limit=4
+    )
+    assert sorted(r.post_id for r in results.collect()) == ["p0", "p1", "p2", "p3"]
+    assert tables.annotation_table(spark, "of_silver").count() == 4
+
+
 def test_append_keeps_one_annotation_per_post(spark, make_annotations, tmp_path):
     table = "kept_annotations"
     tables.create_annotation_table(spark, table, str(tmp_path / "a"))

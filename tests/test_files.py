@@ -71,8 +71,28 @@ def test_tables_are_made_once_and_check_lengths(spark, make_raw, tmp_path):
     tables.append_posts(make_raw({"post_id": "a"}), "lengths")
     tables.append_posts(make_raw(), "lengths")
     assert tables.raw_table(spark, "lengths").count() == 1
-    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
-        tables.append_posts(make_raw({"post_id": "a" * 256}), "lengths")
+    mixed = make_raw({"post_id": "a" * 256}, {"post_id": "b", "title": "t" * 2000}, {"post_id": "c", "url": "u" * 2001})
+    tables.append_posts(mixed, "lengths")
+    assert {r.post_id for r in tables.raw_table(spark, "lengths").collect()} == {"a", "b"}
+    assert {r.reason for r in tables.post_rejects(mixed).collect()} == {
+        "post_id is longer than 255",
+        "url is longer than 2000",
+    }
+
+
+def test_one_long_annotation_keeps_no_other_out(spark, make_annotations, tmp_path):
+    tables.create_annotation_table(spark, "long_notes", str(tmp_path / "n"))
+    notes = make_annotations({"post_id": "a", "post_summary": "x" * 1001}, {"post_id": "b", "post_summary": "x" * 1000})
+    tables.append_annotations(notes, "long_notes")
+    assert [r.post_id for r in tables.annotation_table(spark, "long_notes").collect()] == ["b"]
+    assert [r.reason for r in tables.annotation_rejects(notes).collect()] == ["post_summary is longer than 1000"]
+
+
+def test_csv_files_are_bounded(spark, make_raw, tmp_path):
+    posts = make_raw(*[{"post_id": str(i), "content": "a\nb"} for i in range(25)]).coalesce(1)
+    files.write_csv(posts, str(tmp_path / "c"), rows_per_file=10)
+    assert len(list(Path(tmp_path / "c").glob("*.csv"))) == 3
+    assert files.read_csv(spark, str(tmp_path / "c"), RAW_POST).count() == 25
 
 
 def test_day_folders(spark, make_raw, tmp_path):

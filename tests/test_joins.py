@@ -22,26 +22,32 @@ def same(a, b) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_hot_ids_are_found(spark):
+def test_hot_parts_follow_counts(spark):
     _, notes = sample(spark)
-    hot = joins.hot_ids(notes.filter("post_id = 'p7' or note > 2990"), min_rows=1)
-    assert "p7" in hot
-    assert len(joins.hot_ids(notes, min_rows=1)) <= 1000
-    assert joins.hot_ids(notes) == []
+    parts = {r.post_id: r._parts for r in joins.hot_parts(notes, 100).collect()}
+    assert parts == {"p7": 11}
+    assert {r._parts for r in joins.hot_parts(notes, 7).filter("post_id <> 'p7'").collect()} == {3}
+    assert joins.hot_parts(notes, 10_000).isEmpty()
 
 
-def test_hot_path_gives_the_plain_join(spark):
+def test_split_join_gives_the_plain_join(spark):
+    """Posts without annotations stay, whatever is hot."""
     posts, notes = sample(spark)
     for how in ("left", "inner"):
         plain = joins.with_annotations(posts, notes, how=how)
-        split = joins.with_annotations(posts, notes, ["p7", "p149"], how)
-        assert split.columns == plain.columns
-        assert same(plain, split)
+        for part_rows in (1, 7, 100, 10_000):
+            split = joins.with_annotations(posts, notes, part_rows, how)
+            assert split.columns == plain.columns
+            assert same(plain, split)
 
 
-def final_plan(df) -> str:
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+def test_equal_rows_are_parted(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__coalescePartitions__enabled="false", shuffle__partitions="16")
+    posts = spark.sql("select 'a' as post_id")
+    notes = spark.range(0, 20_000, 1, 4).selectExpr("'a' as post_id", "1 as note")
+    joined = joins.with_annotations(posts, notes, 1000)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) > 4 and max(sizes) < 10_000
 
 
 @pytest.fixture
@@ -59,31 +65,6 @@ def conf(spark):
         spark.conf.unset(name)
 
 
-def test_hot_annotations_meet_few_posts_by_measured_broadcast(spark, tmp_path):
-    posts, notes = sample(spark)
-    posts.write.parquet(str(tmp_path / "p"))
-    notes.repartition(3).write.parquet(str(tmp_path / "n"))
-    posts, notes = (spark.read.parquet(str(tmp_path / n)) for n in "pn")
-    assert "BroadcastHashJoin" in final_plan(joins.with_annotations(posts, notes, ["p7"]))
-
-
-def test_hot_annotations_are_split_where_broadcast_is_too_large(spark, conf, tmp_path):
-    posts, notes = sample(spark)
-    posts.write.parquet(str(tmp_path / "p"))
-    wide = notes.withColumn("pad", F.sha2(F.col("note").cast("string"), 512))
-    wide.repartition(8).write.parquet(str(tmp_path / "n"))
-    posts, wide = (spark.read.parquet(str(tmp_path / n)) for n in "pn")
-    conf(
-        autoBroadcastJoinThreshold="-1",
-        adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB",
-        adaptive__skewJoin__skewedPartitionFactor="1",
-        adaptive__advisoryPartitionSizeInBytes="1KB",
-    )
-    split = joins.with_annotations(posts, wide, ["p7", "p8"])
-    assert "SortMergeJoin(skew=true)" in final_plan(split)
-    assert same(split, joins.with_annotations(posts, wide))
-
-
 def test_without_annotation(spark):
     posts, notes = sample(spark)
     left = joins.without_annotation(posts, notes)
@@ -119,8 +100,8 @@ def test_marts_of_ids_equal_marts_of_gold(make_raw, make_annotations):
         {"post_id": "zz", "keywords": ["lost"], "safety_flags": ["urgent_bleeding"]},
     )
     gold = models.post_review(models.gold(models.silver(models.bronze(raw)), notes))
-    for hot in (None, ["a", "zz"]):
-        review = models.review_of_ids(raw, notes, ["keywords", "safety_flags"], hot)
+    for part_rows in (None, 1):
+        review = models.review_of_ids(raw, notes, ["keywords", "safety_flags"], part_rows)
         for mart in (models.keywords_exploded, models.safety_flags_exploded, models.safety_booleans):
             assert same(mart(review), mart(gold))
     words = [r.keyword for r in models.keywords_exploded(gold).collect()]

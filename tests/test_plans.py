@@ -61,6 +61,55 @@ def test_gold_shuffles_each_side_once(stored):
     assert text.count("Exchange") == 2
 
 
+def test_gold_with_hot_posts_reads_text_once(stored):
+    raw, notes = stored
+    silver = models.silver(models.bronze(raw))
+    text = plan(models.gold(silver, notes, part_rows=20))
+    assert text.count("regexp_replace") == plan(models.gold(silver, notes)).count("regexp_replace")
+    assert sum("content" in names for names in read_columns(text)) == 1
+
+
+def test_limited_choice_of_stored_silver_fetches_chosen_texts(spark, stored, tmp_path):
+    raw, notes = stored
+    models.silver(models.bronze(raw)).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    text = plan(models.pending_of_silver(silver, notes, limit=5))
+    assert {"post_id", "needs_annotation"} in read_columns(text)
+    some = models.pending_of_silver(silver, notes, limit=5).collect()
+    every = models.pending_of_silver(silver, notes).orderBy("post_id").limit(5).collect()
+    assert sorted(some) == sorted(every)
+
+
+def test_period_and_days_reach_the_scan(spark, stored, tmp_path):
+    raw, _ = stored
+    as_of = dt.datetime(2024, 1, 5, 12, tzinfo=dt.timezone.utc)
+    text = plan(models.bronze_without_text(select.in_period(raw, "day", as_of)))
+    assert "GreaterThanOrEqual(post_date" in text and "LessThanOrEqual(post_date" in text
+    tables.append_posts_by_day(raw, str(tmp_path / "days"))
+    by_day = tables.raw_posts_by_day(spark, str(tmp_path / "days"))
+    for period in ("hour", "week"):
+        chosen = select.in_period(by_day, period, as_of)
+        assert re.search(r"PartitionFilters: \[[^\]]*post_day", plan(chosen))
+        assert chosen.drop("post_day").exceptAll(select.in_period(raw, period, as_of)).isEmpty()
+        assert chosen.count() == select.in_period(raw, period, as_of).count()
+
+
+def test_wanted_days_leave_before_counting(spark, stored, tmp_path):
+    raw, _ = stored
+    tables.append_posts_by_day(raw, str(tmp_path / "days"))
+    by_day = tables.raw_posts_by_day(spark, str(tmp_path / "days"))
+    wanted = raw.select("subreddit", F.to_date("post_date").alias("day")).distinct().limit(3)
+    text = plan(select.loaded_days(wanted, by_day))
+    assert "LeftSemi" in text
+    assert select.loaded_days(wanted, by_day).exceptAll(select.loaded_days(wanted, raw)).isEmpty()
+
+
+def test_filter_on_hints_does_not_repeat_them(stored):
+    hinted = models.with_heuristics(models.silver(models.bronze(stored[0])))
+    text = plan(hinted.filter("trimester_hint = 'mid' and has_medical_terms and lang_hint = 'en'"))
+    assert text.count("regexp_replace") == plan(hinted).count("regexp_replace")
+
+
 def test_pending_drops_known_posts_before_cleaning(stored):
     text = plan(models.pending(*stored))
     join, redaction = text.index("LeftOuter"), text.index("(?i)https?://")
