@@ -23,7 +23,7 @@ FOLD_WORDS = bytes(
     ord(chr(i).lower()) if i < 128 and chr(i).isalnum() else i if i >= 128 else 32
     for i in range(256)
 )
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

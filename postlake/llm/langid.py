@@ -43,7 +43,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 def trigram_counts(texts: list[str | None], most_bytes: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray]]:
     """Counts per text and bucket, for a few texts at a time, with the first's number."""
-    for first, buffer, ends in grouped([words_of(t or "") for t in texts], most_bytes, GROUP):
+    for first, buffer, ends in grouped((words_of(t or "") for t in texts), most_bytes, GROUP):
         n = len(ends)
         total = np.zeros(n * BUCKETS, np.int64)
         for at, bucket in hashed(buffer, LENGTH, LENGTH, BITS):

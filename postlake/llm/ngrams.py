@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -44,7 +44,7 @@ def hashed(buffer: bytes, least: int, most: int, bits: int) -> Iterator[tuple[np
 
 
 def grouped(
-    texts: list[list[bytes]], most_bytes: int = 1 << 20, most_texts: int = 1 << 16
+    texts: Iterable[list[bytes]], most_bytes: int = 1 << 17, most_texts: int = 1 << 16
 ) -> Iterator[tuple[int, bytes, np.ndarray]]:
     """Joined words of consecutive texts, some at a time: the first text's number, the
     buffer, and where each text ends in it. One long text is a group of its own."""

@@ -40,7 +40,7 @@ PART = 8192
 LEAST_BITS = 6
 GROUP = 8
 # Pairs of groups that a task looks at together.
-SLICE = 1 << 14
+SLICE = 1 << 12
 PRINTS = "doc_id long, text_hash long, fingerprint long"
 LINKS = "a long, b long"
 

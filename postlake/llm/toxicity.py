@@ -41,7 +41,7 @@ ROWS = "toxic int, buckets array<int>"
 
 def presence(texts: list[str | None], wanted: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Distinct (text number, bucket) pairs, of wanted buckets if given."""
-    for first, buffer, ends in grouped([list(set(words_of(t or ""))) for t in texts]):
+    for first, buffer, ends in grouped(list(set(words_of(t or ""))) for t in texts):
         pairs = []
         for at, bucket in hashed(buffer, LEAST, MOST, BITS):
             if wanted is not None:
@@ -70,17 +70,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, most: int
 
 def _counts(rows: DataFrame) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int32)
         for part in batches:
             toxic = part["toxic"].to_numpy(zero_copy_only=False)
             for owner, bucket in presence(part["text"].to_pylist(), None):
                 for label in (0, 1):
-                    counts[label] += np.bincount(bucket[toxic[owner] == label], minlength=1 << BITS)
+                    np.add.at(counts[label], bucket[(toxic[owner] > 0) == label], 1)
         seen = np.flatnonzero(counts.any(axis=0))
         for at in range(0, len(seen), 1 << 16):
             some = seen[at : at + (1 << 16)]
             yield batch(
-                COUNTS, pa.array(some.astype(np.int32)), pa.array(counts[1, some]), pa.array(counts[0, some])
+                COUNTS,
+                pa.array(some.astype(np.int32)),
+                pa.array(counts[1, some].astype(np.int64)),
+                pa.array(counts[0, some].astype(np.int64)),
             )
 
     return map_batches(rows, step, COUNTS).groupBy("bucket").agg(
@@ -151,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
     """``usable`` is a condition on the column ``labelled``, the id of a label."""
     rows = training_rows(docs, labels, usable, most)
     n = dict(rows.groupBy("toxic").count().collect())
-    toxic, clean = sum(c for label, c in n.items() if label > 0), n.get(0, 0)
+    toxic = sum(c for label, c in n.items() if label > 0)
+    clean = sum(n.values()) - toxic
     weights, none = np.zeros(1 << BITS, np.float32), np.zeros(0, np.int64)
     if not toxic or not clean:
         bias = {(True, False): 500.0}.get((bool(toxic), bool(clean)), -500.0)
