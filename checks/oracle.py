@@ -679,4 +679,5 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_bronze": ALL_BRONZE,
     "incremental_current": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
+    "incremental_merged": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
 }

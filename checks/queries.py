@@ -499,9 +499,8 @@ def incremental_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return models.bronze(tables.raw_posts(spark, f"{target}/batch=*"))
 
 
-def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
-    """Three landings, the later ones with scrapes of posts that came before."""
-    landed, target, progress = (scratch_path(spark, n) for n in ("landed", "state", "progress"))
+def _land_in_turns(spark: SparkSession, sf: str, landed: str, take_in: Callable[[], None]) -> None:
+    """Three landings, the last with scrapes of posts that came before."""
     posts = fx.raw_posts(spark, sf).withColumn(
         "landing",
         F.when(F.col("content").contains(" See https://x.example.com/a?b="), 2).otherwise(
@@ -510,10 +509,25 @@ def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
     )
     for number in range(3):
         posts.filter(F.col("landing") == number).drop("landing").write.mode("append").parquet(landed)
-        incremental.take_in_new(spark, landed, RAW_POST, target, progress)
+        take_in()
+
+
+def incremental_current(spark: SparkSession, sf: str) -> DataFrame:
+    landed, target, progress = (scratch_path(spark, n) for n in ("landed", "state", "progress"))
+    _land_in_turns(
+        spark, sf, landed, lambda: incremental.take_in_new(spark, landed, RAW_POST, target, progress)
+    )
     return incremental.current_posts(spark, target)
 
 
+def incremental_merged(spark: SparkSession, sf: str) -> DataFrame:
+    landed, target, progress = (scratch_path(spark, n) for n in ("landed", "state", "progress"))
+    _land_in_turns(
+        spark, sf, landed, lambda: incremental.merge_new(spark, landed, RAW_POST, target, progress, 16)
+    )
+    return incremental.merged_posts(spark, target)
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw_posts": scan_raw_posts,
     "scan_annotations": scan_annotations,
@@ -575,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "repeated_annotations": repeated_annotations,
     "incremental_bronze": incremental_bronze,
     "incremental_current": incremental_current,
+    "incremental_merged": incremental_merged,
 }
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlake.operators.dedupe import latest_posts
@@ -26,13 +27,24 @@ def take_in_new(
     named after the batch. A batch that is repeated after a failure overwrites
     its own folder, so it counts once.
     """
-    stream = spark.readStream.schema(schema)
-    if files_per_batch:
-        stream = stream.option("maxFilesPerTrigger", files_per_batch)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         latest_posts(shape(batch)).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
+    _run(spark, source, schema, checkpoint, files_per_batch, write)
+
+
+def _run(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    checkpoint: str,
+    files_per_batch: int | None,
+    write: Callable[[DataFrame, int], None],
+) -> None:
+    stream = spark.readStream.schema(schema)
+    if files_per_batch:
+        stream = stream.option("maxFilesPerTrigger", files_per_batch)
     query = (
         stream.parquet(source)
         .writeStream.foreachBatch(write)
@@ -56,3 +68,63 @@ def compact(spark: SparkSession, target: str, new_target: str) -> DataFrame:
     """
     current_posts(spark, target).write.mode("overwrite").parquet(f"{new_target}/batch=compacted")
     return current_posts(spark, new_target)
+
+
+# --- State merged by bucket of the post id ------------------------------------
+
+STATE = T.StructType(
+    [
+        *RAW_POST.fields,
+        T.StructField("version", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
+)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("post_id"), F.lit(buckets)).cast("int")
+
+
+def _newest(state: DataFrame) -> DataFrame:
+    """The rows of the newest version of every bucket; one small row per bucket decides."""
+    newest = state.groupBy("bucket").agg(F.max("version").alias("version"))
+    return state.join(newest, ["bucket", "version"], "left_semi")
+
+
+def merge_new(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType,
+    target: str,
+    checkpoint: str,
+    buckets: int,
+    shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+    files_per_batch: int | None = None,
+) -> None:
+    """Like ``take_in_new``, but each batch is merged into the state it changes.
+
+    The state lies in folders by batch (``version``) and bucket of the post id. A
+    batch reads and rewrites the buckets it touches, into folders of its own, so a
+    repeated batch starts from the same versions and overwrites only itself. Use the
+    same number of buckets always, so many that a batch touches few of them or that
+    a bucket fits a task; older versions may be removed at any time.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        news = shape(batch).select(RAW_POST.fieldNames()).withColumn("bucket", _bucket(buckets))
+        touched = [row[0] for row in news.select("bucket").distinct().collect()]
+        # An empty write makes the folder that the first batch would miss.
+        empty = spark.createDataFrame([], STATE)
+        empty.write.mode("append").partitionBy("version", "bucket").parquet(target)
+        state = spark.read.schema(STATE).parquet(target).filter(F.col("version") < batch_id)
+        before = _newest(state.filter(F.col("bucket").isin(touched)))
+        merged = latest_posts(news.unionByName(before.drop("version")))
+        spread = merged.repartition("bucket")
+        spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
+
+    _run(spark, source, schema, checkpoint, files_per_batch, write)
+
+
+def merged_posts(spark: SparkSession, target: str) -> DataFrame:
+    """Latest scrape of each post; buckets hold each post once, so texts aren't shuffled."""
+    return _newest(spark.read.schema(STATE).parquet(target)).select(RAW_POST.fieldNames())

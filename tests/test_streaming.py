@@ -60,3 +60,44 @@ def test_repeated_batch_counts_once(spark, make_raw, tmp_path):
         incremental.current_posts(spark, target), latest_posts(spark.read.schema(RAW_POST).parquet(landed))
     )
     assert spark.read.parquet(f"{target}/batch=*").count() == incremental.current_posts(spark, target).count()
+
+
+def test_merged_state_equals_one_batch(spark, make_raw, tmp_path):
+    rng = random.Random(7)
+    landed, target, progress = (str(tmp_path / n) for n in ("landed", "target", "progress"))
+
+    def run():
+        incremental.merge_new(spark, landed, RAW_POST, target, progress, 5, files_per_batch=1)
+
+    for _ in range(3):
+        random_posts(make_raw, rng, 60).repartition(2).write.mode("append").parquet(landed)
+        run()
+    run()
+    everything = spark.read.schema(RAW_POST).parquet(landed)
+    merged = incremental.merged_posts(spark, target)
+    assert same(merged, latest_posts(everything))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_untouched_buckets_are_not_rewritten(spark, make_raw, tmp_path):
+    landed, target, progress = (str(tmp_path / n) for n in ("landed", "target", "progress"))
+    make_raw(*[{"post_id": f"p{i}"} for i in range(200)]).coalesce(1).write.parquet(landed)
+    incremental.merge_new(spark, landed, RAW_POST, target, progress, 32)
+    make_raw({"post_id": "p7", "score": 3}).coalesce(1).write.mode("append").parquet(landed)
+    incremental.merge_new(spark, landed, RAW_POST, target, progress, 32)
+    folders = {v.name: len(list(v.glob("bucket=*"))) for v in (tmp_path / "target").glob("version=*")}
+    assert sorted(folders.values()) == [1, 32]
+    posts = {r.post_id: r.score for r in incremental.merged_posts(spark, target).collect()}
+    assert len(posts) == 200 and posts["p7"] == 3
+
+
+def test_repeated_merge_counts_once(spark, make_raw, tmp_path):
+    rng = random.Random(8)
+    landed, target = str(tmp_path / "landed"), str(tmp_path / "target")
+    random_posts(make_raw, rng, 50).coalesce(1).write.parquet(landed)
+    for progress in ("one", "two"):
+        incremental.merge_new(spark, landed, RAW_POST, target, str(tmp_path / progress), 4)
+    assert same(
+        incremental.merged_posts(spark, target), latest_posts(spark.read.schema(RAW_POST).parquet(landed))
+    )
