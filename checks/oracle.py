@@ -463,6 +463,7 @@ ORACLE: dict[str, str] = {
         """,
     ),
     "model_views_all": ALL_VIEWS,
+    "catalog_views_all": ALL_VIEWS,
     "loaded_subreddits": with_(
         [fx.RAW_SQL],
         """

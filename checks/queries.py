@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from checks import fixtures as fx
 from postlake.functions import text
 from postlake.operators import annotate, dedupe, joins, select, shape, summary
-from postlake.plans import models, runs
+from postlake.plans import catalog_views, models, runs
 from postlake.schemas import ANNOTATION, RAW_COLUMNS, RAW_POST
 from postlake.session import configure, scratch_path
 from postlake.sources import files, tables
@@ -166,6 +166,23 @@ def model_views_all(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionAll, counts)
 
 
+def catalog_views_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The same figures from views of the catalog over stored tables."""
+    raw, stored = _new_tables(spark)
+    tables.append_posts(fx.raw_posts(spark, sf), raw)
+    tables.append_annotations(fx.annotations(spark, sf), stored)
+    home = f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}"
+    names = catalog_views.create_views(spark, f"{home}.{raw}", f"{home}.{stored}", f"models_{uuid.uuid4().hex}")
+    counts = [
+        spark.sql(
+            f"select '{n.split('.')[1]}' as view, count(*) as n_rows, "
+            f"count(distinct post_id) as n_posts from {n}"
+        )
+        for n in names
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def loaded_subreddits(spark: SparkSession, sf: str) -> DataFrame:
     names = fx.documents(spark, sf).select("source").distinct()
     wanted = names.select(F.explode(F.array("source", F.upper("source"))).alias("subreddit"))
@@ -540,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "annotations_csv": annotations_csv,
     "model_views": model_views,
     "model_views_all": model_views_all,
+    "catalog_views_all": catalog_views_all,
     "loaded_subreddits": loaded_subreddits,
     "loaded_subreddit_days": loaded_subreddit_days,
     "shape_archive": shape_archive,
