@@ -33,7 +33,7 @@ SAMPLE = 20_000
 LEAST, MOST, BITS = 3, 6, 20
 # Least likelihood-ratio statistic of a feature, and how many features at most.
 TELLING = 20.0
-FEATURES = 1 << 16
+FEATURES = 1 << 13
 PENALTY, STEPS = 2e-4, 300
 COUNTS = "bucket int, toxic long, clean long"
 ROWS = "toxic int, buckets array<int>"
