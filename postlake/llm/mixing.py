@@ -16,7 +16,8 @@ such that the words taken miss the target by about one document at most.
 Defined results: a null text has size 0 and takes 0; null is a source, the last in
 order; a source without words has target 0; repeated ids get equal copies (their
 hash is equal, and a null id is hashed by its text); an empty table stays empty.
-One row per source passes one task (rank and cumulative sums); documents never do.
+One row per source passes one task (rank and cumulative sums); documents never do,
+and no join or sum brings the rows of one source together in a task.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ MOST = 2.0
 TOLERANCE = 1e-10
 ITERATIONS = 80
 LEVELS, BIN_BITS = 3, 12
+SALTS = 32
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -95,9 +97,18 @@ def _same_source(a: DataFrame, b: DataFrame) -> Column:
     return a["source"].eqNullSafe(b["source"])
 
 
-def _join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Left rows with the columns of their source; only ``right`` is one row a source."""
-    return left.join(right, _same_source(left, right)).drop(right["source"])
+def _join(left: DataFrame, right: DataFrame, salt: str) -> DataFrame:
+    """Left rows with the columns of their source, of which ``right`` has one row each.
+
+    Where the sources are too many to broadcast, a source with a third of all rows
+    would fill one task; so each has ``SALTS`` rows, and a left row meets one of
+    them by the number in its column ``salt``.
+    """
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    right = right.withColumn("salt_", every)
+    left = left.withColumn("salt_", F.pmod(F.col(salt), F.lit(SALTS)).cast("int"))
+    same = _same_source(left, right) & (left["salt_"] == right["salt_"])
+    return left.join(right, same).drop(right["source"], left["salt_"], right["salt_"])
 
 
 def multipliers(documents: DataFrame, targets: DataFrame, most: float = MOST) -> DataFrame:
@@ -137,7 +148,7 @@ def _newton(histogram: DataFrame, state: DataFrame, most: float) -> DataFrame:
     capped = exponent >= F.log(F.lit(most))
     words = F.col("n") * F.col("size")
     sums = (
-        _join(histogram, open_.select("source", "docs", "source_size", "multiplier"))
+        _join(histogram, open_.select("source", "docs", "source_size", "multiplier"), "size")
         .groupBy("source")
         .agg(
             F.sum(words * F.when(capped, most).otherwise(F.exp(exponent))).alias("value"),
@@ -184,7 +195,7 @@ def copies(documents: DataFrame, solved: DataFrame, most: float = MOST) -> DataF
     bits = LEVELS * BIN_BITS
     order = F.col("hash") / float(1 << 52) - (F.col("rate") - F.col("whole")) + 1
     rated = (
-        _join(documents, solved)
+        _join(documents, solved, "hash")
         .withColumn("rate", rate)
         .withColumn("whole", F.floor("rate"))
         .withColumn("order", F.floor(order * float(1 << (bits - 1))).cast("long"))
@@ -192,7 +203,7 @@ def copies(documents: DataFrame, solved: DataFrame, most: float = MOST) -> DataF
     may_rise = (F.col("size") > 0) & (F.col("whole") < F.floor(F.lit(most)))
     limits = _thresholds(rated, may_rise, bits)
     up = may_rise & (F.col("order") < F.col("limit"))
-    out = _join(rated, limits)
+    out = _join(rated, limits, "hash")
     return out.withColumn("copies", (F.col("whole") + F.when(up, 1).otherwise(0)).cast("long"))
 
 
@@ -209,7 +220,7 @@ def _thresholds(rated: DataFrame, may_rise: Column, bits: int) -> DataFrame:
     )
     for level in range(LEVELS):
         shift = bits - BIN_BITS * (level + 1)
-        at = _join(rated.filter(may_rise).select("source", "size", "order"), limits)
+        at = _join(rated.filter(may_rise).select("source", "size", "order"), limits, "order")
         inside = at.filter(
             F.shiftright("order", shift + BIN_BITS) == F.shiftright("limit", shift + BIN_BITS)
         )
