@@ -125,7 +125,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(docs: DataFrame, block: dict[bytes, list[int]], keys: list[str]) -> DataFrame:
+def _scan(docs: DataFrame, block: dict[bytes, list[int]]) -> DataFrame:
     """Add what one block of patterns finds to the spans and items so far."""
     held = docs.sparkSession.sparkContext.broadcast(block)
     out = docs.schema
@@ -189,8 +189,8 @@ def hits(
     found = windows(benchmark, size)
     empty = True
     for block in blocks(found, block_windows, block_bytes):
-        out, empty = _scan(out, block, keys), False
-    return _scan(out, {}, keys) if empty else out
+        out, empty = _scan(out, block), False
+    return _scan(out, {}) if empty else out
 
 
 def report(found: DataFrame) -> DataFrame:
