@@ -10,7 +10,8 @@ but those on link-heavy paths that aren't content.
 
 Parts that their tag, role, class or id names as menu, header, footer, sidebar,
 notice, advert, form or reader comments are left out before paths are weighed, and
-so are scripts, styles and what isn't shown.
+so are scripts, styles and what isn't shown. Where classes and ids leave next to
+nothing of a page without an article, they are not believed.
 
 Defined results: a null or empty page, or one without content, gives an empty text; a
 tag or comment that never ends takes the rest of the page; a reference that isn't
@@ -85,6 +86,8 @@ _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 SPREAD = (1.0, 2.0, 1.0)
 SHARE = 0.3
 HOLDS = 0.85
+# Names aren't believed where they leave less than this share of a page without article.
+NAMED = 0.15
 
 
 @dataclass
@@ -106,7 +109,7 @@ class Text:
     linked: int = 0
 
 
-def _is_noise(name: str, attributes: str, within_main: bool) -> bool:
+def _is_noise(name: str, attributes: str, within_main: bool, by_name: bool) -> bool:
     if name in DROPPED or (name == "header" and not within_main):
         return True
     if not attributes or not _NAMED.search(attributes):
@@ -119,16 +122,20 @@ def _is_noise(name: str, attributes: str, within_main: bool) -> bool:
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if key in ("class", "id"):
+        if by_name and key in ("class", "id") and name not in ("html", "body"):
             words = set(_PARTS.split(value))
-            known = COMMENT_NAMES if name in MAIN else NOISE_NAMES
-            if words & known and name not in ("html", "body"):
+            if within_main:  # an article's own header holds its title
+                words.discard("header")
+            if words & (COMMENT_NAMES if name in MAIN else NOISE_NAMES):
                 return True
     return False
 
 
-def parse(html: str) -> tuple[list[Element], list[Text]]:
-    """Elements, and the texts of blocks in page order, noise left out."""
+def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
+    """Elements, and the texts of blocks in page order, noise left out.
+
+    ``by_name`` says whether class and id tell noise, beside tag, role and style.
+    """
     elements = [Element("", -1, False, "", False)]
     stack, texts = [0], []
     mains = 0
@@ -217,7 +224,7 @@ def parse(html: str) -> tuple[list[Element], list[Text]]:
             Element(
                 name,
                 stack[-1],
-                parent.noise or _is_noise(name, attributes, mains > 0),
+                parent.noise or _is_noise(name, attributes, mains > 0, by_name),
                 f"{parent.path}/{name}" if listed else parent.path,
                 parent.link or name == "a",
             )
@@ -283,11 +290,29 @@ def _main_part(elements: list[Element], held: dict[int, int]) -> int:
     return here
 
 
+def _blocks(html: str, by_name: bool) -> tuple[list[Element], list[tuple[Text, str]]]:
+    """The page's elements, and its texts with their words parted by single spaces."""
+    elements, texts = parse(html, by_name)
+    blocks = [" ".join("".join(t.pieces).split()) for t in texts]
+    return elements, [(t, b) for t, b in zip(texts, blocks, strict=True) if b]
+
+
+def _within_main(elements: list[Element], element: int) -> bool:
+    while element > 0:
+        if elements[element].name in MAIN:
+            return True
+        element = elements[element].parent
+    return False
+
+
 def extract(html: str | None) -> str:
     """The main text of one page, blocks in page order joined by line feeds."""
-    elements, texts = parse(html or "")
-    blocks = [" ".join("".join(t.pieces).split()) for t in texts]
-    kept = [(t, b) for t, b in zip(texts, blocks, strict=True) if b]
+    elements, kept = _blocks(html or "", True)
+    if not any(_within_main(elements, t.element) for t, _ in kept):
+        # A class such as "has-sidebar" may stand on what holds all the rest.
+        every, more = _blocks(html or "", False)
+        if sum(len(b) for _, b in kept) < NAMED * sum(len(b) for _, b in more):
+            elements, kept = every, more
     if not kept:
         return ""
     paths = [t.path for t, _ in kept]

@@ -34,6 +34,16 @@ CASES = {
         "<div role=navigation>More</div><div hidden>Hidden words</div><div style='display: none'>None</div>",
         "News\nShort.\nA second paragraph, longer than the first.",
     ),
+    "a class that names all": (
+        "<body><div class='page has-sidebar'><h1>Title here</h1><p>The first paragraph, which is long enough.</p>"
+        "<p>The second one, also of some length.</p></div></body>",
+        "Title here\nThe first paragraph, which is long enough.\nThe second one, also of some length.",
+    ),
+    "an article's own header": (
+        "<div class=site-header>Site</div><article><div class='entry-header'><h1>Title</h1></div>"
+        "<p>Words, words and words.</p></article>",
+        "Title\nWords, words and words.",
+    ),
     "attribute with a bracket, open comment": ("<p>Un<i>closed <a title='x>y'>link</a> text <!-- never", "Unclosed link text"),
     "references": ("<p>&lt;p&gt; &amp;amp; &#x41;&#66; &copy &notareference; &a &am &amp</p>", "<p> &amp; AB © ¬areference; &a &am &"),
     "long tail": ("<p>" + "word " * 200_000 + "</p>", " ".join(["word"] * 200_000)),
