@@ -92,10 +92,14 @@ NAMED = 0.15
 
 @dataclass
 class Element:
+    """Parents come before their children; equal paths have equal numbers; ``block`` is
+    the nearest block element, this one included."""
+
     name: str
     parent: int
+    block: int
+    path: int
     noise: bool
-    path: str
     link: bool
 
 
@@ -104,7 +108,7 @@ class Text:
     """One block's text: its pieces, in which element, on which path."""
 
     element: int
-    path: str
+    path: int
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -136,8 +140,10 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
 
     ``by_name`` says whether class and id tell noise, beside tag, role and style.
     """
-    elements = [Element("", -1, False, "", False)]
+    elements = [Element("", -1, 0, 0, False, False)]
     stack, texts = [0], []
+    open_names: dict[str, int] = {}
+    paths: dict[tuple[int, str], int] = {}
     mains = 0
     at, n = 0, len(html)
     fresh = True
@@ -147,9 +153,7 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
         here = elements[stack[-1]]
         if here.noise or not piece:
             return
-        block = stack[-1]
-        while elements[block].name in INLINE:
-            block = elements[block].parent
+        block = here.block
         if fresh or texts[-1].element != block:
             if not piece.strip():
                 if not fresh:
@@ -166,6 +170,7 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
         nonlocal fresh, mains
         while len(stack) > depth:
             gone = elements[stack.pop()]
+            open_names[gone.name] -= 1
             mains -= gone.name in MAIN
             fresh = fresh or gone.name not in INLINE
 
@@ -194,7 +199,7 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
         attributes = html[name_at.end() : end - 1]
         at = end
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if open_names.get(name) else ():
                 if elements[stack[depth]].name == name:
                     leave(depth)
                     break
@@ -210,7 +215,8 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
             continue
         if name not in INLINE:
             # Inline elements left open end with their block; so may p, li and the like.
-            for depth in range(len(stack) - 1, 0, -1):
+            closable = any(open_names.get(k) for k, closers in CLOSES.items() if name in closers)
+            for depth in range(len(stack) - 1, 0, -1) if closable else ():
                 open_name = elements[stack[depth]].name
                 if name in CLOSES.get(open_name, ()):
                     leave(depth)
@@ -218,20 +224,22 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
                 if open_name not in INLINE:
                     break
             fresh = True
-        parent = elements[stack[-1]]
-        listed = name not in INLINE or name == "a"
+        number, parent = len(elements), elements[stack[-1]]
+        path = parent.path
+        if name not in INLINE or name == "a":
+            path = paths.setdefault((path, name), len(paths) + 1)
         elements.append(
             Element(
                 name,
                 stack[-1],
+                parent.block if name in INLINE else number,
+                path,
                 parent.noise or _is_noise(name, attributes, mains > 0, by_name),
-                f"{parent.path}/{name}" if listed else parent.path,
                 parent.link or name == "a",
             )
         )
-        if attributes.endswith("/") and name not in INLINE and name not in HEADINGS and name in ("svg", "path"):
-            continue
-        stack.append(len(elements) - 1)
+        stack.append(number)
+        open_names[name] = open_names.get(name, 0) + 1
         mains += name in MAIN
         if name in RAW:
             close = _END[name].search(html, at)
@@ -253,9 +261,11 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def _path_scores(paths: list[str], blocks: list[str], linked: list[int]) -> tuple[dict[str, float], dict[str, float]]:
+def _path_scores(
+    paths: list[int], blocks: list[str], linked: list[int]
+) -> tuple[dict[int, float], dict[int, float]]:
     """Fused score and share of link text of each path."""
-    sums: dict[str, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for path, block, link in zip(paths, blocks, linked, strict=True):
         s = sums.setdefault(path, [0, 0, 0, 0])
         s[0] += 1
@@ -265,7 +275,7 @@ def _path_scores(paths: list[str], blocks: list[str], linked: list[int]) -> tupl
     lengths = _smooth([sums[p][1] / sums[p][0] for p in paths])
     points = _smooth([sums[p][2] / sums[p][0] for p in paths])
     links = {p: s[3] / max(1, s[1]) for p, s in sums.items()}
-    fused: dict[str, float] = dict.fromkeys(sums, 0.0)
+    fused: dict[int, float] = dict.fromkeys(sums, 0.0)
     for path, length, point in zip(paths, lengths, points, strict=True):
         fused[path] += length * (1 + point) * (1 - links[path]) / sums[path][0]
     return fused, links
@@ -273,23 +283,31 @@ def _path_scores(paths: list[str], blocks: list[str], linked: list[int]) -> tupl
 
 def _main_part(elements: list[Element], held: dict[int, int]) -> int:
     """The smallest element with nearly all content text; ``held`` has it by block."""
-    within: dict[int, int] = {}
-    for block, size in held.items():
-        while block >= 0:
-            within[block] = within.get(block, 0) + size
-            block = elements[block].parent
-    children: dict[int, list[int]] = {}
-    for element in within:
-        children.setdefault(elements[element].parent, []).append(element)
-    total, here = within[0], 0
-    while elements[here].name not in MAIN and here in children:
-        best = max(children[here], key=lambda e: (within[e], -e))
-        if within[best] < HOLDS * total or elements[best].name in (*HEADINGS, "p"):
+    within = [held.get(i, 0) for i in range(len(elements))]
+    for i in range(len(elements) - 1, 0, -1):
+        within[elements[i].parent] += within[i]
+    best: dict[int, int] = {}
+    for i in range(1, len(elements)):
+        rival = best.get(elements[i].parent)
+        if rival is None or within[i] > within[rival]:
+            best[elements[i].parent] = i
+    here = 0
+    while elements[here].name not in MAIN and here in best:
+        child = best[here]
+        if within[child] < HOLDS * within[0] or elements[child].name in (*HEADINGS, "p"):
             break
-        here = best
+        here = child
     return here
 
 
+def _below(elements: list[Element], roots: set[int]) -> list[bool]:
+    """Whether each element is one of the roots or lies in one."""
+    below = [False] * len(elements)
+    for i, element in enumerate(elements):
+        below[i] = i in roots or (i > 0 and below[element.parent])
+    return below
+
+
 def _blocks(html: str, by_name: bool) -> tuple[list[Element], list[tuple[Text, str]]]:
     """The page's elements, and its texts with their words parted by single spaces."""
     elements, texts = parse(html, by_name)
@@ -297,18 +315,11 @@ def _blocks(html: str, by_name: bool) -> tuple[list[Element], list[tuple[Text, s
     return elements, [(t, b) for t, b in zip(texts, blocks, strict=True) if b]
 
 
-def _within_main(elements: list[Element], element: int) -> bool:
-    while element > 0:
-        if elements[element].name in MAIN:
-            return True
-        element = elements[element].parent
-    return False
-
-
 def extract(html: str | None) -> str:
     """The main text of one page, blocks in page order joined by line feeds."""
     elements, kept = _blocks(html or "", True)
-    if not any(_within_main(elements, t.element) for t, _ in kept):
+    mains = _below(elements, {i for i, e in enumerate(elements) if e.name in MAIN})
+    if not any(mains[t.element] for t, _ in kept):
         # A class such as "has-sidebar" may stand on what holds all the rest.
         every, more = _blocks(html or "", False)
         if sum(len(b) for _, b in kept) < NAMED * sum(len(b) for _, b in more):
@@ -334,13 +345,9 @@ def extract(html: str | None) -> str:
     ):
         part = parent
 
-    def inside(element: int) -> bool:
-        while element > part:
-            element = elements[element].parent
-        return element == part
-
+    inside = _below(elements, {part})
     return "\n".join(
-        b for t, b in kept if inside(t.element) and (t.path in content or links[t.path] <= 0.5)
+        b for t, b in kept if inside[t.element] and (t.path in content or links[t.path] <= 0.5)
     )
 
 

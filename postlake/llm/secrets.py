@@ -43,7 +43,7 @@ LEAST_VALUE = 6
 KINDS = ("assign", "access", "hex", "value")
 
 CONTEXT = re.compile(
-    r"""(?<![a-z0-9])(?:[a-z0-9]+[_.-])*
+    r"""(?<![a-z0-9_.-])(?:[a-z0-9]*[_.-])*
     (?:password|passwd|passphrase|passcode|pass|pwd|pin|secret|token|credentials?|bearer
       |authorization|auth|(?:api|access|private|secret|signing|encryption|account|client)[_-]?key)
     ["']?[ \t]*(?:=>|:=|[:=]|[ ]is[ ])[ \t]*(["'`]?)""",

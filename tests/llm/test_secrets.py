@@ -71,6 +71,17 @@ def test_values_in_context():
     assert s.joined(base) == f"assign:{text.index('secret')}:{text.index('secret') + 16}"
 
 
+def test_long_chains_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    for text in ("a_" * 200_000 + "=", "--" * 200_000 + "=", "x" * 400_000 + ":", "pass-" * 100_000 + ": b"):
+        s.value_spans(text, s.base_spans(text))
+    assert time.perf_counter() - start < 20
+    text = "--db.password := Zk3#9xLw!2q"
+    assert [text[a:b] for a, _, b in s.value_spans(text, s.base_spans(text))] == ["Zk3#9xLw!2q"]
+
+
 def test_hard_rows(spark):
     rows = {r.doc_id: r for r in s.scan(documents(spark, [*TEXTS, (20, "\U0001f600 token = 'abcdef12'", "en", "s")])).collect()}
     none = hashlib.sha256(b"").hexdigest()
