@@ -8,12 +8,13 @@ and most others by more.
 * Cells keep the work in proportion to the table: a bundle of grid projections deals
   vectors out into cells, several bundles make up for pairs that one bundle parts.
   Their numbers follow from the number of classes and the recall asked for.
-* Within a cell vectors are sorted along a projection and each looks at the window of
-  half-width ``WINDOW * d`` centred on it. A pair's collisions are counted, the number
-  of ``WINDOWS`` projections in whose windows it lies; pairs that reach the count
-  which a pair at the threshold reaches with near certainty are verified by their
-  exact cosine in double precision. So a link is never wrong, and ``RECALL`` of the
-  pairs just at the threshold are found, more of the nearer ones.
+* Within a cell vectors are sorted along a projection, another one in every bundle,
+  and each looks at the window of half-width ``WINDOW * d`` centred on it; a pair that
+  one bundle's sorting parts is left to the other bundles. A pair's collisions are
+  counted, the number of ``WINDOWS`` further projections in whose windows it lies;
+  pairs that reach the count which a pair at the threshold reaches with near certainty
+  are verified by their exact cosine in double precision. So a link is never wrong,
+  and ``RECALL`` of the pairs just at the threshold are found, more of the nearer ones.
 
 Defined results: a vector that is null, empty, zero or has a null or non-finite
 component links with nothing and is its own component; vectors of unequal lengths
@@ -39,7 +40,7 @@ RECALL = 0.99
 # In units of d: the width of a grid cell and the half-width of a window.
 CELL, WINDOW = 4.0, 2.0
 WINDOWS = 16
-# Chance that counting loses a pair at the threshold.
+# Chance that counting loses a pair at the threshold; every bundle counts alike.
 MISS = 1e-3
 # Other vectors in a cell that a vector may meet on average.
 MET = 8
@@ -61,15 +62,19 @@ def plan(n: int, least: float = LEAST, recall: float = RECALL) -> tuple[int, int
         return float(np.trapezoid(density * (1 - z / width), z))
 
     near, far = together(d), together(sqrt(2))
-    grids = max(1, ceil(log(max(2.0, n / MET)) / -log(far)))
-    bundles = max(1, ceil(log(1 - recall) / log(1 - near**grids)))
     hit = erf(WINDOW / sqrt(2))
+    miss = min(MISS, (1 - recall) / 10)
     lost, count = 0.0, 0
     while True:
-        lost += comb(WINDOWS, count) * hit**count * (1 - hit) ** (WINDOWS - count)
-        if lost > MISS:
-            return grids, bundles, count
+        more = comb(WINDOWS, count) * hit**count * (1 - hit) ** (WINDOWS - count)
+        if lost + more > miss:
+            break
+        lost += more
         count += 1
+    grids = max(1, ceil(log(max(2.0, n / MET)) / -log(far)))
+    # A bundle finds a pair that its grids keep together and its sort window holds.
+    bundles = max(1, ceil(log(1 - recall / (1 - lost)) / log(1 - near**grids * hit)))
+    return grids, bundles, count
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -121,9 +126,9 @@ def places(found: DataFrame, grids: int, bundles: int, least: float = LEAST) ->
             for at, units in _by_length(part["vector"].to_pylist()):
                 length = units.shape[1]
                 rng = np.random.default_rng([SEED, length])
-                windows = units @ rng.standard_normal((length, WINDOWS))
-                marks = windows.astype("<f4")
+                marks = (units @ rng.standard_normal((length, WINDOWS))).astype("<f4")
                 for bundle in range(bundles):
+                    value = units @ rng.standard_normal(length)
                     offset = rng.random(grids)
                     grid = np.floor(units @ rng.standard_normal((length, grids)) / (CELL * d) + offset)
                     odd = rng.integers(1 << 62, size=grids, dtype=np.int64) * 2 + 1
@@ -133,7 +138,7 @@ def places(found: DataFrame, grids: int, bundles: int, least: float = LEAST) ->
                         PLACES,
                         pa.array(np.full(len(at), bundle, np.int32)),
                         pa.array(cell),
-                        pa.array(windows[:, 0]),
+                        pa.array(value),
                         pa.array(ids[at]),
                         [row.tobytes() for row in marks],
                     )

@@ -75,6 +75,28 @@ def test_recall_at_the_threshold(spark):
     assert sum(r.n_links for r in found) >= 0.95 * 800
 
 
+def test_no_projection_bounds_the_recall(spark):
+    """Pairs at the threshold are found as often as promised: what one bundle's sorting
+    parts, another finds."""
+    rng = np.random.default_rng(11)
+    a, b = rng.standard_normal((2, 2500, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    c = 0.9501 * a + np.sqrt(1 - 0.9501**2) * b
+    rows = [(2 * i + k, x.tolist()) for i, pair in enumerate(zip(a, c, strict=True)) for k, x in enumerate(pair)]
+    found = v.near_duplicates(frame(spark, rows)).collect()
+    # Three standard deviations below the promise.
+    least = v.RECALL - 3 * np.sqrt(v.RECALL * (1 - v.RECALL) / len(a))
+    assert sum(r.n_links for r in found) >= 2 * least * len(a)
+
+
+def test_plan_keeps_the_recall_asked_for():
+    for recall in (0.9, 0.99, 0.9999):
+        grids, bundles, count = v.plan(10**6, recall=recall)
+        assert 0 < count < v.WINDOWS and bundles > v.plan(10**6, recall=recall / 2)[1]
+
+
 def test_windows_across_batches(spark):
     """A window that spans batches loses no pair and gives none twice."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
