@@ -5,17 +5,23 @@ The base score needs every token's count in the training rows. Tokens that make
 least ``HEAVY`` of all (so ``1 / HEAVY`` at most) are looked up from a broadcast, in
 the task that reads the text; the rest meet the count table in a shuffled join.
 
-The model has ``STATES`` latent states. Its symbols are the tokens that make up at
-least ``SYMBOL`` of all, the end, and one for any other token, which is drawn from
-the base distribution over those:
-``P(text) = P(symbols) * prod(base(token) / base(other))`` over its other tokens.
-That is a distribution over texts, comparable with the base. Baum-Welch starts on about
-``START_TEXTS`` texts of at most ``START_TOKENS`` tokens (fixed bounds; by hash of the
-id), then makes ``ROUNDS`` rounds
-over all training rows: every task sums expected counts over its texts, and the sums
-are added up by symbol. A scaled forward recursion gives each text's exact likelihood.
-
-Texts are stored once as symbol numbers, two bytes each. For training, a text of more
+The model has ``STATES`` latent states. In the rounds its symbols are the tokens that
+make up at least ``SYMBOL`` of all, the end, and one for any other token. Baum-Welch
+starts on about ``START_TEXTS`` texts of at most ``START_TOKENS`` tokens (fixed bounds;
+by hash of the id), then makes rounds over all training rows until one gains less than
+``SETTLED`` of log-likelihood per token, ``ROUNDS`` at least: every task sums expected
+counts over its texts, and the sums are added up by symbol.
+
+Then every other token of the training rows, down to those seen once, gets emissions of
+its own: a pass over all training rows sums its expected counts ``c`` by state, in a
+table keyed by token. State k emits it with ``P(other | k) * base(token) / base(other)``
+times its tilt ``(c[k] * C / C[k] + 1) / (n + 1)``, where the capitals are sums over
+the other tokens; an unseen token has tilt 1. That is the base score's add-one rule
+within each state, so these are distributions over texts, comparable with the base. A
+scaled forward recursion gives each text's exact likelihood.
+
+Texts are stored once as symbol numbers, two bytes each, and four more for each other
+token; tilts meet them as the rare tokens' counts do. For training, a text of more
 than ``PIECE`` tokens counts as several; scoring takes any length in constant memory
 per text beyond its symbols.
 
@@ -42,6 +48,7 @@ HEAVY = 2e-6
 SYMBOL = 1 / 60_000
 START_TEXTS, START_TOKENS, START_ROUNDS = 800, 1 << 13, 15
 ROUNDS = 2
+SETTLED = 1e-3
 PIECE = 1 << 16
 # Tokens a task runs through side by side when it must keep all their states.
 TOGETHER = 1 << 18
@@ -122,7 +129,8 @@ def vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
 
 ENCODED = (
     "doc_id long, held_out boolean, n_tokens long, n_heavy long, log_heavy double, "
-    "n_other long, log_symbols double, symbols binary, rare array<long>, rare_n array<int>"
+    "n_other long, log_symbols double, symbols binary, others binary, rare array<long>, "
+    "rare_n array<int>"
 )
 
 
@@ -145,7 +153,9 @@ class _Codes(dict):
 
 def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     """Texts as symbols, with what their heavy tokens add to the base score and the
-    hashes and numbers of the other tokens. Logarithms are of ``count + 1``."""
+    hashes and numbers of the rare tokens. ``others`` names the tokens behind the symbol
+    ``other``: places among the heavy ones, then among the text's rare ones. Logarithms
+    are of ``count + 1``."""
     held = docs.sparkSession.sparkContext.broadcast(known.plain())
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +165,7 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
         end_log = log10(vocab.ends + 1)
         codes = _Codes(vocab.token)
         for part in batches:
-            rows: list[list] = [[] for _ in range(6)]
+            rows: list[list] = [[] for _ in range(7)]
             rare, rare_n, cuts = [], [], [0]
             for text in utf8(part["text"]):
                 if len(codes.rare) > DISTINCT:
@@ -168,7 +178,8 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
                 symbol[:-1][~light] = vocab.symbol[some]
                 symbol[-1] = vocab.end
                 frequent = symbol[:-1][~light] != vocab.other
-                value, n = np.unique(code[light], return_counts=True)
+                value, at, n = np.unique(code[light], return_inverse=True, return_counts=True)
+                code[light] = heavy + at
                 rare += [codes.rare[v - heavy] for v in value.tolist()]
                 rare_n.append(n)
                 cuts.append(len(rare))
@@ -179,7 +190,8 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
                      float(logs[some].sum()) + end_log,
                      int((symbol[:-1] == vocab.other).sum()),
                      float(logs[some[frequent]].sum()) + end_log,
-                     symbol.astype("<u2").tobytes()),
+                     symbol.astype("<u2").tobytes(),
+                     code[symbol[:-1] == vocab.other].astype("<i4").tobytes()),
                     strict=True,
                 ):
                     column.append(x)
@@ -236,8 +248,15 @@ def side_by_side(texts: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarra
         at += n
 
 
-def forward(model: Model, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-    """Natural log-likelihood of each text, by the scaled recursion; lengths fall."""
+def forward(
+    model: Model,
+    lengths: np.ndarray,
+    symbols: np.ndarray,
+    tilts: np.ndarray | None = None,
+    places: np.ndarray | None = None,
+) -> np.ndarray:
+    """Natural log-likelihood of each text, by the scaled recursion; lengths fall. A
+    symbol's emissions are multiplied by the row of ``tilts`` at its place, if given."""
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     total = np.zeros(len(lengths))
     alpha = None
@@ -246,6 +265,8 @@ def forward(model: Model, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarra
         while lengths[active - 1] <= t:
             active -= 1
         seen = model.emit[symbols[starts[:active] + t]]
+        if tilts is not None:
+            seen = seen * tilts[places[starts[:active] + t]]
         alpha = seen * (model.start if t == 0 else alpha[:active] @ model.move)
         scale = alpha.sum(axis=1)
         alpha /= scale[:, None]
@@ -253,23 +274,32 @@ def forward(model: Model, lengths: np.ndarray, symbols: np.ndarray) -> np.ndarra
     return total
 
 
-def expected(model: Model, lengths: np.ndarray, symbols: np.ndarray, counts: list[np.ndarray]) -> None:
-    """Add the texts' expected start, transition and emission counts; lengths fall."""
+def expected(
+    model: Model,
+    lengths: np.ndarray,
+    symbols: np.ndarray,
+    counts: list[np.ndarray],
+    labels: np.ndarray | None = None,
+) -> float:
+    """Add the texts' expected start, transition and emission counts, emissions by label
+    instead of symbol where ``labels`` are given; the log-likelihood. Lengths fall."""
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     # active[t]: texts longer than t; rows of step t are first[t] and after.
     active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
     first = np.concatenate([[0], np.cumsum(active)])
     states = len(model.start)
     alpha, seen = np.empty((first[-1], states)), np.empty((first[-1], states))
-    scale, symbol = np.empty(first[-1]), np.empty(first[-1], np.int64)
+    scale, label = np.empty(first[-1]), np.empty(first[-1], np.int64)
+    labels = symbols if labels is None else labels
     for t, n in enumerate(active):
         here = slice(first[t], first[t] + n)
-        symbol[here] = symbols[starts[:n] + t]
-        seen[here] = model.emit[symbol[here]]
+        label[here] = labels[starts[:n] + t]
+        seen[here] = model.emit[symbols[starts[:n] + t]]
         before = model.start if t == 0 else alpha[first[t - 1] : first[t - 1] + n] @ model.move
         value = seen[here] * before
         scale[here] = value.sum(axis=1)
         alpha[here] = value / scale[here, None]
+    likelihood = float(np.log(scale).sum())
     moves = np.zeros((states, states))
     beta = None
     for t in range(len(active) - 1, -1, -1):
@@ -287,7 +317,8 @@ def expected(model: Model, lengths: np.ndarray, symbols: np.ndarray, counts: lis
     counts[0] += alpha[: active[0]].sum(axis=0)
     counts[1] += moves * model.move
     for k in range(states):
-        counts[2][:, k] += np.bincount(symbol, alpha[:, k], len(model.emit))
+        counts[2][:, k] += np.bincount(label, alpha[:, k], len(counts[2]))
+    return likelihood
 
 
 def zeros(model: Model) -> list[np.ndarray]:
@@ -300,22 +331,29 @@ def pieces(column: pa.Array) -> list[np.ndarray]:
 
 
 def baum_welch(texts: DataFrame, model: Model, base: np.ndarray) -> Model:
-    """One round over all texts: counts per task, added up by their place."""
+    """One round over all texts."""
+    return _round(texts, model, base)[0]
+
+
+def _round(texts: DataFrame, model: Model, base: np.ndarray) -> tuple[Model, float]:
+    """The next model and the log-likelihood under this one: counts per task, added up
+    by their place."""
     states = len(model.start)
     held = texts.sparkSession.sparkContext.broadcast(model.plain())
-    # Places: transitions from each state, the start, then the symbols.
+    # Places: transitions from each state, the start, then the symbols; before them,
+    # at -1, the log-likelihood.
     schema = "place int, " + ", ".join(f"s{k} double" for k in range(states))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*held.value)
-        counts = zeros(own)
+        counts, likelihood = zeros(own), np.zeros((1, states))
         for part in batches:
             for _, lengths, symbols in side_by_side(pieces(part["symbols"]), TOGETHER):
-                expected(own, lengths, symbols, counts)
-        rows = np.concatenate([counts[1], counts[0][None, :], counts[2]])
+                likelihood[0, 0] += expected(own, lengths, symbols, counts)
+        rows = np.concatenate([likelihood, counts[1], counts[0][None, :], counts[2]])
         some = np.flatnonzero(rows.any(axis=1))
         yield batch(
-            schema, pa.array(some.astype(np.int32)), *(pa.array(rows[some, k]) for k in range(states))
+            schema, pa.array((some - 1).astype(np.int32)), *(pa.array(rows[some, k]) for k in range(states))
         )
 
     sums = (
@@ -324,9 +362,10 @@ def baum_welch(texts: DataFrame, model: Model, base: np.ndarray) -> Model:
         .agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states)))
         .toPandas()
     )
-    rows = np.zeros((states + 1 + len(base), states))
-    rows[sums["place"].to_numpy(np.int64)] = sums[[f"s{k}" for k in range(states)]].to_numpy()
-    return Model.of_counts(rows[states], rows[:states], rows[states + 1 :], base)
+    rows = np.zeros((states + 2 + len(base), states))
+    rows[sums["place"].to_numpy(np.int64) + 1] = sums[[f"s{k}" for k in range(states)]].to_numpy()
+    likelihood, rows = float(rows[0, 0]), rows[1:]
+    return Model.of_counts(rows[states], rows[:states], rows[states + 1 :], base), likelihood
 
 
 def train(texts: DataFrame, known: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
@@ -348,38 +387,118 @@ def train(texts: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
         for _, lengths, symbols in side_by_side(sample, TOGETHER):
             expected(model, lengths, symbols, counts)
         model = Model.of_counts(*counts, base)
-    for _ in range(rounds):
-        model = baum_welch(texts, model, base)
-    return model
+    made, before = 0, -float("inf")
+    while True:
+        after, likelihood = _round(texts, model, base)
+        if made >= rounds and likelihood - before <= SETTLED * known.total:
+            return model
+        model, before, made = after, likelihood, made + 1
+
+
+def learned(texts: DataFrame, model: Model, known: Vocabulary) -> DataFrame:
+    """(token, s0, s1, ...): expected counts by state of the tokens behind ``other``."""
+    states = len(model.start)
+    context = texts.sparkSession.sparkContext
+    held = context.broadcast((model.plain(), known.token, known.other))
+    schema = "token long, " + ", ".join(f"s{k} double" for k in range(states))
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, heavy, other = held.value
+        own = Model(*plain)
+        for part in batches:
+            symbols = [np.frombuffer(x, "<u2").astype(np.int64) for x in part["symbols"].to_pylist()]
+            tokens = [np.zeros(0, np.int64)]
+            for others, rare in zip(part["others"].to_pylist(), part["rare"].to_pylist(), strict=True):
+                code = np.frombuffer(others, "<i4")
+                light = code >= len(heavy)
+                token = np.empty(len(code), np.int64)
+                token[~light] = heavy[code[~light]]
+                token[light] = np.array(rare or [], np.int64)[code[light] - len(heavy)]
+                tokens.append(token)
+            token, at = np.unique(np.concatenate(tokens), return_inverse=True)
+            # Symbols of their own are label 0; pieces are cut alike.
+            counts = zeros(own)
+            counts[2] = np.zeros((len(token) + 1, states))
+            labels, used = [], 0
+            for x in symbols:
+                mine = np.zeros(len(x), np.int64)
+                behind = x == other
+                n = int(behind.sum())
+                mine[behind] = at[used : used + n] + 1
+                used += n
+                labels += [mine[i : i + PIECE] for i in range(0, len(x), PIECE)]
+            for chosen, lengths, found in side_by_side(pieces(part["symbols"]), TOGETHER):
+                expected(own, lengths, found, counts, np.concatenate([labels[i] for i in chosen]))
+            yield batch(
+                schema, pa.array(token), *(pa.array(counts[2][1:, k].copy()) for k in range(states))
+            )
+
+    return (
+        map_batches(texts.select("symbols", "others", "rare"), step, schema)
+        .groupBy("token")
+        .agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states)))
+    )
+
+
+def tilted(counts: DataFrame, found: DataFrame, states: int) -> DataFrame:
+    """(token, n, tilt) of the tokens in ``found``."""
+    names = [f"s{k}" for k in range(states)]
+    sums = [x or 0.0 for x in found.agg(*(F.sum(c) for c in names)).first()]
+    tilt = [
+        (F.col(c) * F.lit(sum(sums) / max(x, 1e-9)) + 1) / (F.col("n") + 1)
+        for c, x in zip(names, sums, strict=True)
+    ]
+    return counts.join(found, "token").select("token", "n", F.array(*tilt).cast("array<float>").alias("tilt"))
 
 
 SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_heavy long, log_heavy double, "
+    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_known double, "
     "rest double"
 )
 
 
-def _scored(texts: DataFrame, model: Model, known: Vocabulary) -> DataFrame:
-    """Per text, the model's score but for the base score: they add up to the score."""
-    held = texts.sparkSession.sparkContext.broadcast(model.plain())
+def _scored(texts: DataFrame, model: Model, known: Vocabulary, tilts: np.ndarray) -> DataFrame:
+    """Per text, the model's score but for the base score: they add up to the score.
+    ``tilts`` are those of the heavy tokens; ``found`` has those of the text's rare ones."""
+    held = texts.sparkSession.sparkContext.broadcast((model.plain(), tilts, known.other))
     scale = log10(known.scale)
-    other = log10(float(known.base()[known.other]))
+    base_other = log10(float(known.base()[known.other]))
+    states = len(model.start)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*held.value)
+        plain, heavy, other = held.value
+        own = Model(*plain)
         for part in batches:
             found = [np.frombuffer(x, "<u2") for x in part["symbols"].to_pylist()]
+            # Rows of tilts: none, the heavy tokens, then the texts' rare ones.
+            rows, places, top = [np.ones((1, states), np.float32), heavy], [], 1 + len(heavy)
+            for i, symbols in enumerate(found):
+                code = np.frombuffer(part["others"][i].as_py(), "<i4")
+                row_of = np.zeros(1 + int(code.max(initial=-1)), np.int64)
+                n = min(len(heavy), len(row_of))
+                row_of[:n] = np.arange(1, n + 1)
+                own_rare = part["found"][i].values
+                if own_rare is not None and len(own_rare):
+                    at = own_rare.field("at").to_numpy() + len(heavy)
+                    row_of[at] = np.arange(top, top + len(at))
+                    rows.append(own_rare.field("tilt").flatten().to_numpy().reshape(-1, states))
+                    top += len(at)
+                place = np.zeros(len(symbols), np.int64)
+                place[symbols == other] = row_of[code]
+                places.append(place)
+            table = np.concatenate(rows)
             value = np.zeros(len(found))
             for chosen, lengths, symbols in side_by_side(found, 8 * TOGETHER):
-                value[chosen] = forward(own, lengths, symbols) / log(10)
+                place = np.concatenate([places[i] for i in chosen])
+                value[chosen] = forward(own, lengths, symbols, table, place) / log(10)
             n, n_other = (part[c].to_numpy() for c in ("n_tokens", "n_other"))
             # Take the symbols' own base score away; it is part of the base score.
             value -= part["log_symbols"].to_numpy() - (n - n_other) * scale
-            value -= n_other * other
-            kept = (part[c] for c in ("row", "doc_id", "held_out", "n_tokens", "n_heavy", "log_heavy"))
+            value -= n_other * base_other
+            kept = (part[c] for c in ("row", "doc_id", "held_out", "n_tokens", "n_known", "log_known"))
             yield batch(SCORED, *kept, pa.array(value))
 
-    columns = ["row", "doc_id", "held_out", "n_tokens", "n_heavy", "log_heavy", "n_other", "log_symbols", "symbols"]
+    columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "log_known", "n_other", "log_symbols", "symbols", "others", "found"]
     return map_batches(texts.select(*columns), step, SCORED)
 
 
@@ -398,32 +517,42 @@ def scores(docs: DataFrame, held_out: Column, states: int = STATES, rounds: int
         encoded(rows, known).withColumn("row", F.monotonically_increasing_id()), "hmm-texts"
     )
     model = train(texts.filter(~F.col("held_out")), known, states, rounds)
+    behind = stored(learned(texts.filter(~F.col("held_out")), model, known), "hmm-learned")
+    token = stored(tilted(counts, behind, states), "hmm-tilts")
+    light = F.col("n") < F.lit(HEAVY * known.total)
+    tilts = np.ones((len(known.token), states), np.float32)
+    # As many as the vocabulary holds at most.
+    heavy = token.filter(~light).select("token", "tilt").toPandas()
+    if len(heavy):
+        tilts[np.searchsorted(known.token, heavy["token"].to_numpy(np.int64))] = np.stack(heavy["tilt"])
     rare = texts.filter(F.size("rare") > 0).select(
-        "row", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")
+        "row", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("at", "r")
     )
-    light = counts.filter(F.col("n") < F.lit(HEAVY * known.total))
     found = (
-        rare.select("row", F.col("r.rare").alias("token"), F.col("r.rare_n").alias("times"))
-        .join(light, "token")
+        rare.select("row", "at", F.col("r.rare").alias("token"), F.col("r.rare_n").alias("times"))
+        .join(token.filter(light), "token")
         .groupBy("row")
         .agg(
             F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("log_rare"),
             F.sum("times").alias("n_rare"),
+            F.collect_list(F.struct("at", "tilt")).alias("found"),
         )
     )
-    base = F.col("log_heavy") + F.coalesce("log_rare", F.lit(0.0)) - F.col("n_tokens") * F.lit(log10(known.scale))
-    return (
-        _scored(texts, model, known)
-        .join(found, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("n_heavy") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
-            F.lit(int(known.total)).cast("long").alias("train_tokens"),
-            base.alias("base_score"),
-            (base + F.col("rest")).alias("score"),
-        )
+    whole = texts.drop("rare", "rare_n").join(found, "row", "left").withColumns(
+        {
+            "n_known": F.col("n_heavy") + F.coalesce("n_rare", F.lit(0)),
+            "log_known": F.col("log_heavy") + F.coalesce("log_rare", F.lit(0.0)),
+        }
+    )
+    base = F.col("log_known") - F.col("n_tokens") * F.lit(log10(known.scale))
+    return _scored(whole, model, known, tilts).select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(int(known.total)).cast("long").alias("train_tokens"),
+        base.alias("base_score"),
+        (base + F.col("rest")).alias("score"),
     )
 
 

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from postlake.llm import hmm as h
+from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
 from tests.llm.cases import TEXTS, documents, empty
@@ -81,6 +82,41 @@ def test_rounds_raise_the_likelihood(spark):
     assert all(b > a for a, b in zip(values, values[1:], strict=False))
 
 
+def test_tokens_without_a_symbol_are_learned(spark, monkeypatch):
+    """Two kinds of texts whose words are all too rare for a symbol of their own, but for
+    one marker each: a held-out text of one kind's words scores above one that mixes them."""
+    monkeypatch.setattr(h, "SYMBOL", 0.05)
+    rng = np.random.default_rng(4)
+
+    def text(kind, n=20):
+        return " ".join(f"{kind} {kind}w{i}" for i in rng.integers(0, 60, n))
+
+    rows = [(i, text("ab"[i % 2]), None, None) for i in range(300)]
+    words = rng.integers(0, 60, 20)
+    rows += [(1000, " ".join(f"{'ab'[k]} {'ab'[k]}w{i}" for i in words), None, None) for k in (0, 1)]
+    rows += [(1001, " ".join(f"{'ab'[k]} {'ba'[k]}w{i}" for i in words), None, None) for k in (0, 1)]
+    got = h.scores(documents(spark, rows), F.col("doc_id") >= 1000, states=2).filter("held_out").collect()
+    own, mixed = (sum(r.score - r.base_score for r in got if r.doc_id == i) for i in (1000, 1001))
+    assert own > mixed + 20
+
+
+def test_rounds_go_on_until_settled(spark, monkeypatch):
+    """As long as a round gains, another follows, however few are asked for."""
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(0, 5, 30) + 5 * (i % 2), [10, 11]) for i in range(40)]
+    rows = [(i, bytearray(t.astype("<u2").tobytes()), len(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, symbols binary, n_tokens long")
+    monkeypatch.setattr(h, "START_ROUNDS", 0)
+    known = h.Vocabulary(np.arange(10), np.full(10, 120), 1280, 12, 40)
+
+    def value(model):
+        return sum(h.forward(model, l, s).sum() for _, l, s in h.side_by_side(texts, 500))
+
+    model = h.train(frame, known, 3, rounds=1)
+    after = h.baum_welch(frame, model, known.base())
+    assert value(after) - value(model) < 2 * h.SETTLED * known.total
+
+
 def brute(rows, modulus=7, held_out=2):
     low = {i: i + 32 for i in range(65, 91)}
     tokens = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(low)) for _, t in rows]
