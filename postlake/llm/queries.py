@@ -7,18 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from postlake.llm import (
+    chatformat,
     decontaminate,
     hmm,
     htmltext,
     langid,
     linededup,
+    merkle,
     mixing,
     secrets,
     simhash,
     toxicity,
     vectors,
 )
-from postlake.llm.sql import DECONTAMINATE, LINE_DEDUP, MIX
+from postlake.llm.sql import CHAT, DECONTAMINATE, LINE_DEDUP, MERKLE, MIX
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +72,18 @@ def op10_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.near_duplicates(table(spark, sf, "embeddings"))
 
 
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.report(table(spark, sf, "documents"))
+
+
+def op13_chat(spark: SparkSession, sf: str) -> DataFrame:
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    # One more conversation, whose text looks like a template's control strings.
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chatformat.report(turns.unionAll(more))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mix": op2_mix,
@@ -81,9 +95,13 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_hmm": op9_hmm,
     "op10_vectors": op10_vectors,
+    "op11_merkle": op11_merkle,
+    "op13_chat": op13_chat,
 }
 ORACLE: dict[str, str] = {
     "op1_decontaminate": DECONTAMINATE,
     "op2_mix": MIX,
     "op5_line_dedup": LINE_DEDUP,
+    "op11_merkle": MERKLE,
+    "op13_chat": CHAT,
 }

@@ -139,3 +139,103 @@ select doc_id, coalesce(len(ls), 0)::bigint as n_lines, coalesce(len(drop_), 0):
       lambda i: ls[i]), chr(10))) as text
 from doc left join gone using (rid)
 """
+
+# The reflected CRC-32 polynomial makes the table; ``{bytes}`` is a list of numbers.
+CRC_TABLE = """(
+  select list(list_reduce(list_prepend(i, range(8)),
+    lambda c, k: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) order by i) as t
+  from range(256) as bytes(i))"""
+
+
+def crc32(numbers: str) -> str:
+    """crc32 of a list of bytes, with the table of ``CRC_TABLE`` at hand as ``t``."""
+    return (
+        f"xor(4294967295, list_reduce(list_prepend(4294967295::bigint, {numbers}), "
+        "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+    )
+
+
+def _hashed(*columns: str) -> str:
+    parts = (
+        f"if({c} is null, '-', octet_length(encode({c}::varchar)) || ':' || {c}::varchar)" for c in columns
+    )
+    return f"sha256({' || '.join(parts)})"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ID_BYTES = "list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::bigint)"
+
+MERKLE = f"""
+with recursive leafed as (
+  select row_number() over () as rid, doc_id, coalesce('=' || source, '-') as tree,
+    {_hashed("doc_id", "source", "lang", "n_chars", "text")} as leaf,
+    coalesce({crc32(_ID_BYTES)} % 5 = 0, false) as tampered,
+    {_hashed("doc_id", "source", "lang", "n_chars", _LOWERED)} as changed
+  from documents, {CRC_TABLE}
+), placed as (
+  select *, if(tampered, changed, leaf) as shown, count(*) over (partition by tree) as n,
+    row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place
+  from leafed
+), nodes as (
+  select tree, 0 as level, place as pos, n, leaf as hash from placed
+  union all
+  select tree, level + 1, pos >> 4, (n + 15) >> 4, sha256(string_agg(hash, '' order by pos))
+  from nodes where n > 1 group by tree, level, pos >> 4, n
+), roots as (
+  select tree, hash as subroot, row_number() over (order by encode(tree)) - 1 as place, count(*) over () as n
+  from nodes where n = 1
+), tops as (
+  select 0 as level, place as pos, n, subroot as hash from roots
+  union all
+  select level + 1, pos >> 4, (n + 15) >> 4, sha256(string_agg(hash, '' order by pos))
+  from tops where n > 1 group by level, pos >> 4, n
+), every as (
+  select tree, 0 as part, * exclude (tree) from nodes where n > 1
+  union all
+  select r.tree, 1, t.level, t.pos, t.n, t.hash from tops t, roots r
+    where t.n > 1 and t.pos >> 4 = r.place >> (4 * (t.level + 1))
+), steps as (
+  select rid, part, level,
+    coalesce(string_agg(hash, '' order by pos) filter (pos < mine), '') as before,
+    coalesce(string_agg(hash, '' order by pos) filter (pos > mine), '') as after
+  from (
+    select rid, part, level, pos, hash,
+      if(part = 0, p.place, r.place) >> (4 * level) as mine
+    from placed p join roots r using (tree) join every e using (tree)
+    where e.pos >> 4 = if(part = 0, p.place, r.place) >> (4 * (level + 1))
+  ) group by rid, part, level
+), numbered as (
+  select *, row_number() over (partition by rid order by part, level) as k from steps
+), folded as (
+  select rid, 0::bigint as k, shown as hash from placed
+  union all
+  select rid, k + 1, sha256(before || hash || after)
+  from folded join (select rid, k - 1 as k, before, after from numbered) using (rid, k)
+)
+select doc_id, leaf, subroot, (select hash from tops where n = 1) as root,
+  coalesce(proof, sha256('')) as proof_sha256, f.hash as folded_root,
+  f.hash = (select hash from tops where n = 1) as verified
+from placed p join roots using (tree)
+  left join (select rid, max(k) as last, sha256(string_agg(before || after, '' order by k)) as proof
+             from numbered group by rid) using (rid)
+  join folded f on f.rid = p.rid and f.k = coalesce(last, 0)
+"""
+
+CHAT = r"""
+with turn as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -7, n, role, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) as t(n, role)
+), sized as (
+  select *, length(role) + length(text) + length(regexp_replace(role || text, '[^<>\\]', '', 'g'))
+    + length('<turn >' || '</turn>') + 2 as chars
+  from turn
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text)
+    filter (role = 'assistant'), '')) as loss_sha256,
+  sum(chars)::bigint as formatted_chars
+from sized group by conv_id
+"""
