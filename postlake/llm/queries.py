@@ -17,10 +17,11 @@ from postlake.llm import (
     mixing,
     secrets,
     simhash,
+    spelling,
     toxicity,
     vectors,
 )
-from postlake.llm.sql import CHAT, DECONTAMINATE, LINE_DEDUP, MERKLE, MIX
+from postlake.llm.sql import CHAT, DECONTAMINATE, LINE_DEDUP, MERKLE, MIX, SPELLING
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +77,10 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.report(table(spark, sf, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.report(table(spark, sf, "documents"))
+
+
 def op13_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     # One more conversation, whose text looks like a template's control strings.
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op9_hmm": op9_hmm,
     "op10_vectors": op10_vectors,
     "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
     "op13_chat": op13_chat,
 }
 ORACLE: dict[str, str] = {
@@ -103,5 +109,6 @@ ORACLE: dict[str, str] = {
     "op2_mix": MIX,
     "op5_line_dedup": LINE_DEDUP,
     "op11_merkle": MERKLE,
+    "op12_spelling": SPELLING,
     "op13_chat": CHAT,
 }

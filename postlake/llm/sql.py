@@ -239,3 +239,43 @@ select conv_id, count(*)::bigint as n_turns,
   sum(chars)::bigint as formatted_chars
 from sized group by conv_id
 """
+
+_RUN_BYTES = """flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+      lambda x: if(unicode(x) < 128, [unicode(x)::bigint],
+        [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)]::bigint[])))"""
+
+SPELLING = f"""
+with recursive run as (
+  select doc_id, run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\u00C0-\u00FF]+')) as run from documents)
+  where length(run) >= 6 group by doc_id, run
+), hashed as (
+  select run, n, {crc32(_RUN_BYTES)} as h from run, {CRC_TABLE}
+), word as (
+  select if(h % 199 = 0, run[:h % length(run)] || run[h % length(run) + 2:], run) as word, sum(n)::bigint as n
+  from hashed group by 1 having sum(n) >= 5 and length(word) >= 6
+), shorter as (
+  select word, n, i, word[:i - 1] || word[i + 1:] as rest
+  from word, unnest(range(1, length(word) + 1)) as t(i)
+), less as (
+  select distinct s.word, s.n, w.word as near, w.n as near_n from shorter s join word w on s.rest = w.word
+), pair as (
+  select word, n, near, near_n from less
+  union all select near, near_n, word, n from less
+  union all select a.word, a.n, b.word, b.n from shorter a join shorter b using (i, rest) where a.word <> b.word
+), best as (
+  select word, count(*) as n_near, arg_min(struct_pack(near := near, near_n := near_n), (-near_n, near)) as b
+  from pair group by word
+), form as (
+  select word.word, n, coalesce(n_near, 0)::bigint as n_near,
+    if(b.near_n >= 5 * n, b.near, null) as form, if(b.near_n >= 5 * n, b.near_n, null) as form_n
+  from word left join best using (word)
+), chain as (
+  select word, word as root from form
+  union all
+  select chain.word, form.form from chain join form on form.word = chain.root where form.form is not null
+), root as (
+  select chain.word, chain.root from chain join form on form.word = chain.root where form.form is null
+)
+select word, form, root, n, n_near, form_n from form join root using (word)
+"""
