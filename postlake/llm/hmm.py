@@ -32,11 +32,14 @@ every base probability is 1 and the model knows only "other" and the end.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from math import log, log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,14 +47,14 @@ from pyspark.sql import functions as F
 from postlake.llm.common import FOLD, batch, map_batches, split_of, stored, utf8
 
 STATES = 6
-HEAVY = 2e-6
+HEAVY = 5e-7
 SYMBOL = 1 / 60_000
 START_TEXTS, START_TOKENS, START_ROUNDS = 800, 1 << 13, 15
 ROUNDS = 2
 SETTLED = 1e-3
 PIECE = 1 << 16
-# Tokens a task runs through side by side when it must keep all their states.
-TOGETHER = 1 << 18
+# Tokens a task runs through side by side; it holds some 200 bytes for each.
+TOGETHER = 1 << 19
 # Weight, in tokens, of the base distribution in every state's emissions.
 PRIOR = 50.0
 DISTINCT = 1 << 18
@@ -71,18 +74,16 @@ def token_counts(texts: DataFrame) -> DataFrame:
     """(token, n) over all rows, tokens by 64-bit hash, without the ends."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
+        seen: Counter[bytes] = Counter()
 
         def flushed() -> pa.RecordBatch:
             out = batch(COUNTS, list(map(_digest, seen)), list(seen.values()))
             seen.clear()
             return out
 
-        get = seen.get
         for part in batches:
             for text in utf8(part["text"]):
-                for token in tokens_of(text):
-                    seen[token] = get(token, 0) + 1
+                seen.update(tokens_of(text))
                 if len(seen) >= DISTINCT:
                     yield flushed()
         yield flushed()
@@ -134,21 +135,24 @@ ENCODED = (
 )
 
 
-class _Codes(dict):
+class _Codes:
     """Number of each token: its place among the heavy ones, or beyond them."""
 
     def __init__(self, heavy: np.ndarray):
-        super().__init__()
-        self.heavy, self.rare = heavy, []
-
-    def __missing__(self, token: bytes) -> int:
-        value = _digest(token)
-        at = int(np.searchsorted(self.heavy, value))
-        if at == len(self.heavy) or self.heavy[at] != value:
-            at = len(self.heavy) + len(self.rare)
-            self.rare.append(value)
-        self[token] = at
-        return at
+        self.heavy, self.rare = heavy, np.zeros(0, np.int64)
+        self.code: dict[bytes, int] = {}
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        new = list(set(words).difference(self.code))
+        value = np.fromiter(map(_digest, new), np.int64, len(new))
+        at = np.searchsorted(self.heavy, value)
+        rare = np.ones(len(new), bool)
+        if len(self.heavy):
+            rare = self.heavy[np.minimum(at, len(self.heavy) - 1)] != value
+        at[rare] = len(self.heavy) + len(self.rare) + np.arange(int(rare.sum()))
+        self.rare = np.concatenate([self.rare, value[rare]])
+        self.code.update(zip(new, at.tolist(), strict=True))
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
 
 
 def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
@@ -165,45 +169,48 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
         end_log = log10(vocab.ends + 1)
         codes = _Codes(vocab.token)
         for part in batches:
-            rows: list[list] = [[] for _ in range(7)]
-            rare, rare_n, cuts = [], [], [0]
-            for text in utf8(part["text"]):
-                if len(codes.rare) > DISTINCT:
-                    codes = _Codes(vocab.token)
-                words = tokens_of(text)
-                code = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
-                light = code >= heavy
-                some = code[~light]
-                symbol = np.full(len(words) + 1, vocab.other, np.uint16)
-                symbol[:-1][~light] = vocab.symbol[some]
-                symbol[-1] = vocab.end
-                frequent = symbol[:-1][~light] != vocab.other
-                value, at, n = np.unique(code[light], return_inverse=True, return_counts=True)
-                code[light] = heavy + at
-                rare += [codes.rare[v - heavy] for v in value.tolist()]
-                rare_n.append(n)
-                cuts.append(len(rare))
-                for column, x in zip(
-                    rows,
-                    (len(words) + 1,
-                     len(some) + (vocab.ends > 0),
-                     float(logs[some].sum()) + end_log,
-                     int((symbol[:-1] == vocab.other).sum()),
-                     float(logs[some[frequent]].sum()) + end_log,
-                     symbol.astype("<u2").tobytes(),
-                     code[symbol[:-1] == vocab.other].astype("<i4").tobytes()),
-                    strict=True,
-                ):
-                    column.append(x)
+            if len(codes.rare) > DISTINCT:
+                codes = _Codes(vocab.token)
+            split = [tokens_of(text) for text in utf8(part["text"])]
+            n = len(split)
+            sizes = np.fromiter(map(len, split), np.int64, n)
+            total = int(sizes.sum())
+            code = codes.of(list(chain.from_iterable(split)))
+            del split
+            row = np.repeat(np.arange(n), sizes)
+            light = code >= heavy
+            known = np.where(light, 0, code) if heavy else np.zeros(total, np.int64)
+            symbol = np.full(total, vocab.other, np.uint16)
+            log = np.zeros(total)
+            if heavy:
+                symbol = np.where(light, np.uint16(vocab.other), vocab.symbol[known])
+                log = np.where(light, 0.0, logs[known])
+            other = symbol == vocab.other
+            # The distinct rare tokens of each row, and for each token its place there.
+            value, at, times = np.unique(
+                row[light] * (1 << 40) + code[light], return_inverse=True, return_counts=True
+            )
+            cuts = np.searchsorted(value, np.arange(n + 1) << 40)
+            code[light] = heavy + at - cuts[row[light]]
+            ends = np.cumsum(sizes + 1)
+            whole = np.full(total + n, vocab.end, "<u2")
+            whole[np.arange(total) + row] = symbol
+            behind = code[other].astype("<i4").tobytes()
+            bounds = np.concatenate([[0], np.cumsum(np.bincount(row[other], minlength=n))])
             offsets = pa.array(cuts, pa.int32())
-            numbers = np.concatenate([np.zeros(0, np.int64), *rare_n]).astype(np.int32)
             yield batch(
                 ENCODED,
                 part["doc_id"],
                 part["held_out"],
-                *rows,
-                pa.ListArray.from_arrays(offsets, pa.array(rare, pa.int64())),
-                pa.ListArray.from_arrays(offsets, pa.array(numbers)),
+                pa.array(sizes + 1),
+                pa.array(np.bincount(row[~light], minlength=n) + (vocab.ends > 0)),
+                pa.array(np.bincount(row, log, n) + end_log),
+                pa.array(np.diff(bounds)),
+                pa.array(np.bincount(row, np.where(other, 0.0, log), n) + end_log),
+                [whole[e - k : e].tobytes() for e, k in zip(ends.tolist(), (sizes + 1).tolist(), strict=True)],
+                [behind[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)],
+                pa.ListArray.from_arrays(offsets, pa.array(codes.rare[(value & ((1 << 40) - 1)) - heavy])),
+                pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
             )
 
     return map_batches(docs, step, ENCODED)
@@ -234,6 +241,10 @@ class Model:
     def plain(self) -> tuple:
         return self.start, self.move, self.emit
 
+    def single(self) -> tuple:
+        """In single precision, which counts are summed up with; scores are not."""
+        return tuple(x.astype(np.float32) for x in self.plain())
+
 
 def side_by_side(texts: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Texts of like length together, longest first: their numbers, lengths and symbols
@@ -248,6 +259,24 @@ def side_by_side(texts: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarra
         at += n
 
 
+class Steps:
+    """Texts of falling lengths step by step: at step t stand the t-th symbols of all
+    texts longer than t, in rows ``first[t]`` to ``first[t + 1]``."""
+
+    def __init__(self, lengths: np.ndarray):
+        # active[t]: texts longer than t.
+        self.active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
+        self.first = np.concatenate([[0], np.cumsum(self.active)])
+        self.starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+
+    def places(self, low: int, high: int) -> np.ndarray:
+        """For the rows of steps ``low`` to ``high``, places of their symbols."""
+        n = self.active[low:high]
+        row = np.arange(self.first[high] - self.first[low])
+        step = np.repeat(np.arange(low, high), n)
+        return self.starts[row - (self.first[step] - self.first[low])] + step
+
+
 def forward(
     model: Model,
     lengths: np.ndarray,
@@ -257,20 +286,27 @@ def forward(
 ) -> np.ndarray:
     """Natural log-likelihood of each text, by the scaled recursion; lengths fall. A
     symbol's emissions are multiplied by the row of ``tilts`` at its place, if given."""
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    steps = Steps(lengths)
     total = np.zeros(len(lengths))
-    alpha = None
-    active = len(lengths)
-    for t in range(int(lengths[0])):
-        while lengths[active - 1] <= t:
-            active -= 1
-        seen = model.emit[symbols[starts[:active] + t]]
+    alpha, low = None, 0
+    while low < len(steps.active):
+        # As many steps at once as keep few emissions; one at least.
+        high = int(np.searchsorted(steps.first, steps.first[low] + TOGETHER, side="right")) - 1
+        high = min(max(high, low + 1), len(steps.active))
+        where = steps.places(low, high)
+        seen = model.emit[symbols[where]]
         if tilts is not None:
-            seen = seen * tilts[places[starts[:active] + t]]
-        alpha = seen * (model.start if t == 0 else alpha[:active] @ model.move)
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        total[:active] += np.log(scale)
+            seen *= tilts[places[where]]
+        scale = np.empty(len(seen))
+        cuts = (steps.first[low : high + 1] - steps.first[low]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            alpha = seen[a:b] * (model.start if alpha is None else alpha[: b - a] @ model.move)
+            sums = alpha.sum(axis=1)
+            scale[a:b] = sums
+            alpha /= sums[:, None]
+        text = np.arange(len(seen)) - np.repeat(cuts[:-1], np.diff(cuts))
+        total += np.bincount(text, np.log(scale), len(total))
+        low = high
     return total
 
 
@@ -283,46 +319,38 @@ def expected(
 ) -> float:
     """Add the texts' expected start, transition and emission counts, emissions by label
     instead of symbol where ``labels`` are given; the log-likelihood. Lengths fall."""
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    # active[t]: texts longer than t; rows of step t are first[t] and after.
-    active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
-    first = np.concatenate([[0], np.cumsum(active)])
-    states = len(model.start)
-    alpha, seen = np.empty((first[-1], states)), np.empty((first[-1], states))
-    scale, label = np.empty(first[-1]), np.empty(first[-1], np.int64)
-    labels = symbols if labels is None else labels
-    for t, n in enumerate(active):
-        here = slice(first[t], first[t] + n)
-        label[here] = labels[starts[:n] + t]
-        seen[here] = model.emit[symbols[starts[:n] + t]]
-        before = model.start if t == 0 else alpha[first[t - 1] : first[t - 1] + n] @ model.move
-        value = seen[here] * before
-        scale[here] = value.sum(axis=1)
-        alpha[here] = value / scale[here, None]
-    likelihood = float(np.log(scale).sum())
-    moves = np.zeros((states, states))
-    beta = None
-    for t in range(len(active) - 1, -1, -1):
-        n = active[t]
-        here = slice(first[t], first[t] + n)
-        now = np.ones((n, states))
-        if beta is not None:
-            later = slice(first[t + 1], first[t + 1] + active[t + 1])
-            ahead = seen[later] * beta / scale[later, None]
-            moves += alpha[first[t] : first[t] + active[t + 1]].T @ ahead
-            now[: active[t + 1]] = ahead @ model.move.T
-        beta = now
-        # alpha becomes the posterior; its step is no longer needed.
-        alpha[here] *= now
-    counts[0] += alpha[: active[0]].sum(axis=0)
+    steps = Steps(lengths)
+    n, first = steps.active.tolist(), steps.first.tolist()
+    where = steps.places(0, len(n))
+    symbol = symbols[where]
+    label = symbol if labels is None else labels[where]
+    seen = model.emit[symbol]
+    alpha, scale = np.empty_like(seen), np.empty(len(seen), seen.dtype)
+    for t, k in enumerate(n):
+        a, b = first[t], first[t] + k
+        before = model.start if t == 0 else alpha[first[t - 1] : first[t - 1] + k] @ model.move
+        value = np.multiply(seen[a:b], before, out=alpha[a:b])
+        value.sum(axis=1, out=scale[a:b])
+        value /= scale[a:b, None]
+    seen /= scale[:, None]
+    # From the last step back, seen becomes emission times beta, and alpha the posterior.
+    moves = np.zeros(model.move.shape)
+    for t in range(len(n) - 2, -1, -1):
+        a, k = first[t], n[t + 1]
+        ahead = seen[first[t + 1] : first[t + 1] + k]
+        beta = ahead @ model.move.T
+        moves += alpha[a : a + k].T @ ahead
+        alpha[a : a + k] *= beta
+        seen[a : a + k] *= beta
+    counts[0] += alpha[: n[0]].sum(axis=0)
     counts[1] += moves * model.move
-    for k in range(states):
+    for k in range(len(model.start)):
         counts[2][:, k] += np.bincount(label, alpha[:, k], len(counts[2]))
-    return likelihood
+    return float(np.log(scale).sum(dtype=float))
 
 
 def zeros(model: Model) -> list[np.ndarray]:
-    return [np.zeros_like(x) for x in model.plain()]
+    return [np.zeros(x.shape) for x in model.plain()]
 
 
 def pieces(column: pa.Array) -> list[np.ndarray]:
@@ -339,7 +367,7 @@ def _round(texts: DataFrame, model: Model, base: np.ndarray) -> tuple[Model, flo
     """The next model and the log-likelihood under this one: counts per task, added up
     by their place."""
     states = len(model.start)
-    held = texts.sparkSession.sparkContext.broadcast(model.plain())
+    held = texts.sparkSession.sparkContext.broadcast(model.single())
     # Places: transitions from each state, the start, then the symbols; before them,
     # at -1, the log-likelihood.
     schema = "place int, " + ", ".join(f"s{k} double" for k in range(states))
@@ -373,7 +401,7 @@ def train(texts: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
     base = known.base()
     model = Model.first(base, states)
     share = min(1.0, START_TEXTS / max(1, known.ends))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    chosen = F.pmod(F.xxhash64("doc_id", "symbols"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     sample = [
         np.frombuffer(row[0], "<u2").astype(np.int64)
         for row in texts.filter(chosen & (F.col("n_tokens") <= START_TOKENS))
@@ -395,27 +423,45 @@ def train(texts: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
         model, before, made = after, likelihood, made + 1
 
 
+COUNTED = "token long, c binary"
+
+
+def merged(tokens: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the rows of counts by token."""
+    token, at = np.unique(np.concatenate(tokens), return_inverse=True)
+    rows = np.concatenate(counts)
+    return token, np.stack([np.bincount(at, rows[:, k], len(token)) for k in range(rows.shape[1])], axis=1)
+
+
 def learned(texts: DataFrame, model: Model, known: Vocabulary) -> DataFrame:
-    """(token, s0, s1, ...): expected counts by state of the tokens behind ``other``."""
+    """(token, c): expected counts by state of the tokens behind ``other``, packed as
+    one float for each state. Tasks add up what they hold before it is shuffled."""
     states = len(model.start)
     context = texts.sparkSession.sparkContext
-    held = context.broadcast((model.plain(), known.token, known.other))
-    schema = "token long, " + ", ".join(f"s{k} double" for k in range(states))
+    held = context.broadcast((model.single(), known.token, known.other))
+
+    def packed(token: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        bits = rows.astype("<f4").tobytes()
+        size = 4 * rows.shape[1]
+        return batch(COUNTED, pa.array(token), [bits[i : i + size] for i in range(0, len(bits), size)])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, heavy, other = held.value
         own = Model(*plain)
+        tokens: list[np.ndarray] = []
+        sums: list[np.ndarray] = []
         for part in batches:
             symbols = [np.frombuffer(x, "<u2").astype(np.int64) for x in part["symbols"].to_pylist()]
-            tokens = [np.zeros(0, np.int64)]
-            for others, rare in zip(part["others"].to_pylist(), part["rare"].to_pylist(), strict=True):
+            here = [np.zeros(0, np.int64)]
+            for others, rare in zip(part["others"].to_pylist(), part["rare"], strict=True):
                 code = np.frombuffer(others, "<i4")
                 light = code >= len(heavy)
                 token = np.empty(len(code), np.int64)
                 token[~light] = heavy[code[~light]]
-                token[light] = np.array(rare or [], np.int64)[code[light] - len(heavy)]
-                tokens.append(token)
-            token, at = np.unique(np.concatenate(tokens), return_inverse=True)
+                if light.any():
+                    token[light] = rare.values.to_numpy()[code[light] - len(heavy)]
+                here.append(token)
+            token, at = np.unique(np.concatenate(here), return_inverse=True)
             # Symbols of their own are label 0; pieces are cut alike.
             counts = zeros(own)
             counts[2] = np.zeros((len(token) + 1, states))
@@ -429,26 +475,58 @@ def learned(texts: DataFrame, model: Model, known: Vocabulary) -> DataFrame:
                 labels += [mine[i : i + PIECE] for i in range(0, len(x), PIECE)]
             for chosen, lengths, found in side_by_side(pieces(part["symbols"]), TOGETHER):
                 expected(own, lengths, found, counts, np.concatenate([labels[i] for i in chosen]))
-            yield batch(
-                schema, pa.array(token), *(pa.array(counts[2][1:, k].copy()) for k in range(states))
-            )
+            tokens.append(token)
+            sums.append(counts[2][1:].astype(np.float32))
+            if sum(map(len, tokens)) > 4 * DISTINCT:
+                token, rows = merged(tokens, sums)
+                tokens, sums = [token], [rows.astype(np.float32)]
+                if len(token) > 2 * DISTINCT:
+                    yield packed(token, rows)
+                    tokens, sums = [], []
+        if tokens:
+            yield packed(*merged(tokens, sums))
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of a token follow one another; a token may reach into the next batch.
+        token, rows = np.zeros(0, np.int64), np.zeros((0, states))
+        for part in batches:
+            bits = np.frombuffer(b"".join(part["c"].to_pylist()), "<f4").reshape(-1, states)
+            token, rows = merged([token, part["token"].to_numpy()], [rows, bits.astype(np.float64)])
+            last = part["token"][len(part) - 1].as_py() if len(part) else None
+            open_ = token == last
+            yield packed(token[~open_], rows[~open_])
+            token, rows = token[open_], rows[open_]
+        yield packed(token, rows)
 
-    return (
-        map_batches(texts.select("symbols", "others", "rare"), step, schema)
-        .groupBy("token")
-        .agg(*(F.sum(f"s{k}").alias(f"s{k}") for k in range(states)))
-    )
+    made = map_batches(texts.select("symbols", "others", "rare"), step, COUNTED)
+    return map_batches(made.repartition("token").sortWithinPartitions("token"), added, COUNTED)
+
+
+TILTED = "token long, n long, tilt binary"
 
 
 def tilted(counts: DataFrame, found: DataFrame, states: int) -> DataFrame:
-    """(token, n, tilt) of the tokens in ``found``."""
-    names = [f"s{k}" for k in range(states)]
-    sums = [x or 0.0 for x in found.agg(*(F.sum(c) for c in names)).first()]
-    tilt = [
-        (F.col(c) * F.lit(sum(sums) / max(x, 1e-9)) + 1) / (F.col("n") + 1)
-        for c, x in zip(names, sums, strict=True)
-    ]
-    return counts.join(found, "token").select("token", "n", F.array(*tilt).cast("array<float>").alias("tilt"))
+    """(token, n, tilt) of the tokens in ``found``; tilts are packed floats by state."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(states)
+        for part in batches:
+            sums += np.frombuffer(b"".join(part["c"].to_pylist()), "<f4").reshape(-1, states).sum(axis=0, dtype=float)
+        yield batch("sums array<double>", [sums.tolist()])
+
+    parts = map_batches(found.select("c"), summed, "sums array<double>")
+    rows = parts.agg(*(F.sum(F.col("sums")[k]) for k in range(states))).first()
+    sums = np.array([x or 0.0 for x in rows])
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scale = sums.sum() / np.maximum(sums, 1e-9)
+        for part in batches:
+            c = np.frombuffer(b"".join(part["c"].to_pylist()), "<f4").reshape(-1, states)
+            tilt = ((c * scale + 1) / (part["n"].to_numpy()[:, None] + 1)).astype("<f4").tobytes()
+            size = 4 * states
+            yield batch(TILTED, part["token"], part["n"], [tilt[i : i + size] for i in range(0, len(tilt), size)])
+
+    return map_batches(counts.join(found, "token").select("token", "n", "c"), step, TILTED)
 
 
 SCORED = (
@@ -468,35 +546,48 @@ def _scored(texts: DataFrame, model: Model, known: Vocabulary, tilts: np.ndarray
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, heavy, other = held.value
         own = Model(*plain)
+        held_back: list[pa.RecordBatch] = []
+        size = 0
         for part in batches:
-            found = [np.frombuffer(x, "<u2") for x in part["symbols"].to_pylist()]
-            # Rows of tilts: none, the heavy tokens, then the texts' rare ones.
-            rows, places, top = [np.ones((1, states), np.float32), heavy], [], 1 + len(heavy)
-            for i, symbols in enumerate(found):
-                code = np.frombuffer(part["others"][i].as_py(), "<i4")
-                row_of = np.zeros(1 + int(code.max(initial=-1)), np.int64)
-                n = min(len(heavy), len(row_of))
-                row_of[:n] = np.arange(1, n + 1)
-                own_rare = part["found"][i].values
-                if own_rare is not None and len(own_rare):
-                    at = own_rare.field("at").to_numpy() + len(heavy)
-                    row_of[at] = np.arange(top, top + len(at))
-                    rows.append(own_rare.field("tilt").flatten().to_numpy().reshape(-1, states))
-                    top += len(at)
-                place = np.zeros(len(symbols), np.int64)
-                place[symbols == other] = row_of[code]
-                places.append(place)
-            table = np.concatenate(rows)
-            value = np.zeros(len(found))
-            for chosen, lengths, symbols in side_by_side(found, 8 * TOGETHER):
-                place = np.concatenate([places[i] for i in chosen])
-                value[chosen] = forward(own, lengths, symbols, table, place) / log(10)
-            n, n_other = (part[c].to_numpy() for c in ("n_tokens", "n_other"))
-            # Take the symbols' own base score away; it is part of the base score.
-            value -= part["log_symbols"].to_numpy() - (n - n_other) * scale
-            value -= n_other * base_other
-            kept = (part[c] for c in ("row", "doc_id", "held_out", "n_tokens", "n_known", "log_known"))
-            yield batch(SCORED, *kept, pa.array(value))
+            held_back.append(part)
+            size += int(part["n_tokens"].to_numpy().sum())
+            if size >= TOGETHER:
+                yield scored(held_back, own, heavy, other)
+                held_back, size = [], 0
+        if held_back:
+            yield scored(held_back, own, heavy, other)
+
+    def scored(parts: list[pa.RecordBatch], own: Model, heavy: np.ndarray, other: int) -> pa.RecordBatch:
+        part = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        found = [np.frombuffer(x, "<u2") for x in part["symbols"].to_pylist()]
+        # Rows of tilts: none, the heavy tokens, then the texts' rare ones.
+        lists = part["found"]
+        pairs = lists.flatten()
+        bits = np.frombuffer(b"".join(pairs.field("tilt").to_pylist()), "<f4").reshape(-1, states)
+        table = np.concatenate([np.ones((1, states), np.float32), heavy, bits])
+        at = pairs.field("at").to_numpy()
+        sizes = np.array([x or 0 for x in pc.list_value_length(lists).to_pylist()], np.int64)
+        tops = np.concatenate([[0], np.cumsum(sizes)])
+        places = []
+        for i, (symbols, others) in enumerate(zip(found, part["others"].to_pylist(), strict=True)):
+            code = np.frombuffer(others, "<i4")
+            row_of = np.zeros(1 + max(0, int(code.max(initial=-1)) + 1 - len(heavy)), np.int32)
+            mine = at[tops[i] : tops[i + 1]]
+            row_of[mine] = np.arange(tops[i], tops[i + 1]) + 1 + len(heavy)
+            light = code >= len(heavy)
+            place = np.zeros(len(symbols), np.int32)
+            place[symbols == other] = np.where(light, row_of[np.where(light, code - len(heavy), 0)], code + 1)
+            places.append(place)
+        value = np.zeros(len(found))
+        for chosen, lengths, symbols in side_by_side(found, TOGETHER):
+            place = np.concatenate([places[i] for i in chosen])
+            value[chosen] = forward(own, lengths, symbols, table, place) / log(10)
+        n, n_other = (part[c].to_numpy() for c in ("n_tokens", "n_other"))
+        # Take the symbols' own base score away; it is part of the base score.
+        value -= part["log_symbols"].to_numpy() - (n - n_other) * scale
+        value -= n_other * base_other
+        kept = (part[c] for c in ("row", "doc_id", "held_out", "n_tokens", "n_known", "log_known"))
+        return batch(SCORED, *kept, pa.array(value))
 
     columns = ["row", "doc_id", "held_out", "n_tokens", "n_known", "log_known", "n_other", "log_symbols", "symbols", "others", "found"]
     return map_batches(texts.select(*columns), step, SCORED)
@@ -524,7 +615,8 @@ def scores(docs: DataFrame, held_out: Column, states: int = STATES, rounds: int
     # As many as the vocabulary holds at most.
     heavy = token.filter(~light).select("token", "tilt").toPandas()
     if len(heavy):
-        tilts[np.searchsorted(known.token, heavy["token"].to_numpy(np.int64))] = np.stack(heavy["tilt"])
+        rows = np.frombuffer(b"".join(heavy["tilt"]), "<f4").reshape(-1, states)
+        tilts[np.searchsorted(known.token, heavy["token"].to_numpy(np.int64))] = rows
     rare = texts.filter(F.size("rare") > 0).select(
         "row", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("at", "r")
     )
