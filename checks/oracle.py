@@ -643,6 +643,12 @@ ORACLE: dict[str, str] = {
         "select *, 'all' as choice from pending union all"
         " select *, 'ten' from (select * from pending order by post_id limit 10)",
     ),
+    "pending_by_place": with_(
+        [*TO_SILVER, fx.ANNOTATION_SQL, PENDING],
+        "select *, 'all' as choice from pending union all"
+        " select *, 'ten' from (select * from pending order by post_id limit 10)",
+    ),
+    "latest_by_place": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
     "annotation_run": ANNOTATION_RUN,
     "prompt_render": with_(
         [*TO_SILVER, PROMPTS.replace("FROM_TABLE", "silver")],

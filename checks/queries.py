@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import fixtures as fx
-from postlake.operators import annotate, dedupe, joins, select, shape, summary
+from postlake.operators import annotate, dedupe, joins, late, select, shape, summary
 from postlake.plans import catalog_views, models, runs
 from postlake.schemas import ANNOTATION, RAW_POST
 from postlake.session import configure, scratch_path
@@ -375,6 +375,25 @@ def pending_batch(spark: SparkSession, sf: str) -> DataFrame:
     return models.pending(fx.raw_posts(spark, sf), fx.annotations(spark, sf), limit=10)
 
 
+def _raw_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw posts as several files hold them, old scrapes apart from new ones."""
+    path = scratch_path(spark, "raw")
+    fx.raw_posts(spark, sf).repartition(7).write.parquet(path)
+    return tables.raw_posts(spark, path)
+
+
+def latest_by_place(spark: SparkSession, sf: str) -> DataFrame:
+    return late.latest_posts_late(_raw_scan(spark, sf))
+
+
+def pending_by_place(spark: SparkSession, sf: str) -> DataFrame:
+    """All pending posts of raw files, and the first ten by way of a limit."""
+    scan, notes = _raw_scan(spark, sf), fx.annotations(spark, sf)
+    every = models.pending_of_scan(scan, notes).withColumn("choice", F.lit("all"))
+    some = models.pending_of_scan(scan, notes, limit=10).withColumn("choice", F.lit("ten"))
+    return every.unionByName(some)
+
+
 def _silver_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "silver")
     silver(spark, sf).write.parquet(path)
@@ -390,7 +409,7 @@ def pending_of_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def annotation_run(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs over all pending posts, with every kind of bad reply in the first.
+    """Two runs in one folder over all pending posts, every kind of bad reply in the first.
 
     Rows are what is stored after both, and the posts that fail in each.
     """
@@ -422,10 +441,11 @@ def annotation_run(spark: SparkSession, sf: str) -> DataFrame:
     _, table = _new_tables(spark)
     # Stored once, so that both runs read the same posts.
     posts, outcome = _silver_table(spark, sf), []
+    folder = scratch_path(spark, "run")
     for number, broken in ((1, True), (2, False)):
         results = runs.annotate_pending(
             spark, posts, table, annotator(broken), fx.TEMPLATE, "by-length", "1.0.0", RUN_TS,
-            scratch_path(spark, "run"), saves=2,
+            folder, saves=2, task_rows=100, batch=16, in_flight=4,
         )
         failed = results.filter("status = 'failed'")
         outcome.append(
@@ -595,6 +615,8 @@ QUERIES: dict[str, Query] = {
     "pending_posts": pending_posts,
     "pending_batch": pending_batch,
     "pending_of_silver": pending_of_silver,
+    "latest_by_place": latest_by_place,
+    "pending_by_place": pending_by_place,
     "annotation_run": annotation_run,
     "prompt_render": prompt_render,
     "annotate_batch": annotate_batch,

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -50,7 +53,13 @@ def render_prompts(posts: DataFrame, template: str) -> DataFrame:
 
 
 def annotate(
-    prompts: DataFrame, annotator: Annotator, partitions: int | None = None, batch: int = 64
+    prompts: DataFrame,
+    annotator: Annotator,
+    partitions: int | None = None,
+    batch: int = 64,
+    in_flight: int = 1,
+    retries: int = 0,
+    wait: float = 1.0,
 ) -> DataFrame:
     """Run the caller's annotator over all prompts in distributed batches.
 
@@ -60,6 +69,12 @@ def annotate(
     row. When a batch fails, each of its prompts is tried by itself; a failing
     prompt, or a reply that isn't text with two whole numbers or None, gives a row
     with status 'failed' and never stops the job.
+
+    A task has up to ``in_flight`` batches of ``batch`` prompts under way at a time, in
+    threads; no more are taken from the input until the oldest is done, and replies
+    leave in the order of the prompts. A call that raises is made again up to
+    ``retries`` times in all for a prompt, ``wait`` seconds later, then twice that, and
+    so on; a reply of the wrong shape is an answer and is not asked for again.
     """
     tasks = partitions or prompts.sparkSession.sparkContext.defaultParallelism
     prompts = prompts.repartition(tasks, "post_id")
@@ -80,24 +95,38 @@ def annotate(
         return (response, *tokens, "ok", None)
 
     def ask(texts: list[str]) -> list[tuple]:
-        try:
-            replies = annotator(texts)
-            if len(replies) != len(texts):
-                raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
-            return [row_of(reply) for reply in replies]
-        except Exception as failure:
-            if len(texts) == 1:
-                return [(None, None, None, "failed", f"{type(failure).__name__}: {failure}")]
-            return [row for one in texts for row in ask([one])]
+        for attempt in range(1 + (retries if len(texts) == 1 else 0)):
+            if attempt:
+                time.sleep(wait * 2 ** (attempt - 1))
+            try:
+                replies = annotator(texts)
+                if len(replies) != len(texts):
+                    raise ValueError(f"{len(replies)} replies to {len(texts)} prompts")
+                return [row_of(reply) for reply in replies]
+            except Exception as failure:
+                why = f"{type(failure).__name__}: {failure}"
+        if len(texts) == 1:
+            return [(None, None, None, "failed", why)]
+        return [row for one in texts for row in ask([one])]
+
+    def answered(ids: list, replies: list[tuple]) -> pd.DataFrame:
+        rows = [(post_id, *row) for post_id, row in zip(ids, replies)]
+        reply = pd.DataFrame(rows, columns=names)
+        return reply.astype({"input_tokens": "Int32", "output_tokens": "Int32"})
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for at in range(0, len(frame), batch):
-                part = frame.iloc[at : at + batch]
-                rows = ask(part["prompt"].tolist())
-                replies = [(post_id, *row) for post_id, row in zip(part["post_id"], rows)]
-                reply = pd.DataFrame(replies, columns=names)
-                yield reply.astype({"input_tokens": "Int32", "output_tokens": "Int32"})
+        under_way: deque = deque()
+        with ThreadPoolExecutor(in_flight) as pool:
+            for frame in frames:
+                for at in range(0, len(frame), batch):
+                    part = frame.iloc[at : at + batch]
+                    if len(under_way) == in_flight:
+                        ids, replies = under_way.popleft()
+                        yield answered(ids, replies.result())
+                    asked = pool.submit(ask, part["prompt"].tolist())
+                    under_way.append((part["post_id"].tolist(), asked))
+            for ids, replies in under_way:
+                yield answered(ids, replies.result())
 
     names = REPLY.fieldNames()
     return prompts.select("post_id", "prompt").mapInPandas(run, REPLY)

@@ -17,13 +17,10 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def latest_posts(raw: DataFrame) -> DataFrame:
-    """The most recent scrape of each post; a missing scrape time counts as newest.
+def latest_order(columns: list[str]) -> list[Column]:
+    """Newest scrape first, a missing scrape time before all; then every other column.
 
-    The order ends in every other column, so a tie can only be between equal
-    rows and a task that runs twice keeps the same row. ``content`` comes last:
-    a frame without it picks the same rows, and queries that need no text can
-    drop it first and neither read nor shuffle it.
+    ``content`` comes last, so that rows without it are in the same order but for ties.
     """
     order = [
         F.desc_nulls_first("scraped_at"),
@@ -31,11 +28,20 @@ def latest_posts(raw: DataFrame) -> DataFrame:
         F.desc_nulls_last("post_date"),
         F.desc_nulls_last("score"),
         F.desc_nulls_last("num_comments"),
-        *[F.asc_nulls_last(c) for c in ("subreddit", "post_flair", "url", "title", "content")],
+        *[F.asc_nulls_last(c) for c in ("subreddit", "post_flair", "url", "title")],
     ]
-    if "content" not in raw.columns:
-        order.pop()
-    return first_by(raw, ["post_id"], order)
+    return [*order, F.asc_nulls_last("content")] if "content" in columns else order
+
+
+def latest_posts(raw: DataFrame) -> DataFrame:
+    """The most recent scrape of each post; a missing scrape time counts as newest.
+
+    The order ends in every other column, so a tie can only be between equal
+    rows and a task that runs twice keeps the same row. A frame without ``content``
+    picks the same rows, so queries that need no text can drop it first and neither
+    read nor shuffle it.
+    """
+    return first_by(raw, ["post_id"], latest_order(raw.columns))
 
 
 def first_seen(df: DataFrame, key: str, arrival: list[Column]) -> DataFrame:

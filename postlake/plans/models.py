@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlake.functions import lexicon, text
-from postlake.operators import arrays, clean, dedupe, joins
+from postlake.operators import arrays, clean, dedupe, joins, late
 from postlake.operators.once import add_once
 from postlake.schemas import ANNOTATION_COLUMNS, GOLD_COLUMNS, SILVER_COLUMNS
 
@@ -20,7 +20,11 @@ def bronze(raw: DataFrame) -> DataFrame:
 
     Rows are chosen first and cleaned after, so old scrapes cost no cleaning.
     """
-    latest = dedupe.latest_posts(raw)
+    return bronze_of_latest(dedupe.latest_posts(raw))
+
+
+def bronze_of_latest(latest: DataFrame) -> DataFrame:
+    """Bronze of posts that are there once."""
     return latest.select(
         "post_id",
         "post_date",
@@ -130,6 +134,32 @@ def pending(raw: DataFrame, annotations: DataFrame, limit: int | None = None) ->
     return _to_annotate(silver(unseen), limit)
 
 
+def pending_of_scan(scan: DataFrame, annotations: DataFrame, limit: int | None = None) -> DataFrame:
+    """The same as ``pending`` from raw posts as files or a table hold them.
+
+    The newest scrapes are chosen, and known posts left out, on rows without text; then
+    the texts of the chosen are read where they lie (``late``). No text is shuffled. With
+    a limit, texts are fetched for the first ids only, more of them in every round until
+    enough posts have been found that need an annotation.
+    """
+    chosen = joins.without_annotation(late.latest_places(scan), annotations)
+    if limit is None:
+        return _to_annotate(silver(bronze_of_latest(late.fetch(scan, chosen))), None)
+    chosen = late.stored(chosen, "chosen")
+    some, found, after, step = None, 0, None, max(1, 4 * limit)
+    while True:
+        rest = chosen if after is None else chosen.filter(F.col("post_id") > after)
+        ids = rest.select("post_id").distinct().orderBy("post_id").limit(step)
+        count, last = ids.agg(F.count("*"), F.max("post_id")).first()
+        part = rest if last is None else rest.filter(F.col("post_id").isNull() | (F.col("post_id") <= last))
+        texts = late.fetch(scan, part)
+        made = late.stored(_to_annotate(silver(bronze_of_latest(texts)), limit), "pending")
+        some = made if some is None else some.unionAll(made)
+        found, after, step = found + made.count(), last, 4 * step
+        if found >= limit or last is None or count < step // 4:
+            return some.orderBy("post_id").limit(limit)
+
+
 def pending_of_silver(
     silver_posts: DataFrame, annotations: DataFrame, limit: int | None = None
 ) -> DataFrame:

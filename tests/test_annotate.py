@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
+import time
 
 import pytest
 
@@ -52,6 +54,49 @@ def test_one_bad_prompt_spoils_no_other(spark, fail_on_odd):
         assert odd or json.loads(r.response)["sentiment"] == r.post_id[1:]
 
 
+def test_several_requests_in_flight(spark):
+    """64 slow prompts in one task, 16 at a time; ids and order stay, some fail."""
+    prompts = spark.range(64).selectExpr("concat('p', id) as post_id", "cast(id as string) as prompt")
+
+    def slow(texts):
+        time.sleep(0.1 if int(texts[0]) % 2 else 0.05)
+        if texts == ["13"]:
+            raise RuntimeError("unlucky")
+        return [(json.dumps({"sentiment": t}), 1, 1) for t in texts]
+
+    annotate.annotate(prompts.limit(1), slow, partitions=1).collect()  # starts the worker
+    start = time.time()
+    replies = annotate.annotate(prompts, slow, partitions=1, batch=1, in_flight=16).collect()
+    assert time.time() - start < 3 < 64 * 0.075
+    asked = [r.post_id for r in prompts.repartition(1, "post_id").collect()]
+    assert [r.post_id for r in replies] == asked
+    for r in replies:
+        assert r.status == ("failed" if r.post_id == "p13" else "ok")
+        assert r.status == "failed" or json.loads(r.response)["sentiment"] == r.post_id[1:]
+
+
+def test_failed_calls_are_made_again(spark, tmp_path):
+    """Each prompt fails twice; two more tries are enough, one is not."""
+    prompts = spark.range(6).selectExpr("concat('p', id) as post_id", "cast(id as string) as prompt")
+
+    def flaky(name):
+        def annotator(texts):
+            for t in texts:
+                seen = len(list(tmp_path.glob(f"{name}-{t}-*")))
+                (tmp_path / f"{name}-{t}-{seen}").touch()
+                if seen < 2:
+                    raise RuntimeError("busy")
+            return [("{}", 1, 1) for _ in texts]
+
+        return annotator
+
+    def failed(name, retries):
+        asked = annotate.annotate(prompts, flaky(name), 2, batch=1, in_flight=2, retries=retries, wait=0.01)
+        return asked.filter("status = 'failed'").count()
+
+    assert failed("two", 2) == 0 and failed("one", 1) == 6
+
+
 def test_wrong_number_of_replies_is_a_failure(spark):
     prompts = spark.range(4).selectExpr("cast(id as string) as post_id", "'x' as prompt")
     replies = annotate.annotate(prompts, lambda batch: [], partitions=1)
@@ -250,8 +295,53 @@ def test_repeated_run_asks_only_what_has_no_good_reply(spark, make_raw, tmp_path
     assert first["p2"].status == "ok" and "echoed_id" in first["p2"].violations
     assert tables.annotation_table(spark, "first_try").count() == 18
     run("second_try", False)
-    assert sorted(p.name for p in log.glob("False-*")) == ["False-p1"]
-    assert tables.annotation_table(spark, "second_try").count() == 19
+    assert sorted(p.name for p in log.glob("False-*")) == ["False-p1", "False-p3"]
+    assert tables.annotation_table(spark, "second_try").count() == 20
+
+
+def test_finished_tasks_of_a_failed_run_are_kept(spark, make_raw, tmp_path):
+    """One task dies every time; what the others were told is there, and not asked again."""
+    tables.create_annotation_table(spark, "broken_run", str(tmp_path / "a"))
+    raw = make_raw(*[{"post_id": f"p{i}", "content": f"one two three four five {i}"} for i in range(40)])
+    log, folder = tmp_path / "asked", str(tmp_path / "run")
+    log.mkdir()
+
+    def asker(deadly):
+        def label(prompts):
+            for p in prompts:
+                if deadly and p == "p7":
+                    time.sleep(8)
+                    os._exit(1)
+                (log / f"{deadly}-{p}").touch()
+            return [(json.dumps(SOUND), 1, 1) for _ in prompts]
+
+        return label
+
+    def run(deadly):
+        return runs.annotate_pending(
+            spark, raw, "broken_run", asker(deadly), "{{POST_ID}}", "m", "1", utc(2024, 1, 1), folder,
+            partitions=8, batch=1,
+        )
+
+    with pytest.raises(Exception):  # noqa: B017
+        run(True)
+    kept = {r.post_id for r in spark.read.parquet(f"{folder}/replies").collect()}
+    assert 20 < len(kept) < 40 and "p7" not in kept
+    assert tables.annotation_table(spark, "broken_run").count() == 0
+    assert run(False).count() == 40
+    assert {p.name for p in log.glob("False-*")} == {f"False-p{i}" for i in range(40) if f"p{i}" not in kept}
+    assert tables.annotation_table(spark, "broken_run").count() == 40
+
+
+def test_tasks_are_of_bounded_length(spark, make_raw, tmp_path):
+    tables.create_annotation_table(spark, "many_tasks", str(tmp_path / "a"))
+    raw = make_raw(*[{"post_id": f"p{i}", "content": f"one two three four five {i}"} for i in range(60)])
+    label = lambda prompts: [(json.dumps(SOUND), 1, 1) for _ in prompts]
+    runs.annotate_pending(
+        spark, raw, "many_tasks", label, "{{POST_ID}}", "m", "1", utc(2024, 1, 1), str(tmp_path / "run"), task_rows=5
+    )
+    files = [f for f in (tmp_path / "run" / "replies").glob("*.parquet")]
+    assert len(files) > 8 and tables.annotation_table(spark, "many_tasks").count() == 60
 
 
 def test_run_on_a_stored_silver_table(spark, make_raw, tmp_path):
