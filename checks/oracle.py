@@ -686,5 +686,6 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_bronze": ALL_BRONZE,
     "incremental_current": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
+    "incremental_gold": ALL_GOLD,
     "incremental_merged": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
 }

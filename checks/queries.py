@@ -22,7 +22,7 @@ from postlake.plans import catalog_views, models, runs
 from postlake.schemas import ANNOTATION, RAW_POST
 from postlake.session import configure, scratch_path
 from postlake.sources import files, tables
-from postlake.streaming import incremental
+from postlake.streaming import carry, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -564,6 +564,26 @@ def incremental_merged(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.merged_posts(spark, target)
 
 
+def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after posts in three landings and annotations in two, carried through."""
+    names = ("landed", "state", "progress", "notes_landed", "notes", "notes_progress", "silver", "gold")
+    landed, state, progress, notes_landed, notes, notes_progress, silver_path, gold_path = (
+        scratch_path(spark, n) for n in names
+    )
+    stored = fx.annotations(spark, sf)
+    turns = [stored.filter(F.lit(False)), stored.filter("urgency_0_3 < 2"), stored.filter("urgency_0_3 >= 2")]
+
+    def take_in() -> None:
+        turns.pop(0).write.mode("append").parquet(notes_landed)
+        incremental.merge_new(spark, landed, RAW_POST, state, progress, 16)
+        incremental.merge_annotations(spark, notes_landed, notes, notes_progress, 16)
+        carry.carry_silver(spark, state, silver_path, 16)
+        carry.carry_gold(spark, silver_path, notes, gold_path, 16)
+
+    _land_in_turns(spark, sf, landed, take_in)
+    return arrays_as_text(carry.gold_state(spark, gold_path).current(spark))
+
+
 QUERIES: dict[str, Query] = {
     "scan_raw_posts": scan_raw_posts,
     "scan_annotations": scan_annotations,
@@ -629,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "incremental_bronze": incremental_bronze,
     "incremental_current": incremental_current,
     "incremental_merged": incremental_merged,
+    "incremental_gold": incremental_gold,
 }
 
 

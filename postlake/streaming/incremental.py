@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlake.operators.dedupe import latest_posts
-from postlake.schemas import RAW_POST
+from postlake.operators.dedupe import latest_annotations, latest_posts
+from postlake.schemas import ANNOTATION, RAW_POST
 
 
 def take_in_new(
@@ -72,16 +72,13 @@ def compact(spark: SparkSession, target: str, new_target: str) -> DataFrame:
 
 # --- State merged by bucket of the post id ------------------------------------
 
-STATE = T.StructType(
-    [
-        *RAW_POST.fields,
-        T.StructField("version", T.LongType()),
-        T.StructField("bucket", T.IntegerType()),
-    ]
-)
+PLACES = [T.StructField("version", T.LongType()), T.StructField("bucket", T.IntegerType())]
+STATE = T.StructType([*RAW_POST.fields, *PLACES])
+NOTE = T.StructType([T.StructField(f.name, f.dataType) for f in ANNOTATION])
+NOTE_STATE = T.StructType([*NOTE.fields, *PLACES])
 
 
-def _bucket(buckets: int) -> Column:
+def bucket_of(buckets: int) -> Column:
     return F.pmod(F.xxhash64("post_id"), F.lit(buckets)).cast("int")
 
 
@@ -109,20 +106,46 @@ def merge_new(
     same number of buckets always, so many that a batch touches few of them or that
     a bucket fits a task; older versions may be removed at any time.
     """
+    write = _merging(spark, target, buckets, STATE, latest_posts, shape)
+    _run(spark, source, schema, checkpoint, files_per_batch, write)
+
+
+def merge_annotations(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    buckets: int,
+    files_per_batch: int | None = None,
+) -> None:
+    """The same for annotations: of several for a post the newest stays."""
+    write = _merging(spark, target, buckets, NOTE_STATE, latest_annotations, lambda df: df)
+    _run(spark, source, NOTE, checkpoint, files_per_batch, write)
+
+
+def _merging(
+    spark: SparkSession,
+    target: str,
+    buckets: int,
+    state_type: T.StructType,
+    newest_of: Callable[[DataFrame], DataFrame],
+    shape: Callable[[DataFrame], DataFrame],
+) -> Callable[[DataFrame, int], None]:
+    columns = state_type.fieldNames()[: -len(PLACES)]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        news = shape(batch).select(RAW_POST.fieldNames()).withColumn("bucket", _bucket(buckets))
+        news = shape(batch).select(columns).withColumn("bucket", bucket_of(buckets))
         touched = [row[0] for row in news.select("bucket").distinct().collect()]
         # An empty write makes the folder that the first batch would miss.
-        empty = spark.createDataFrame([], STATE)
+        empty = spark.createDataFrame([], state_type)
         empty.write.mode("append").partitionBy("version", "bucket").parquet(target)
-        state = spark.read.schema(STATE).parquet(target).filter(F.col("version") < batch_id)
+        state = spark.read.schema(state_type).parquet(target).filter(F.col("version") < batch_id)
         before = _newest(state.filter(F.col("bucket").isin(touched)))
-        merged = latest_posts(news.unionByName(before.drop("version")))
+        merged = newest_of(news.unionByName(before.drop("version")))
         spread = merged.repartition("bucket")
         spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
 
-    _run(spark, source, schema, checkpoint, files_per_batch, write)
+    return write
 
 
 def merged_posts(spark: SparkSession, target: str) -> DataFrame:

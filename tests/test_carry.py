@@ -1,0 +1,146 @@
+"""Silver and gold carried through by bucket, against models made in one go."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from postlake.operators.dedupe import latest_annotations, latest_posts
+from postlake.plans import models
+from postlake.schemas import RAW_POST
+from postlake.streaming import carry, incremental
+from tests.conftest import utc
+
+BUCKETS = 16
+
+
+def same(a, b) -> bool:
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+class Chain:
+    """Folders of one chain, and a run over what has landed."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, root
+        self.posts, self.notes = (str(root / n) for n in ("posts_landed", "notes_landed"))
+
+    def path(self, name):
+        return str(self.root / name)
+
+    def land(self, posts=None, notes=None):
+        for rows, folder in ((posts, self.posts), (notes, self.notes)):
+            if rows is not None:
+                rows.write.mode("append").parquet(folder)
+
+    def run(self):
+        incremental.merge_new(self.spark, self.posts, RAW_POST, self.path("state"), self.path("p1"), BUCKETS)
+        incremental.merge_annotations(self.spark, self.notes, self.path("note_state"), self.path("p2"), BUCKETS)
+        silver = carry.carry_silver(self.spark, self.path("state"), self.path("silver"), BUCKETS)
+        gold = carry.carry_gold(
+            self.spark, self.path("silver"), self.path("note_state"), self.path("gold"), BUCKETS
+        )
+        return silver, gold
+
+    def silver(self):
+        return carry.silver_state(self.spark, self.path("silver")).current(self.spark)
+
+    def gold(self):
+        return carry.gold_state(self.spark, self.path("gold")).current(self.spark)
+
+    def files(self, name):
+        return {
+            (f.parent.parent.name, f.parent.name): f.stat().st_mtime_ns
+            for f in (self.root / name / "data").glob("version=*/bucket=*/*.parquet")
+        }
+
+
+@pytest.fixture
+def chain(spark, tmp_path):
+    return Chain(spark, tmp_path)
+
+
+def test_landings_equal_one_batch(spark, chain, make_raw, make_annotations):
+    rng = random.Random(11)
+
+    def posts():
+        return make_raw(
+            *[
+                {
+                    "post_id": f"p{rng.randint(0, 60)}",
+                    "content": f"mail a@b.io or see www.x.io, number {rng.randint(0, 5)} of all",
+                    "scraped_at": utc(2024, 1, rng.randint(1, 28)),
+                    "subreddit": "A",
+                }
+                for _ in range(50)
+            ]
+        )
+
+    def notes():
+        return make_annotations(
+            *[
+                {"post_id": f"p{rng.randint(0, 70)}", "annotated_at": utc(2024, 2, rng.randint(1, 28)), "keywords": ["k"]}
+                for _ in range(20)
+            ]
+        )
+
+    for number in range(3):
+        chain.land(posts(), notes() if number else make_annotations())
+        chain.run()
+    raw = latest_posts(spark.read.schema(RAW_POST).parquet(chain.posts))
+    silver = models.silver(models.bronze(raw))
+    stored = latest_annotations(spark.read.schema(incremental.NOTE).parquet(chain.notes))
+    assert same(chain.silver(), silver)
+    assert same(chain.gold(), models.gold(silver, stored))
+    assert chain.run() == ([], [])
+
+
+def test_untouched_buckets_keep_their_files(spark, chain, make_raw, make_annotations):
+    chain.land(make_raw(*[{"post_id": f"p{i}", "content": "x"} for i in range(200)]), make_annotations())
+    first = chain.run()
+    assert first == (list(range(BUCKETS)), list(range(BUCKETS)))
+    before = {name: chain.files(name) for name in ("silver", "gold")}
+
+    # A post changes: one bucket of each. Then an annotation: one bucket of gold only.
+    chain.land(make_raw({"post_id": "p7", "content": "new", "scraped_at": None, "score": 9}))
+    silver, gold = chain.run()
+    assert len(silver) == 1 and silver == gold
+    chain.land(notes=make_annotations({"post_id": "p8", "sentiment": "neutral"}))
+    silver, gold = chain.run()
+    assert silver == [] and len(gold) == 1
+    for name, count in (("silver", 1), ("gold", 2)):
+        after = chain.files(name)
+        assert before[name].items() <= after.items()
+        assert len({folder for folder in after if folder[0] != "version=1"}) == count
+    found = {r.post_id: r for r in chain.gold().collect()}
+    assert len(found) == 200 and found["p8"].sentiment == "neutral" and found["p7"].text_raw == "new"
+
+
+def test_failed_run_leaves_the_model_as_it_was(spark, chain, make_raw, make_annotations):
+    chain.land(make_raw(*[{"post_id": f"p{i}", "content": "old"} for i in range(30)]), make_annotations())
+    chain.run()
+    chain.land(make_raw({"post_id": "p3", "content": "new", "score": 1}))
+    incremental.merge_new(spark, chain.posts, RAW_POST, chain.path("state"), chain.path("p1"), BUCKETS)
+    source, target = carry.State(chain.path("state"), RAW_POST), carry.silver_state(spark, chain.path("silver"))
+
+    def broken(rows):
+        silver = models.silver(models.bronze_of_latest(rows["posts"]))
+        return silver.selectExpr("*", "raise_error('stop') as boom").withColumn(
+            "n_chars", silver["n_chars"] + 0
+        ).filter("boom is null")
+
+    with pytest.raises(Exception):  # noqa: B017
+        carry.carry(spark, {"posts": source}, target, BUCKETS, broken)
+    assert {r.text_raw for r in chain.silver().collect()} == {"old"}
+    chain.run()
+    assert {r.post_id: r.text_raw for r in chain.gold().collect()}["p3"] == "new"
+
+
+def test_silver_is_not_shuffled(spark, chain, make_raw):
+    state = carry.State(chain.path("state"), RAW_POST)
+    chain.land(make_raw({"post_id": "a", "content": "x"}))
+    incremental.merge_new(spark, chain.posts, RAW_POST, chain.path("state"), chain.path("p1"), BUCKETS)
+    plan = models.silver(models.bronze_of_latest(state.current(spark, [1, 2])))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(post_id" not in text and "Window" not in text
