@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from checks import fixtures as fx
-from checks.queries import COMMUNITIES
+from checks.queries import COMMUNITIES, DAY
 from postlake.functions import lexicon
 from postlake.schemas import (
     ANNOTATION_COLUMNS,
@@ -689,3 +689,22 @@ ORACLE: dict[str, str] = {
     "incremental_gold": ALL_GOLD,
     "incremental_merged": with_([fx.RAW_SQL, LATEST], f"select {RAW} from latest"),
 }
+
+# Queries that reach the same rows another way.
+ORACLE["catalog_gold_hot"] = ORACLE["gold_hot"]
+ORACLE["loaded_subreddits_indexed"] = ORACLE["loaded_subreddits"]
+ORACLE["loaded_subreddit_days_indexed"] = ORACLE["loaded_subreddit_days"]
+ORACLE["catalog_functions_all"] = with_(
+    [fx.RAW_SQL],
+    f"""
+    select 'day' as asked, post_id, score, cast(null as int) as top_rank from raw_posts
+      where lower(subreddit) = 'src1' and cast(post_date as date) = date '{DAY}'
+    union all
+    select 'flair', post_id, score, null from raw_posts where lower(post_flair) like '%en quest%'
+    union all
+    select 'of', post_id, score, null from raw_posts
+      where lower(subreddit) in ({', '.join(fx.quoted(c.lower()) for c in COMMUNITIES)})
+    union all
+    select period, post_id, score, top_rank from ({TOP_PERIODS})
+    """,
+)

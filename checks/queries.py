@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 
 from checks import fixtures as fx
 from postlake.operators import annotate, dedupe, joins, late, select, shape, summary
-from postlake.plans import catalog_views, models, runs
+from postlake.plans import catalog_functions, catalog_views, models, runs
 from postlake.schemas import ANNOTATION, RAW_POST
 from postlake.session import configure, scratch_path
-from postlake.sources import files, tables
+from postlake.sources import files, presence, tables
 from postlake.streaming import carry, incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -201,6 +201,55 @@ def loaded_subreddit_days(spark: SparkSession, sf: str) -> DataFrame:
     return select.loaded_days(wanted, fx.raw_posts(spark, sf))
 
 
+def _appended_twice(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """A raw table filled by two appends, its index refreshed after each and once more."""
+    raw, _ = _new_tables(spark)
+    index, posts = scratch_path(spark, "index"), fx.raw_posts(spark, sf)
+    for half in ("score % 2 = 0", "score % 2 <> 0"):
+        tables.append_posts(posts.filter(half), raw)
+        presence.refresh(tables.raw_table(spark, raw), index)
+    table = tables.raw_table(spark, raw)
+    presence.refresh(table, index)
+    return table, index
+
+
+def loaded_subreddits_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    names = fx.documents(spark, sf).select("source").distinct()
+    wanted = names.select(F.explode(F.array("source", F.upper("source"))).alias("subreddit"))
+    return presence.loaded_communities(wanted, *_appended_twice(spark, sf))
+
+
+def loaded_subreddit_days_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.to_date(F.timestamp_seconds(fx.EPOCH + F.col("doc_id") * 3600))
+    days = F.explode(F.array(day, F.date_add(day, 1))).alias("day")
+    wanted = fx.documents(spark, sf).select(F.col("source").alias("subreddit"), days).distinct()
+    return presence.loaded_days(wanted, *_appended_twice(spark, sf))
+
+
+def catalog_functions_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every table function of the catalog, called from SQL."""
+    raw, _ = _new_tables(spark)
+    tables.append_posts(fx.raw_posts(spark, sf), raw)
+    home = f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}"
+    before, schema = spark.catalog.currentDatabase(), f"functions_{uuid.uuid4().hex}"
+    catalog_functions.create_functions(spark, f"{home}.{raw}", schema)
+    names = ", ".join(f"'{c}'" for c in COMMUNITIES)
+    calls = [
+        f"select 'day' as asked, post_id, score, cast(null as int) as top_rank from posts_for_day('Src1', date'{DAY}')",
+        "select 'flair', post_id, score, null from posts_with_flair('eN qUEST')",
+        f"select 'of', post_id, score, null from posts_of(array({names}))",
+    ]
+    calls += [
+        f"select '{period}', post_id, score, top_rank from top_posts('{period}', timestamp'{AS_OF:%F %T}', 3)"
+        for period in select.PERIODS
+    ]
+    spark.catalog.setCurrentDatabase(schema)
+    try:
+        return spark.sql(" union all ".join(calls))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 # --- Shaping -----------------------------------------------------------------
 
 
@@ -330,6 +379,18 @@ def gold_hot(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("post_id", "n_words", "primary_topic", "urgency_0_3", "output_tokens")
 
 
+def catalog_gold_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the gold view of the catalog."""
+    raw, stored = _new_tables(spark)
+    tables.append_posts(fx.raw_posts(spark, sf), raw)
+    fx.crowded_annotations(spark, sf).write.insertInto(stored)
+    home = f"{spark.catalog.currentCatalog()}.{spark.catalog.currentDatabase()}"
+    schema = f"models_{uuid.uuid4().hex}"
+    catalog_views.create_views(spark, f"{home}.{raw}", f"{home}.{stored}", schema, part_rows=20)
+    joined = spark.table(f"{schema}.gold")
+    return joined.select("post_id", "n_words", "primary_topic", "urgency_0_3", "output_tokens")
+
+
 def post_review(spark: SparkSession, sf: str) -> DataFrame:
     return arrays_as_text(models.post_review(gold(spark, sf)))
 
@@ -597,7 +658,11 @@ QUERIES: dict[str, Query] = {
     "model_views": model_views,
     "model_views_all": model_views_all,
     "catalog_views_all": catalog_views_all,
+    "catalog_functions_all": catalog_functions_all,
+    "catalog_gold_hot": catalog_gold_hot,
     "loaded_subreddits": loaded_subreddits,
+    "loaded_subreddits_indexed": loaded_subreddits_indexed,
+    "loaded_subreddit_days_indexed": loaded_subreddit_days_indexed,
     "loaded_subreddit_days": loaded_subreddit_days,
     "shape_archive": shape_archive,
     "shape_rejects": shape_rejects,

@@ -39,22 +39,23 @@ def with_annotations(
     of a left join, so every post then gets as many parts as its count asks for, by
     the same path at every size: its annotations are dealt out over the parts, one
     copy of the post meets each, and of a post with annotations the copies that
-    meet none are dropped. Posts are read once. The dealing counts rows within a
-    task, which parts equal rows too; it is the same when a task that reads a
+    meet none are dropped. Posts are read once. The dealing numbers rows where they
+    are read, which parts equal rows too; it is the same when a task that reads a
     stored table runs twice.
     """
     if not part_rows:
         return posts.join(annotations, "post_id", how)
     hot = hot_parts(annotations, part_rows)
-    dealt = annotations.join(hot, "post_id", "left").withColumn(
+    # Numbered where they are read: after a join the order of rows could differ when a
+    # lost task runs again.
+    numbered = annotations.withColumn("_number", F.monotonically_increasing_id())
+    dealt = numbered.join(hot, "post_id", "left").withColumn(
         "_part",
-        F.when(F.col("_parts").isNull(), 0)
-        .otherwise(F.pmod(F.monotonically_increasing_id(), F.col("_parts")))
-        .cast("int"),
+        F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod("_number", "_parts")).cast("int"),
     )
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     spread = posts.join(hot, "post_id", "left").withColumn("_part", copies)
-    met = dealt.drop("_parts").withColumn("_met", F.lit(True))
+    met = dealt.drop("_parts", "_number").withColumn("_met", F.lit(True))
     joined = spread.join(met, ["post_id", "_part"], how)
     return joined.filter(F.col("_parts").isNull() | F.col("_met")).drop("_part", "_parts", "_met")
 

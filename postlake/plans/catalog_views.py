@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from postlake.functions import text
+from postlake.operators import joins
 from postlake.schemas import ANNOTATION_COLUMNS, SAFETY_INDICATORS, SILVER_COLUMNS
 
 _NEWEST = ["post_timestamp", "post_date", "score", "num_comments"]
@@ -84,9 +85,25 @@ def silver_sql(bronze: str) -> str:
         {_redacted()}))"""
 
 
-def gold_sql(silver: str, notes: str) -> str:
+def gold_sql(silver: str, notes: str, part_rows: int = joins.PART_ROWS) -> str:
+    """The join of ``joins.with_annotations``: posts with more annotations than
+    ``part_rows`` meet them in parts."""
     added = ", ".join(f"n.{c}" for c in ANNOTATION_COLUMNS if c != "post_id")
-    return f"SELECT p.*, {added} FROM {silver} p LEFT JOIN {notes} n ON p.post_id = n.post_id"
+    return f"""
+    WITH hot AS (
+      SELECT post_id, CAST(ceil(count(*) / {part_rows}) AS INT) AS _parts FROM {notes}
+      WHERE post_id IS NOT NULL GROUP BY post_id HAVING count(*) > {part_rows}),
+    dealt AS (
+      SELECT n.*, CAST(CASE WHEN h._parts IS NULL THEN 0 ELSE pmod(n._number, h._parts) END AS INT) AS _part,
+        true AS _met
+      FROM (SELECT *, monotonically_increasing_id() AS _number FROM {notes}) n
+      LEFT JOIN hot h ON n.post_id = h.post_id),
+    spread AS (
+      SELECT s.*, h._parts FROM {silver} s LEFT JOIN hot h ON s.post_id = h.post_id)
+    SELECT {", ".join(f"p.{c}" for c in SILVER_COLUMNS)}, {added}
+    FROM (SELECT * FROM spread LATERAL VIEW explode(sequence(0, coalesce(_parts, 1) - 1)) AS _part) p
+    LEFT JOIN dealt n ON p.post_id = n.post_id AND p._part = n._part
+    WHERE p._parts IS NULL OR n._met"""
 
 
 def _review(raw: str, notes: str, column: str) -> str:
@@ -95,7 +112,9 @@ def _review(raw: str, notes: str, column: str) -> str:
       LEFT JOIN {notes} n ON p.post_id = n.post_id)"""
 
 
-def view_texts(raw: str, notes: str, schema: str) -> dict[str, str]:
+def view_texts(
+    raw: str, notes: str, schema: str, part_rows: int = joins.PART_ROWS
+) -> dict[str, str]:
     """The SQL of each view by its name, in the order in which they build on each other."""
     flags = ", ".join(
         f"array_contains(safety_flags, '{flag}') AS {name}" for name, flag in SAFETY_INDICATORS.items()
@@ -108,7 +127,7 @@ def view_texts(raw: str, notes: str, schema: str) -> dict[str, str]:
     return {
         "bronze": bronze_sql(raw),
         "silver": silver_sql(f"{schema}.bronze"),
-        "gold": gold_sql(f"{schema}.silver", notes),
+        "gold": gold_sql(f"{schema}.silver", notes, part_rows),
         "post_review": f"SELECT * FROM {schema}.gold",
         "keywords_exploded": flat("keywords", "keyword"),
         "safety_flags_exploded": flat("safety_flags", "safety_flag"),
@@ -116,10 +135,12 @@ def view_texts(raw: str, notes: str, schema: str) -> dict[str, str]:
     }
 
 
-def create_views(spark: SparkSession, raw: str, notes: str, schema: str) -> list[str]:
+def create_views(
+    spark: SparkSession, raw: str, notes: str, schema: str, part_rows: int = joins.PART_ROWS
+) -> list[str]:
     """Create or replace the views in a schema, over two stored tables by full name."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    texts = view_texts(raw, notes, schema)
+    texts = view_texts(raw, notes, schema, part_rows)
     for name, sql in texts.items():
         spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {sql}")
     return [f"{schema}.{name}" for name in texts]
