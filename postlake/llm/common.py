@@ -26,14 +26,14 @@ FOLD_WORDS = bytes(
 BATCH_BYTES = 2 << 20
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a step to the shared scratch folder and read it back.
 
     This cuts the lineage, and what a lost executor had is read again from
     there instead of being computed anew.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

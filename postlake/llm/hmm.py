@@ -8,9 +8,9 @@ the task that reads the text; the rest meet the count table in a shuffled join.
 The model has ``STATES`` latent states. In the rounds its symbols are the tokens that
 make up at least ``SYMBOL`` of all, the end, and one for any other token. Baum-Welch
 starts on about ``START_TEXTS`` texts of at most ``START_TOKENS`` tokens (fixed bounds;
-by hash of the id), then makes rounds over all training rows until one gains less than
-``SETTLED`` of log-likelihood per token, ``ROUNDS`` at least: every task sums expected
-counts over its texts, and the sums are added up by symbol.
+by hash), then makes rounds over all training rows, ``ROUNDS`` and one more at least,
+until the next would gain less than ``SETTLED`` of log-likelihood per token: every task
+sums expected counts over its texts, and the sums are added up by symbol.
 
 Then every other token of the training rows, down to those seen once, gets emissions of
 its own: a pass over all training rows sums its expected counts ``c`` by state, in a
@@ -34,7 +34,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 from math import log, log10
 
 import numpy as np
@@ -135,24 +135,34 @@ ENCODED = (
 )
 
 
+class _Numbers(dict):
+    """Numbers of tokens in the order in which they are first met."""
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = at = len(self)
+        return at
+
+
 class _Codes:
-    """Number of each token: its place among the heavy ones, or beyond them."""
+    """Code of each token: its place among the heavy ones, or beyond them."""
 
     def __init__(self, heavy: np.ndarray):
         self.heavy, self.rare = heavy, np.zeros(0, np.int64)
-        self.code: dict[bytes, int] = {}
+        self.number, self.place = _Numbers(), np.zeros(0, np.int32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        new = list(set(words).difference(self.code))
+        met = len(self.number)
+        number = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
+        new = list(islice(self.number, met, None))
         value = np.fromiter(map(_digest, new), np.int64, len(new))
-        at = np.searchsorted(self.heavy, value)
+        at = np.searchsorted(self.heavy, value).astype(np.int32)
         rare = np.ones(len(new), bool)
         if len(self.heavy):
             rare = self.heavy[np.minimum(at, len(self.heavy) - 1)] != value
         at[rare] = len(self.heavy) + len(self.rare) + np.arange(int(rare.sum()))
         self.rare = np.concatenate([self.rare, value[rare]])
-        self.code.update(zip(new, at.tolist(), strict=True))
-        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+        self.place = np.concatenate([self.place, at])
+        return self.place[number]
 
 
 def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
@@ -165,7 +175,9 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(*held.value)
         heavy = len(vocab.token)
-        logs = np.log10(vocab.n + 1.0)
+        # The last place of each stands for any rare token.
+        logs = np.append(np.log10(vocab.n + 1.0), 0.0)
+        symbols = np.append(vocab.symbol, np.uint16(vocab.other)).astype(np.uint16)
         end_log = log10(vocab.ends + 1)
         codes = _Codes(vocab.token)
         for part in batches:
@@ -177,18 +189,14 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
             total = int(sizes.sum())
             code = codes.of(list(chain.from_iterable(split)))
             del split
-            row = np.repeat(np.arange(n), sizes)
-            light = code >= heavy
-            known = np.where(light, 0, code) if heavy else np.zeros(total, np.int64)
-            symbol = np.full(total, vocab.other, np.uint16)
-            log = np.zeros(total)
-            if heavy:
-                symbol = np.where(light, np.uint16(vocab.other), vocab.symbol[known])
-                log = np.where(light, 0.0, logs[known])
-            other = symbol == vocab.other
+            row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+            known = np.minimum(code, heavy)
+            symbol, log = symbols[known], logs[known]
+            light, other = np.flatnonzero(code >= heavy), np.flatnonzero(symbol == vocab.other)
+            log_heavy = np.bincount(row, log, n)
             # The distinct rare tokens of each row, and for each token its place there.
             value, at, times = np.unique(
-                row[light] * (1 << 40) + code[light], return_inverse=True, return_counts=True
+                (row[light].astype(np.int64) << 40) + code[light], return_inverse=True, return_counts=True
             )
             cuts = np.searchsorted(value, np.arange(n + 1) << 40)
             code[light] = heavy + at - cuts[row[light]]
@@ -196,17 +204,18 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
             whole = np.full(total + n, vocab.end, "<u2")
             whole[np.arange(total) + row] = symbol
             behind = code[other].astype("<i4").tobytes()
-            bounds = np.concatenate([[0], np.cumsum(np.bincount(row[other], minlength=n))])
+            n_other = np.bincount(row[other], minlength=n)
+            bounds = np.concatenate([[0], np.cumsum(n_other)])
             offsets = pa.array(cuts, pa.int32())
             yield batch(
                 ENCODED,
                 part["doc_id"],
                 part["held_out"],
                 pa.array(sizes + 1),
-                pa.array(np.bincount(row[~light], minlength=n) + (vocab.ends > 0)),
-                pa.array(np.bincount(row, log, n) + end_log),
-                pa.array(np.diff(bounds)),
-                pa.array(np.bincount(row, np.where(other, 0.0, log), n) + end_log),
+                pa.array(sizes - np.bincount(row[light], minlength=n) + (vocab.ends > 0)),
+                pa.array(log_heavy + end_log),
+                pa.array(n_other),
+                pa.array(log_heavy - np.bincount(row[other], log[other], n) + end_log),
                 [whole[e - k : e].tobytes() for e, k in zip(ends.tolist(), (sizes + 1).tolist(), strict=True)],
                 [behind[4 * a : 4 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)],
                 pa.ListArray.from_arrays(offsets, pa.array(codes.rare[(value & ((1 << 40) - 1)) - heavy])),
@@ -415,12 +424,18 @@ def train(texts: DataFrame, known: Vocabulary, states: int = STATES, rounds: int
         for _, lengths, symbols in side_by_side(sample, TOGETHER):
             expected(model, lengths, symbols, counts)
         model = Model.of_counts(*counts, base)
-    made, before = 0, -float("inf")
+    # EM's gains fall by about the same factor each round, so the last two tell what the
+    # model that is at hand by then, one round on, would still gain.
+    values: list[float] = []
     while True:
-        after, likelihood = _round(texts, model, base)
-        if made >= rounds and likelihood - before <= SETTLED * known.total:
+        model, likelihood = _round(texts, model, base)
+        values.append(likelihood)
+        if len(values) > max(rounds, 2) and known.total:
+            first, last = values[-2] - values[-3], values[-1] - values[-2]
+            if last <= 0 or last * min(1.0, last / max(first, last)) <= SETTLED * known.total:
+                return model
+        elif not known.total:
             return model
-        model, before, made = after, likelihood, made + 1
 
 
 COUNTED = "token long, c binary"
@@ -451,30 +466,26 @@ def learned(texts: DataFrame, model: Model, known: Vocabulary) -> DataFrame:
         tokens: list[np.ndarray] = []
         sums: list[np.ndarray] = []
         for part in batches:
-            symbols = [np.frombuffer(x, "<u2").astype(np.int64) for x in part["symbols"].to_pylist()]
-            here = [np.zeros(0, np.int64)]
-            for others, rare in zip(part["others"].to_pylist(), part["rare"], strict=True):
-                code = np.frombuffer(others, "<i4")
-                light = code >= len(heavy)
-                token = np.empty(len(code), np.int64)
-                token[~light] = heavy[code[~light]]
-                if light.any():
-                    token[light] = rare.values.to_numpy()[code[light] - len(heavy)]
-                here.append(token)
-            token, at = np.unique(np.concatenate(here), return_inverse=True)
+            # Codes of the other tokens of all texts, rare ones by place in the whole list.
+            others = [np.frombuffer(x, "<i4") for x in part["others"].to_pylist()]
+            rare = part["rare"]
+            starts = np.concatenate([[0], np.cumsum(pc.list_value_length(rare).fill_null(0).to_numpy())])
+            code = np.concatenate([np.zeros(0, np.int64), *others])
+            shift = np.repeat(starts[:-1], [len(x) for x in others])
+            names = np.concatenate([heavy, rare.flatten().to_numpy()])
+            code[code >= len(heavy)] += shift[code >= len(heavy)]
+            token, at = np.unique(names[code], return_inverse=True)
             # Symbols of their own are label 0; pieces are cut alike.
             counts = zeros(own)
             counts[2] = np.zeros((len(token) + 1, states))
-            labels, used = [], 0
-            for x in symbols:
-                mine = np.zeros(len(x), np.int64)
-                behind = x == other
-                n = int(behind.sum())
-                mine[behind] = at[used : used + n] + 1
-                used += n
-                labels += [mine[i : i + PIECE] for i in range(0, len(x), PIECE)]
-            for chosen, lengths, found in side_by_side(pieces(part["symbols"]), TOGETHER):
-                expected(own, lengths, found, counts, np.concatenate([labels[i] for i in chosen]))
+            texts_ = pieces(part["symbols"])
+            whole = np.concatenate([np.zeros(0, np.int64), *texts_])
+            label = np.zeros(len(whole), np.int64)
+            label[whole == other] = at + 1
+            cuts = np.concatenate([[0], np.cumsum([len(t) for t in texts_], dtype=np.int64)])
+            for chosen, lengths, found in side_by_side(texts_, TOGETHER):
+                labels = np.concatenate([label[cuts[i] : cuts[i + 1]] for i in chosen])
+                expected(own, lengths, found, counts, labels)
             tokens.append(token)
             sums.append(counts[2][1:].astype(np.float32))
             if sum(map(len, tokens)) > 4 * DISTINCT:
@@ -605,7 +616,7 @@ def scores(docs: DataFrame, held_out: Column, states: int = STATES, rounds: int
     counts = stored(token_counts(training.select("text")), "hmm-counts")
     known = vocabulary(counts, training.select("held_out").count())
     texts = stored(
-        encoded(rows, known).withColumn("row", F.monotonically_increasing_id()), "hmm-texts"
+        encoded(rows, known).withColumn("row", F.monotonically_increasing_id()), "hmm-texts", "zstd"
     )
     model = train(texts.filter(~F.col("held_out")), known, states, rounds)
     behind = stored(learned(texts.filter(~F.col("held_out")), model, known), "hmm-learned")
