@@ -708,3 +708,24 @@ ORACLE["catalog_functions_all"] = with_(
     select period, post_id, score, top_rank from ({TOP_PERIODS})
     """,
 )
+ORACLE["tables_present"] = with_(
+    [fx.RAW_SQL],
+    """
+    select unnest(['table', 'table in upper case']) as asked, true as is_there
+    union all select unnest(['no table', 'community of no table']), false
+    union all select 'community', exists (select * from raw_posts where subreddit = 'SRC1')
+    union all select 'community in lower case', exists (select * from raw_posts where subreddit = 'src1')
+    union all select 'day', exists (select * from raw_posts
+      where lower(subreddit) = 'src1' and cast(post_date as date) = date '2024-01-01')
+    union all select 'day before all', exists (select * from raw_posts
+      where lower(subreddit) = 'src1' and cast(post_date as date) = date '2023-12-31')
+    """,
+)
+ORACLE["renamed_columns"] = with_(
+    [fx.ANNOTATION_SQL],
+    """
+    select post_id as "POST_ID", primary_group as "PRIMARY_GROUP",
+      cast(to_json(keywords) as varchar) as "KEYWORDS", annotated_at as "ANNOTATED_AT"
+    from annotations
+    """,
+)

@@ -250,6 +250,30 @@ def catalog_functions_all(spark: SparkSession, sf: str) -> DataFrame:
         spark.catalog.setCurrentDatabase(before)
 
 
+def tables_present(spark: SparkSession, sf: str) -> DataFrame:
+    """What the guards say of a filled table, in any case of its name, and of none."""
+    raw, _ = _new_tables(spark)
+    tables.append_posts(fx.raw_posts(spark, sf), raw)
+    said = [
+        ("table", tables.table_exists(spark, raw)),
+        ("table in upper case", tables.table_exists(spark, raw.upper())),
+        ("no table", tables.table_exists(spark, f"{raw}_not")),
+        ("community", tables.community_loaded(spark, raw, "SRC1")),
+        ("community in lower case", tables.community_loaded(spark, raw, "src1")),
+        ("day", tables.day_loaded(spark, raw, "src1", dt.date(2024, 1, 1))),
+        ("day before all", tables.day_loaded(spark, raw, "src1", dt.date(2023, 12, 31))),
+        ("community of no table", tables.community_loaded(spark, f"{raw}_not", "SRC1")),
+    ]
+    return spark.createDataFrame(said, "asked string, is_there boolean")
+
+
+def renamed_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Some columns of the annotations as an export names them."""
+    stored = arrays_as_text(fx.annotations(spark, sf))
+    upper = shape.rename_upper(stored)
+    return upper.select("POST_ID", "PRIMARY_GROUP", "KEYWORDS", "ANNOTATED_AT")
+
+
 # --- Shaping -----------------------------------------------------------------
 
 
@@ -664,6 +688,8 @@ QUERIES: dict[str, Query] = {
     "loaded_subreddits_indexed": loaded_subreddits_indexed,
     "loaded_subreddit_days_indexed": loaded_subreddit_days_indexed,
     "loaded_subreddit_days": loaded_subreddit_days,
+    "tables_present": tables_present,
+    "renamed_columns": renamed_columns,
     "shape_archive": shape_archive,
     "shape_rejects": shape_rejects,
     "shape_top": shape_top,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from postlake.functions import lexicon, text
 from postlake.operators import clean
 
-# The patterns as plainly stated, without the start condition of the e-mail one.
+# The patterns as plainly stated, without the start condition of the e-mail one.
 PLAIN = [
     (r"(?i)https?://\S+|\bwww\.[^\s]+", "[URL]"),
     (r"(?i)[a-z0-9][a-z0-9._%+-]*@[a-z0-9][a-z0-9.-]*\.[a-z]{2,}", "[EMAIL]"),
