@@ -26,7 +26,7 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import FOLD, batch, map_batches, stored, utf8
@@ -280,19 +280,30 @@ def hexadecimal(value: Column) -> Column:
 
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The documents, one of each group of near-duplicates: the smallest id, among
-    equal ids the smallest text hash. Rows of equal id and text are one document."""
-    found = near_duplicates(docs, shingle, radius)
+    equal ids the smallest text hash. Rows of equal id and text are one document, of
+    which the row stays whose other columns, as JSON, come first."""
+    return keep_first(docs, near_duplicates(docs, shingle, radius))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The document of each ``root`` with the smallest id; found: (doc_id, text_hash, root)."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     kept = stored(
         found.groupBy("root").agg(F.min(place).alias("kept")).select("kept.doc_id", "kept.text_hash"),
         "simhash-kept",
     ).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
     names = [f"c{i}" for i in range(len(docs.columns))]
-    carried = docs.select(
-        *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)),
-        F.col("doc_id").cast("long").alias("row_id"),
-        F.xxhash64(F.col("text").cast("string")).alias("row_hash"),
-    ).dropDuplicates(["row_id", "row_hash"])
+    others = [n for c, n in zip(docs.columns, names, strict=True) if c != "text"]
+    row = Window.partitionBy("row_id", "row_hash").orderBy(F.to_json(F.struct(*others)))
+    carried = (
+        docs.select(
+            *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)),
+            F.col("doc_id").cast("long").alias("row_id"),
+            F.xxhash64(F.col("text").cast("string")).alias("row_hash"),
+        )
+        .withColumn("row_place", F.row_number().over(row))
+        .filter("row_place = 1")
+    )
     same = carried["row_id"].eqNullSafe(kept["kept_id"]) & (carried["row_hash"] == kept["kept_hash"])
     return carried.join(kept, same, "left_semi").select(
         *(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True))

@@ -8,7 +8,7 @@ import pytest
 from tests.conftest import SMALL, TINY
 from tests.llm.cases import TEXTS, documents
 from tests.llm.test_decontaminate import brute as benchmark_hits
-from tests.llm.test_simhash import brute_components
+from tests.llm.test_neardup import brute_groups
 
 
 @pytest.fixture(scope="module")
@@ -68,7 +68,9 @@ def test_stages_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in lines.collect()]
     single = p.stored(p.drop_near_duplicates(spark, lines, SMALL), "test")
     kept = {r.doc_id for r in single.select("doc_id").collect()}
-    assert kept == {c for _, _, c in brute_components(rows)}
+    first = brute_groups(rows)
+    assert kept >= set(first.values())
+    assert len(kept - set(first.values())) <= 0.05 * (len(rows) - len(set(first.values())))
     items = [tuple(r) for r in spark.read.parquet(f"{TINY}/benchmark.parquet").collect()]
     some = [r for r in rows if r[0] in kept and r[0] % 9 == 0]
     clean = p.drop_contaminated(spark, single.filter("doc_id % 9 = 0"), TINY)
