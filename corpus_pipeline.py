@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postlake.llm import decontaminate, linededup, mixing, simhash, toxicity
+from postlake.llm import decontaminate, linededup, mixing, neardup, toxicity
 from postlake.llm.common import stored
 
 
@@ -24,8 +24,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return simhash.one_per_group(docs)
+    """One document of each group that shares 0.8 of its five-word shingles."""
+    return neardup.one_per_group(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
