@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm.common import FOLD, batch, map_batches, stored, utf8
 from postlake.llm.components import components
-from postlake.llm.simhash import Index, _bit_counts, keep_first, near_pairs
+from postlake.llm.simhash import Index, keep_first, near_pairs
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -46,7 +46,7 @@ DIFFERS = float(np.arccos(2 * SIMILARITY / (1 + SIMILARITY)) / np.pi)
 APART = 180
 RADIUS = 17
 RECALL = 0.97
-PART = 4096
+PART = 1024
 # Candidates that a task holds before it cuts them down to a forest.
 HELD = 1 << 18
 # Texts fetched by a broadcast of their keys, 16 bytes each; more are joined.
@@ -72,15 +72,15 @@ def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """``WORDS`` fingerprints of a set of hashes, counted in slices of bounded size."""
-    counts = np.zeros((WORDS, 64), np.int64)
-    for at in range(0, len(hashes), 255 * 64):
-        for word, times in enumerate(MULTIPLIERS):
-            mixed = hashes[at : at + 255 * 64] * times
-            mixed ^= mixed >> np.uint64(32)
-            mixed *= times
-            mixed ^= mixed >> np.uint64(29)
-            counts[word] += _bit_counts(mixed)
-    return np.packbits(counts * 2 > len(hashes), axis=1, bitorder="little").view(np.uint64).ravel()
+    counts = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(hashes), 255):  # as many as a byte counts
+        mixed = hashes[at : at + 255, None] * MULTIPLIERS
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= MULTIPLIERS
+        mixed ^= mixed >> np.uint64(29)
+        bits = np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
