@@ -102,35 +102,55 @@ select doc_id, size, s as source_size, target,
 from cum
 """
 
-LINE_DEDUP = r"""
-with doc as (
+# Blocks of the scripts written without spaces.
+_UNSPACED = (
+    r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
+)
+
+LINE_DEDUP = rf"""
+with recursive doc as (
   select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as ls from documents
 ), line as (
   select rid, doc_id, i as line_no,
-    list_transform(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+'),
+    list_transform(regexp_extract_all(ls[i], '[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]+'),
       lambda t: if(regexp_matches(t, '[0-9]'), '<*>', t)) as w
   from doc, unnest(range(1, len(ls) + 1)) as u(i)
 ), leafed as (
   select *, len(w)::varchar || ' ' || array_to_string(w[1:3], ' ') as leaf, array_to_string(w, ' ') as line
   from line where len(w) >= 5
 ), counted as (
-  select leaf, line, any_value(w) as w, count(*) as n, min((doc_id, line_no)) as first
+  select leaf, line, any_value(w) as w, count(*) as n, min((doc_id, line_no)) as first,
+    len(any_value(w)) - ceil(0.8::double * len(any_value(w)))::bigint as apart, len(any_value(w)) - 3 as free
   from leafed group by leaf, line
-), lead as (
-  select leaf, line as lead_line, w as lead_w
-  from counted qualify row_number() over (partition by leaf order by n desc, first) = 1
-), general as (
-  select leaf, line, if(
-      len(list_filter(range(1, len(w) + 1), lambda i: w[i] = lead_w[i])) >= 0.8::double * len(w),
-      lead_line, line) as template
-  from counted join lead using (leaf)
+), ranked as (
+  select *, row_number() over (order by n desc, first, line) as place from counted
+), segment as (
+  select place, leaf, i,
+    array_to_string(w[4 + i * free // (apart + 1) : 3 + (i + 1) * free // (apart + 1)], ' ') as words
+  from ranked, unnest(range(0, apart + 1)) as u(i)
+), pair as (
+  select distinct place, min(place) over (partition by leaf, i, words) as lead from segment
+), link as (
+  select a.line as a, b.line as b
+  from pair join ranked a on a.place = pair.place join ranked b on b.place = pair.lead
+  where pair.place <> pair.lead
+    and len(list_filter(range(1, len(a.w) + 1), lambda i: a.w[i] = b.w[i])) >= 0.8::double * len(a.w)
+), both_ways as (
+  select a, b from link union select b, a from link
+), reach as (
+  select a as line, a as other from both_ways
+  union
+  select reach.line, both_ways.b from reach join both_ways on both_ways.a = reach.other
+), root as (
+  select line, min(other) as root from reach group by line
 ), place as (
-  select rid, doc_id, line_no, leaf, template from leafed join general using (leaf, line)
+  select rid, doc_id, line_no, coalesce(root, line) as template from leafed left join root using (line)
 ), recurring as (
-  select leaf, template, min(doc_id) as lo from place
-  group by leaf, template having min(doc_id) < max(doc_id)
+  select template, min(doc_id) as lo from place
+  group by template having min(doc_id) < max(doc_id)
 ), gone as (
-  select rid, list(line_no) as drop_ from place join recurring using (leaf, template)
+  select rid, list(line_no) as drop_ from place join recurring using (template)
   where doc_id <> lo group by rid
 )
 select doc_id, coalesce(len(ls), 0)::bigint as n_lines, coalesce(len(drop_), 0)::bigint as n_dropped,
