@@ -4,14 +4,19 @@ Every text on a page has a root-to-leaf path of block tags and links. For each p
 the operator adds up text length and punctuation and divides by the number of texts
 on it; the two ratios are smoothed along the page, fused with the path's share of
 link text into one score, and paths that reach a share of the page's mean score are
-content. The smallest element that holds nearly all content text, an article or main
-element if there is one on the way, is the main part; the result is all its blocks
-but those on link-heavy paths that aren't content.
+content. An article or main element with nearly all content text is the main part, or
+else the smallest element that holds all of it; the result is all its blocks, in an
+article every one, elsewhere those on link-heavy paths only where they are content.
 
 Parts that their tag, role, class or id names as menu, header, footer, sidebar,
 notice, advert, form or reader comments are left out before paths are weighed, and
-so are scripts, styles and what isn't shown. Where classes and ids leave next to
-nothing of a page without an article, they are not believed.
+so are scripts, styles and what isn't shown. A class or id names noise if one of its
+names consists of such words, with or without words that only say where or of what
+kind; ``related-work`` isn't such a name, ``related-posts`` is. Some words, such as
+``sidebar``, tell by themselves, but not in ``has-sidebar``. Where classes and ids
+leave next to nothing of a page without an article, they are not believed; a form with
+paragraphs or headings that holds most of the page's text is read like any other part.
+Formulas are text of the line they stand in.
 
 Defined results: a null or empty page, or one without content, gives an empty text; a
 tag or comment that never ends takes the rest of the page; a reference that isn't
@@ -36,11 +41,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp "
-    "rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split()
+    "rt ruby s samp small span strike strong sub sup time tt u var wbr br img "
+    "math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot mover "
+    "munder munderover mstyle mpadded mfenced menclose mtable mtr mtd".split()
 )
 DROPPED = frozenset(
     "head script style noscript template title nav footer aside form button select option optgroup "
-    "datalist textarea iframe object embed svg canvas math audio video dialog menu map".split()
+    "datalist textarea iframe object embed svg canvas audio video dialog menu map annotation annotation-xml".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset("article main".split())
@@ -70,6 +77,22 @@ NOISE_NAMES = frozenset(
     "discussion share sharing social related recommended recommendations trending skip skiplink "
     "copyright disclaimer search searchbox".split()
 )
+# Words that say where or of what kind a part is, not what it holds.
+PLACE_NAMES = frozenset(
+    "site page main global primary secondary top bottom left right inner outer user users reader "
+    "readers post posts article articles entry story stories content section sections block box "
+    "area region wrap wrapper container inline item items list links link button buttons bar panel "
+    "group row col column js wp widget the my new desktop mobile fixed sticky form forms input "
+    "message thread text title icon icons media image unit slot zone policy law body meta author date".split()
+)
+# Noise words that name nothing else, whatever stands beside them.
+SURE_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored gdpr popup modal "
+    "newsletter sidebar sidenav navbar submenu breadcrumb breadcrumbs pagination pager paginator "
+    "footer masthead topbar toolbar topnav commentlist disqus signup signin login skiplink".split()
+)
+# Words that say of a part what is beside it.
+BESIDE_NAMES = frozenset("has with no without".split())
 COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond disqus discussion".split())
 PUNCTUATION = re.compile(r"[.,;:!?…、。，；：！？·]")
 
@@ -85,6 +108,7 @@ _END = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in RAW}
 
 SPREAD = (1.0, 2.0, 1.0)
 SHARE = 0.3
+# Share of the content an article or main element must hold to be the main part.
 HOLDS = 0.85
 # Names aren't believed where they leave less than this share of a page without article.
 NAMED = 0.15
@@ -113,7 +137,23 @@ class Text:
     linked: int = 0
 
 
-def _is_noise(name: str, attributes: str, within_main: bool, by_name: bool) -> bool:
+def _names_noise(value: str, noise: frozenset[str], within_main: bool) -> bool:
+    """Whether a class or id consists of noise words, beside such that say where."""
+    for name in value.split():
+        words = {w for w in _PARTS.split(name) if w and not any(c.isdigit() for c in w)}
+        if within_main:  # an article's own header holds its title
+            words.discard("header")
+        if words & BESIDE_NAMES:
+            continue
+        found = words & noise
+        if found & SURE_NAMES or (found and words <= NOISE_NAMES | PLACE_NAMES):
+            return True
+    return False
+
+
+def _is_noise(name: str, attributes: str, within_main: bool, by_name: bool, forms: bool) -> bool:
+    if forms and name == "form":
+        return False
     if name in DROPPED or (name == "header" and not within_main):
         return True
     if not attributes or not _NAMED.search(attributes):
@@ -127,30 +167,34 @@ def _is_noise(name: str, attributes: str, within_main: bool, by_name: bool) -> b
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
         if by_name and key in ("class", "id") and name not in ("html", "body"):
-            words = set(_PARTS.split(value))
-            if within_main:  # an article's own header holds its title
-                words.discard("header")
-            if words & (COMMENT_NAMES if name in MAIN else NOISE_NAMES):
+            if _names_noise(value, COMMENT_NAMES if name in MAIN else NOISE_NAMES, within_main):
                 return True
     return False
 
 
-def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
-    """Elements, and the texts of blocks in page order, noise left out.
+def parse(
+    html: str, by_name: bool = True, forms: bool = False
+) -> tuple[list[Element], list[Text], int]:
+    """Elements, the texts of blocks in page order, noise left out, and how many
+    characters were left out in forms that hold paragraphs or headings.
 
-    ``by_name`` says whether class and id tell noise, beside tag, role and style.
+    ``by_name`` says whether class and id tell noise, beside tag, role and style;
+    ``forms``, whether forms are read too.
     """
     elements = [Element("", -1, 0, 0, False, False)]
     stack, texts = [0], []
     open_names: dict[str, int] = {}
     paths: dict[tuple[int, str], int] = {}
-    mains = 0
+    mains = formed = 0
+    telling = False
     at, n = 0, len(html)
     fresh = True
 
     def text(piece: str) -> None:
-        nonlocal fresh
+        nonlocal fresh, formed
         here = elements[stack[-1]]
+        if here.noise and open_names.get("form"):
+            formed += len(piece.strip())
         if here.noise or not piece:
             return
         block = here.block
@@ -234,20 +278,21 @@ def parse(html: str, by_name: bool = True) -> tuple[list[Element], list[Text]]:
                 stack[-1],
                 parent.block if name in INLINE else number,
                 path,
-                parent.noise or _is_noise(name, attributes, mains > 0, by_name),
+                parent.noise or _is_noise(name, attributes, mains > 0, by_name, forms),
                 parent.link or name == "a",
             )
         )
         stack.append(number)
         open_names[name] = open_names.get(name, 0) + 1
         mains += name in MAIN
+        telling = telling or bool(open_names.get("form") and (name in MAIN or name in HEADINGS or name == "p"))
         if name in RAW:
             close = _END[name].search(html, at)
             inside = html[at : close.start() if close else n]
             if name not in DROPPED:
                 text(inside)
             at = close.start() if close else n
-    return elements, texts
+    return elements, texts, formed if telling else 0
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -282,7 +327,8 @@ def _path_scores(
 
 
 def _main_part(elements: list[Element], held: dict[int, int]) -> int:
-    """The smallest element with nearly all content text; ``held`` has it by block."""
+    """An article or main element with nearly all content text, or the smallest element
+    with all of it; ``held`` has it by block."""
     within = [held.get(i, 0) for i in range(len(elements))]
     for i in range(len(elements) - 1, 0, -1):
         within[elements[i].parent] += within[i]
@@ -291,13 +337,16 @@ def _main_part(elements: list[Element], held: dict[int, int]) -> int:
         rival = best.get(elements[i].parent)
         if rival is None or within[i] > within[rival]:
             best[elements[i].parent] = i
-    here = 0
-    while elements[here].name not in MAIN and here in best:
-        child = best[here]
-        if within[child] < HOLDS * within[0] or elements[child].name in (*HEADINGS, "p"):
+    here, whole = 0, 0
+    while here in best and within[best[here]] >= HOLDS * within[0]:
+        here = best[here]
+        if elements[here].name in MAIN:
+            return here
+        if elements[here].name in (*HEADINGS, "p"):
             break
-        here = child
-    return here
+        if within[here] == within[0]:
+            whole = here
+    return whole
 
 
 def _below(elements: list[Element], roots: set[int]) -> list[bool]:
@@ -310,9 +359,20 @@ def _below(elements: list[Element], roots: set[int]) -> list[bool]:
 
 def _blocks(html: str, by_name: bool) -> tuple[list[Element], list[tuple[Text, str]]]:
     """The page's elements, and its texts with their words parted by single spaces."""
-    elements, texts = parse(html, by_name)
-    blocks = [" ".join("".join(t.pieces).split()) for t in texts]
-    return elements, [(t, b) for t, b in zip(texts, blocks, strict=True) if b]
+
+    def joined(texts: list[Text]) -> list[tuple[Text, str]]:
+        blocks = [" ".join("".join(t.pieces).split()) for t in texts]
+        return [(t, b) for t, b in zip(texts, blocks, strict=True) if b]
+
+    elements, texts, formed = parse(html, by_name)
+    kept = joined(texts)
+    size = sum(len(b) for _, b in kept)
+    if formed > size:
+        every, texts, _ = parse(html, by_name, forms=True)
+        more = joined(texts)
+        if sum(len(b) for _, b in more) > 2 * size:
+            return every, more
+    return elements, kept
 
 
 def extract(html: str | None) -> str:
@@ -346,8 +406,12 @@ def extract(html: str | None) -> str:
         part = parent
 
     inside = _below(elements, {part})
+    articles = _below(elements, {i for i, e in enumerate(elements) if e.name == "article"})
     return "\n".join(
-        b for t, b in kept if inside[t.element] and (t.path in content or links[t.path] <= 0.5)
+        b
+        for t, b in kept
+        if inside[t.element]
+        and (articles[t.element] or t.path in content or links[t.path] <= 0.5)
     )
 
 

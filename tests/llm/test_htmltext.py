@@ -47,6 +47,41 @@ CASES = {
     "attribute with a bracket, open comment": ("<p>Un<i>closed <a title='x>y'>link</a> text <!-- never", "Unclosed link text"),
     "references": ("<p>&lt;p&gt; &amp;amp; &#x41;&#66; &copy &notareference; &a &am &amp</p>", "<p> &amp; AB © ¬areference; &a &am &"),
     "long tail": ("<p>" + "word " * 200_000 + "</p>", " ".join(["word"] * 200_000)),
+    "a page within a form": (
+        "<body><form id=aspnetForm action=x><div class=menu><a href=x>Home</a></div><input type=hidden>"
+        "<div id=c><h1>Title</h1><p>The first paragraph, which is long enough.</p><p>The second, too.</p></div>"
+        "<select><option>One</option></select></form></body>",
+        "Title\nThe first paragraph, which is long enough.\nThe second, too.",
+    ),
+    "a form of fields stays out": (
+        "<body><p>Short words.</p><form><label>Your name, in full, as it is written</label><input>"
+        "<label>And your address, with all its parts, please</label></form></body>",
+        "Short words.",
+    ),
+    "a standfirst beside the body": (
+        "<body><div class=page><div class=lead><p>A standfirst, which says it all.</p></div><div class=text>"
+        + "<p>A paragraph of the body, long enough to count, and so on.</p>" * 6 + "</div></div></body>",
+        "\n".join(["A standfirst, which says it all."] + ["A paragraph of the body, long enough to count, and so on."] * 6),
+    ),
+    "a last section beside the body": (
+        "<body><div><div class=text>" + "<p>A paragraph of the body, long enough to count, and so on.</p>" * 9
+        + "</div><div class=end><p>The last section, which ends it, at last.</p></div></div></body>",
+        "\n".join(["A paragraph of the body, long enough to count, and so on."] * 9 + ["The last section, which ends it, at last."]),
+    ),
+    "classes with a noise word that name content": (
+        "<article><p>Words, words and words.</p><section class='social-history'><p>How it came about.</p></section>"
+        "<div class='related-work'><p>What others did.</p></div><div class='related-posts'><p>More</p></div>"
+        "<div class='site-footer-2'>End</div><div class='ad-300x250'>Buy</div><div class='ad-slot-mid'>Now</div></article>",
+        "Words, words and words.\nHow it came about.\nWhat others did.",
+    ),
+    "a formula in a line": (
+        "<article><p>Let <math><mi>x</mi><mo>=</mo><msup><mi>y</mi><mn>2</mn></msup></math> be given.</p></article>",
+        "Let x=y2 be given.",
+    ),
+    "a list of links in an article": (
+        "<article><p>Words, words and words, quite long.</p><ul><li><a href=1>First source</a><li><a href=2>Second</a></ul></article>",
+        "Words, words and words, quite long.\nFirst source\nSecond",
+    ),
     "none": ("<script>var a = 1;</script><nav>Home</nav>", ""),
     "deep": ("<div>" * 3000 + "<p>Deep text, far down.</p>", "Deep text, far down."),
 }
