@@ -46,7 +46,7 @@ CONTEXT = re.compile(
     r"""(?<![a-z0-9_.-])(?:[a-z0-9]*[_.-])*
     (?:password|passwd|passphrase|passcode|pass|pwd|pin|secret|token|credentials?|bearer
       |authorization|auth|(?:api|access|private|secret|signing|encryption|account|client)[_-]?key)
-    ["']?[ \t]*(?:=>|:=|[:=]|[ ]is[ ])[ \t]*(["'`]?)""",
+    ["']?[ \t]*(?:=>|:=|[:=]|[ ]is[ ])[ \t]*(?:(?:bearer|basic|token)[ \t]+)?(["'`]?)""",
     re.IGNORECASE | re.ASCII | re.VERBOSE,
 )
 _BARE = re.compile(r"""[^\s"'`,;<>()\[\]{}]+""")

@@ -71,6 +71,13 @@ def test_values_in_context():
     assert s.joined(base) == f"assign:{text.index('secret')}:{text.index('secret') + 16}"
 
 
+def test_scheme_word_before_a_value():
+    for text in ("Authorization: Bearer qT7xM2vLp9Zk3uW8", "authorization = Basic\t'qT7xM2vLp9Zk3uW8'"):
+        assert ["qT7xM2vLp9Zk3uW8"] == [text[a:b] for a, _, b in s.value_spans(text, s.base_spans(text))]
+    text = "Authorization: Bearer password1"
+    assert s.value_spans(text, s.base_spans(text)) == []
+
+
 def test_long_chains_take_linear_time():
     import time
 
