@@ -33,15 +33,16 @@ def latest_order(columns: list[str]) -> list[Column]:
     return [*order, F.asc_nulls_last("content")] if "content" in columns else order
 
 
-def latest_posts(raw: DataFrame) -> DataFrame:
+def latest_posts(raw: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The most recent scrape of each post; a missing scrape time counts as newest.
 
     The order ends in every other column, so a tie can only be between equal
     rows and a task that runs twice keeps the same row. A frame without ``content``
     picks the same rows, so queries that need no text can drop it first and neither
-    read nor shuffle it.
+    read nor shuffle it. ``keys`` may name a column made of the post id before it: rows
+    that lie by that column are not shuffled again.
     """
-    return first_by(raw, ["post_id"], latest_order(raw.columns))
+    return first_by(raw, keys or ["post_id"], latest_order(raw.columns))
 
 
 def first_seen(df: DataFrame, key: str, arrival: list[Column]) -> DataFrame:
@@ -49,11 +50,12 @@ def first_seen(df: DataFrame, key: str, arrival: list[Column]) -> DataFrame:
     return first_by(df, [key], arrival)
 
 
-def latest_annotations(annotations: DataFrame) -> DataFrame:
-    """One annotation per post, the newest one."""
-    rest = [c for c in annotations.columns if c not in ("post_id", "annotated_at")]
+def latest_annotations(annotations: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """One annotation per post, the newest one; ``keys`` as for posts."""
+    keys = keys or ["post_id"]
+    rest = [c for c in annotations.columns if c not in (*keys, "annotated_at")]
     order = [F.desc_nulls_last("annotated_at"), *[F.asc_nulls_last(c) for c in rest]]
-    return first_by(annotations, ["post_id"], order)
+    return first_by(annotations, keys, order)
 
 
 def one_per_content(posts: DataFrame) -> DataFrame:

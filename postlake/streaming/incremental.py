@@ -83,9 +83,12 @@ def bucket_of(buckets: int) -> Column:
 
 
 def _newest(state: DataFrame) -> DataFrame:
-    """The rows of the newest version of every bucket; one small row per bucket decides."""
+    """The rows of the newest version of every bucket; one small row per bucket decides.
+
+    These rows are broadcast: Spark doesn't know how few they are and would shuffle the state.
+    """
     newest = state.groupBy("bucket").agg(F.max("version").alias("version"))
-    return state.join(newest, ["bucket", "version"], "left_semi")
+    return state.join(F.broadcast(newest), ["bucket", "version"], "left_semi")
 
 
 def merge_new(
@@ -128,7 +131,7 @@ def _merging(
     target: str,
     buckets: int,
     state_type: T.StructType,
-    newest_of: Callable[[DataFrame], DataFrame],
+    newest_of: Callable[[DataFrame, list[str]], DataFrame],
     shape: Callable[[DataFrame], DataFrame],
 ) -> Callable[[DataFrame, int], None]:
     columns = state_type.fieldNames()[: -len(PLACES)]
@@ -141,9 +144,10 @@ def _merging(
         empty.write.mode("append").partitionBy("version", "bucket").parquet(target)
         state = spark.read.schema(state_type).parquet(target).filter(F.col("version") < batch_id)
         before = _newest(state.filter(F.col("bucket").isin(touched)))
-        merged = newest_of(news.unionByName(before.drop("version")))
-        spread = merged.repartition("bucket")
-        spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
+        # One shuffle, by bucket, serves the choice of the newest and the write.
+        spread = news.unionByName(before.drop("version")).repartition("bucket")
+        merged = newest_of(spread, ["bucket", "post_id"])
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
 
     return write
 

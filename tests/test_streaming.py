@@ -101,3 +101,20 @@ def test_repeated_merge_counts_once(spark, make_raw, tmp_path):
     assert same(
         incremental.merged_posts(spark, target), latest_posts(spark.read.schema(RAW_POST).parquet(landed))
     )
+
+
+def test_state_is_read_by_a_scan_and_merged_by_one_shuffle(spark, make_raw, tmp_path):
+    """However large the state: nothing that a merge or a read does depends on its statistics."""
+    landed, target = str(tmp_path / "landed"), str(tmp_path / "target")
+    make_raw(*[{"post_id": f"p{i}", "content": "x"} for i in range(20)]).write.parquet(landed)
+    incremental.merge_new(spark, landed, RAW_POST, target, str(tmp_path / "progress"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = incremental.merged_posts(spark, target)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("hashpartitioning(bucket") <= 1
+    news = make_raw(*[{"post_id": f"p{i}"} for i in range(9)]).withColumn("bucket", incremental.bucket_of(4))
+    merged = latest_posts(news.repartition("bucket"), ["bucket", "post_id"])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("hashpartitioning") == 1
+    assert same(merged.drop("bucket"), latest_posts(news.drop("bucket")))
