@@ -10,16 +10,19 @@ Templates are found without comparing all lines of a leaf. The tokens below the
 depth are cut into one segment more than the positions in which two agreeing lines may
 differ, so two such lines share a segment. Each distinct line is compared with the
 leading line of every segment it has: the most frequent one, then the one seen first,
-by id and line number. Lines linked so, directly or by others, are one template. A line
-all of whose segments are led by lines it doesn't agree with is a template by itself.
+by id and line number. Where that leaves lines of unequal templates with a segment in
+common, all of these are compared with each other, part by part, so that two lines that
+agree are always one template, and so are lines linked by others. This second step is
+quadratic in such a group of distinct lines, but not in groups that their leading line
+holds together, and it leaves a task as a spanning forest, never as all pairs.
 
 Lines are those between line feeds; tokens are runs without ASCII white space, but each
 character of a script written without spaces is a token. Lines under ``LEAST`` tokens
 say too little to be told from chance and stay.
 
 Tasks send, per line, two 64-bit hashes and four bytes per token, never its text; only
-leaves seen in two documents go on, only those with unequal lines are compared, and a
-line is compared once per segment at most. Texts meet their dropped line numbers once.
+leaves seen in two documents go on, only those with unequal lines are compared. Texts
+meet their dropped line numbers once.
 
 Defined results: a null text stays null and has no lines, an empty one has one empty
 line; rows with equal id are one document (a null id is known by its text); repeats
@@ -45,6 +48,8 @@ from postlake.llm.components import components
 DEPTH = 3
 SAME = 0.8
 LEAST = 5
+# Lines that are compared with each other, or with as many of another part, at a time.
+PART = 4096
 LINES = "key long, text_hash long, line_no int, leaf long, line long, tokens binary"
 SEGMENTS = "bucket long, n long, key long, line_no int, line long"
 LINKS = "a long, b long"
@@ -144,7 +149,9 @@ def _segmented(distinct: DataFrame, depth: int, same: float) -> DataFrame:
     )
 
 
-def _templates(seen: DataFrame, mixed: DataFrame, depth: int, same: float) -> DataFrame:
+def _templates(
+    seen: DataFrame, mixed: DataFrame, depth: int, same: float, part: int = PART
+) -> DataFrame:
     """(line, template) of the lines that share a template with other lines."""
     distinct = stored(
         seen.join(mixed, "leaf", "left_semi")
@@ -183,7 +190,90 @@ def _templates(seen: DataFrame, mixed: DataFrame, depth: int, same: float) -> Da
             yield batch(LINKS, part["a"].filter(keep), part["b"].filter(keep))
 
     links = map_batches(compared.select("a", "b", "x", "y"), step, LINKS)
-    return components(links).select(F.col("node").alias("line"), F.col("root").alias("template"))
+    found = stored(
+        components(links).select(F.col("node").alias("line"), F.col("root").alias("template")),
+        "line-templates",
+    )
+    more = stored(_unled(parts, leads, distinct, found, same, part), "line-more")
+    if more.isEmpty():
+        return found
+    every = more.union(found.select("line", "template"))
+    return components(every).select(F.col("node").alias("line"), F.col("root").alias("template"))
+
+
+def _unled(
+    parts: DataFrame, leads: DataFrame, distinct: DataFrame, found: DataFrame, same: float, part: int
+) -> DataFrame:
+    """(a, b): links between templates that the leading lines left apart."""
+    labelled = stored(
+        parts.select("bucket", "line")
+        .join(leads.select("bucket"), "bucket", "left_semi")
+        .join(found, "line", "left")
+        .select("bucket", "line", F.coalesce("template", "line").alias("label")),
+        "line-labels",
+    )
+    open_ = stored(
+        labelled.groupBy("bucket")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / part).cast("int").alias("parts"))
+        .filter("lo < hi")
+        .select("bucket", "parts"),
+        "line-open",
+    )
+    groups = stored(
+        labelled.join(open_, "bucket")
+        .join(distinct.select("line", "tokens"), "line")
+        .withColumn("part", F.pmod(F.xxhash64("line"), F.col("parts")).cast("int"))
+        .groupBy("bucket", "parts", "part")
+        .agg(F.collect_list(F.struct("line", "label", "tokens")).alias("rows")),
+        "line-groups",
+    )
+    names = ["bucket", "part", "to_part", "rows", "to_rows"]
+    none = F.lit(None).cast(groups.schema["rows"].dataType)
+    alone = groups.withColumns({"to_part": F.col("part"), "to_rows": none}).select(names)
+    asked = groups.filter("part < parts - 1").withColumn(
+        "to_part", F.explode(F.expr("sequence(part + 1, parts - 1)"))
+    )
+    other = groups.select("bucket", F.col("part").alias("to_part"), F.col("rows").alias("to_rows"))
+    crossed = asked.join(other, ["bucket", "to_part"]).select(names)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for a, b in zip(rows["rows"], rows["to_rows"], strict=True):
+                line, label, tokens = a.values.flatten()
+                cut = None
+                if b.is_valid:
+                    cut = len(line)
+                    line, label, tokens = (
+                        pa.concat_arrays(x) for x in zip((line, label, tokens), b.values.flatten(), strict=True)
+                    )
+                u, v = agreeing(tokens.to_pylist(), label.to_numpy(), cut, same)
+                yield batch(LINKS, line.take(pa.array(u, pa.int64())), line.take(pa.array(v, pa.int64())))
+
+    return map_batches(alone.unionByName(crossed), step, LINKS).distinct()
+
+
+def agreeing(
+    tokens: list[bytes], label: np.ndarray, cut: int | None, same: float = SAME
+) -> tuple[list[int], list[int]]:
+    """Places of lines that agree, enough of them to link all labels that agreeing lines link.
+
+    Every line is compared with all later ones of another label; with a ``cut``, only
+    lines before it with those from it on.
+    """
+    label = np.unique(label, return_inverse=True)[1]
+    words = np.frombuffer(b"".join(tokens), "<u4").reshape(len(tokens), -1)
+    least = same * words.shape[1]
+    u, v = [], []
+    for i in range(len(words) if cut is None else cut):
+        start = i + 1 if cut is None else cut
+        others = start + np.flatnonzero(label[start:] != label[i])
+        near = others[np.count_nonzero(words[others] == words[i], axis=1) >= least]
+        if len(near):
+            labels, first = np.unique(label[near], return_index=True)
+            u += [i] * len(first)
+            v += near[first].tolist()
+            label[np.isin(label, labels)] = label[i]
+    return u, v
 
 
 def dropped(

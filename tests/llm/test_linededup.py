@@ -49,6 +49,38 @@ def test_several_templates_of_a_leaf(spark):
     assert set(got.values()) == {""}
 
 
+def test_lines_led_by_others_still_meet(spark):
+    """All segments that two agreeing lines share are led by a line neither agrees with."""
+    first = "aa bb cc d e f g h i j"
+    second = "aa bb cc D e F g h i j"
+    leader = "aa bb cc k l m n h i j"
+    rows = [(1, first), (2, second)] + [(10 + i, leader) for i in range(4)]
+    got = texts(spark, rows)
+    assert got == {1: first, 2: "", 10: leader, 11: "", 12: "", 13: ""}
+
+
+def test_all_agreeing_lines_are_linked_across_parts(spark):
+    """Small parts give the same templates as all pairs of lines do."""
+    rng = random.Random(19)
+    words = [["m" * k, "n" * k, "o" * k] for k in range(1, 8)]
+    lines = {" ".join(["a", "b", "c", *map(rng.choice, words)]) for _ in range(40)}
+    rows = list(enumerate(sorted(lines)))
+    seen = d.lines(plain(spark, rows))
+    leaves = seen.select("leaf").distinct()
+    name = {r.line: r.key for r in seen.select("line", "key").collect()}
+    label = {i: i for i, _ in rows}
+    for i, a in rows:
+        for j, b in rows:
+            if i < j and sum(x == y for x, y in zip(a.split(), b.split())) >= 8:
+                old, new = label[j], label[i]
+                label = {k: new if v == old else v for k, v in label.items()}
+    assert 1 < len(set(label.values())) < len(rows)
+    for part in (3, d.PART):
+        of = {key: line for line, key in name.items()}
+        of |= {name[r.line]: r.template for r in d._templates(seen, leaves, d.DEPTH, d.SAME, part).collect()}
+        assert all((of[i] == of[j]) == (label[i] == label[j]) for i, _ in rows for j, _ in rows)
+
+
 def test_scripts_without_spaces(spark):
     line = "".join(chr(0x4E00 + 7 * i) for i in range(185))
     changed = line[:90] + "\u3042" + line[91:]
