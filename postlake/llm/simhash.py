@@ -288,23 +288,28 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS)
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The document of each ``root`` with the smallest id; found: (doc_id, text_hash, root)."""
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    # Three columns that are never null choose the row and meet the kept ones: one shuffle of texts.
+    key = ["row_id", "unnamed", "row_hash"]
     kept = stored(
-        found.groupBy("root").agg(F.min(place).alias("kept")).select("kept.doc_id", "kept.text_hash"),
+        found.groupBy("root")
+        .agg(F.min(place).alias("kept"))
+        .select(F.coalesce("kept.doc_id", F.lit(0)).alias("row_id"), "kept.unnamed", F.col("kept.text_hash").alias("row_hash")),
         "simhash-kept",
-    ).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    )
     names = [f"c{i}" for i in range(len(docs.columns))]
     others = [n for c, n in zip(docs.columns, names, strict=True) if c != "text"]
-    row = Window.partitionBy("row_id", "row_hash").orderBy(F.to_json(F.struct(*others)))
+    row = Window.partitionBy(*key).orderBy(F.to_json(F.struct(*others)))
+    doc_id = F.col("doc_id").cast("long")
     carried = (
         docs.select(
             *(F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)),
-            F.col("doc_id").cast("long").alias("row_id"),
+            F.coalesce(doc_id, F.lit(0)).alias("row_id"),
+            doc_id.isNull().alias("unnamed"),
             F.xxhash64(F.col("text").cast("string")).alias("row_hash"),
         )
         .withColumn("row_place", F.row_number().over(row))
         .filter("row_place = 1")
     )
-    same = carried["row_id"].eqNullSafe(kept["kept_id"]) & (carried["row_hash"] == kept["kept_hash"])
-    return carried.join(kept, same, "left_semi").select(
+    return carried.join(kept, key, "left_semi").select(
         *(F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True))
     )

@@ -148,3 +148,29 @@ def test_hard_rows(spark):
 def test_row_that_stays_of_equal_ids_and_texts(spark):
     rows = [(1, "a b c", "en", s) for s in ("s3", "s1", "s2")]
     assert [r.source for r in n.one_per_group(documents(spark, rows)).collect()] == ["s1"]
+
+
+def test_blocks_are_shuffled_once(spark):
+    """Where no block is over-full, sketches are searched where they meet, without another exchange."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(30)]
+    distinct = n.sketches(plain(spark, rows)).select("key", "sketch")
+    plan = n.candidates(distinct)._jdf.queryExecution().toString().split("== Optimized Logical Plan ==")[1]
+    logical = plan.split("== Physical Plan ==")[0]
+    assert "Repartition" not in logical and "Union" not in logical
+
+
+def test_texts_are_shuffled_once(spark):
+    """The choice of a row and its meeting with the kept ones use the same keys."""
+    from postlake.llm.simhash import keep_first
+
+    rows = plain(spark, [(1, "a b c"), (None, "a b c"), (None, None), (0, None), (2, "d e f"), (1, "a b c")])
+    found = n.near_duplicates(rows).select("doc_id", "text_hash", "root")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = keep_first(rows, found)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, (r.doc_id for r in kept.collect())))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == ["0", "1", "2"]
+    assert plan.count("Exchange hashpartitioning(row_id") == 2  # the texts and the kept keys
