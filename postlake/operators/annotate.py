@@ -8,7 +8,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,9 @@ from postlake.schemas import (
 Reply = tuple[str, int | None, int | None]
 Annotator = Callable[[list[str]], list[Reply]]
 
+# Replies that a task sends back together.
+HELD_ROWS = 256
+
 REPLY = T.StructType(
     [
         T.StructField("post_id", T.StringType()),
@@ -109,27 +112,42 @@ def annotate(
             return [(None, None, None, "failed", why)]
         return [row for one in texts for row in ask([one])]
 
-    def answered(ids: list, replies: list[tuple]) -> pd.DataFrame:
-        rows = [(post_id, *row) for post_id, row in zip(ids, replies)]
-        reply = pd.DataFrame(rows, columns=names)
-        return reply.astype({"input_tokens": "Int32", "output_tokens": "Int32"})
+    def answered(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)], names
+        )
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         under_way: deque = deque()
+        rows: list[tuple] = []
+
+        def take() -> None:
+            ids, replies = under_way.popleft()
+            rows.extend((post_id, *row) for post_id, row in zip(ids, replies.result(), strict=True))
+
         with ThreadPoolExecutor(in_flight) as pool:
             for frame in frames:
-                for at in range(0, len(frame), batch):
-                    part = frame.iloc[at : at + batch]
+                ids, texts = frame["post_id"].to_pylist(), frame["prompt"].to_pylist()
+                for at in range(0, len(ids), batch):
                     if len(under_way) == in_flight:
-                        ids, replies = under_way.popleft()
-                        yield answered(ids, replies.result())
-                    asked = pool.submit(ask, part["prompt"].tolist())
-                    under_way.append((part["post_id"].tolist(), asked))
-            for ids, replies in under_way:
-                yield answered(ids, replies.result())
-
-    names = REPLY.fieldNames()
-    return prompts.select("post_id", "prompt").mapInPandas(run, REPLY)
+                        take()
+                    asked = pool.submit(ask, texts[at : at + batch])
+                    under_way.append((ids[at : at + batch], asked))
+                    if len(rows) >= held:
+                        yield answered(rows)
+                        rows.clear()
+            while under_way:
+                take()
+            if rows:
+                yield answered(rows)
+
+    # Replies leave a worker in Arrow batches of several requests: one for each costs more
+    # than the rows do.
+    held, names = HELD_ROWS, REPLY.fieldNames()
+    text_, count = pa.string(), pa.int32()
+    kinds = [text_, text_, count, count, text_, text_]
+    return prompts.select("post_id", "prompt").mapInArrow(run, REPLY)
 
 
 def parse_responses(replies: DataFrame) -> DataFrame:

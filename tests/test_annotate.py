@@ -133,6 +133,20 @@ def test_limited_prompts_are_asked_from_several_tasks(spark):
     assert replies.select("response").distinct().count() >= 3
 
 
+def test_replies_of_many_requests_leave_a_task_together(spark):
+    """Small requests of several threads: replies in order, in few Arrow batches."""
+    prompts = spark.range(700).selectExpr("concat('p', id) as post_id", "cast(id as string) as prompt")
+
+    def answer(texts):
+        return [(f"r{text}", int(text), None) for text in texts]
+
+    replies = annotate.annotate(prompts, answer, 1, batch=2, in_flight=3)
+    rows = {r.post_id: r for r in replies.collect()}
+    assert len(rows) == 700
+    assert all(r.response == f"r{k[1:]}" and r.input_tokens == int(k[1:]) and r.output_tokens is None for k, r in rows.items())
+    assert "MapInArrow" in replies._jdf.queryExecution().toString()
+
+
 def test_no_prompts(spark, fail_on_odd):
     prompts = spark.range(0).selectExpr("cast(id as string) as post_id", "'x' as prompt")
     assert annotate.annotate(prompts, fail_on_odd, partitions=2).count() == 0
