@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from postlake.plans import models
 from postlake.schemas import RAW_POST
-from postlake.streaming.incremental import NOTE, PLACES, bucket_of
+from postlake.streaming.incremental import CODEC, NOTE, PLACES, bucket_of
 
 LEDGER = T.StructType(
     [
@@ -93,7 +93,8 @@ def carry(
     run = 1 + max((number for _, number, _ in made), default=0)
     model = build({name: state.current(spark, changed) for name, state in inputs.items()})
     model = model.select(target.schema.fieldNames()).withColumn("bucket", bucket_of(buckets))
-    model.write.mode("overwrite").partitionBy("bucket").parquet(f"{target.path}/data/version={run}")
+    writer = model.write.mode("overwrite").partitionBy("bucket")
+    writer.parquet(f"{target.path}/data/version={run}", compression=CODEC)
     rows = [(bucket, run, now[bucket]) for bucket in changed]
     spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(f"{target.path}/ledger")
     return changed

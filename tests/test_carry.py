@@ -144,3 +144,16 @@ def test_silver_is_not_shuffled(spark, chain, make_raw):
     plan = models.silver(models.bronze_of_latest(state.current(spark, [1, 2])))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(post_id" not in text and "Window" not in text
+
+
+def test_rewritten_buckets_are_dense(spark, chain, make_raw, make_annotations):
+    """What every landing may write again, states and models, is stored with zstd."""
+    import pyarrow.parquet as pq
+
+    chain.land(make_raw({"post_id": "a", "content": "x"}), make_annotations({"post_id": "a", "sentiment": "neutral"}))
+    chain.run()
+    for name in ("state", "note_state", "silver/data", "gold/data"):
+        files = list((chain.root / name).glob("version=*/bucket=*/*.parquet"))
+        assert files
+        for file in files:
+            assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
