@@ -6,15 +6,19 @@ depth a leaf has a list of templates: lines that agree in at least ``SAME`` of t
 positions belong to one, their other positions being variable fields too. A template
 that occurs in more than one document is dropped from all of them but the first, by id.
 
-Templates are found without comparing all lines of a leaf. The tokens below the fixed
-depth are cut into one segment more than the positions in which two agreeing lines may
-differ, so two such lines share a segment. Each distinct line is compared with the
-leading line of every segment it has: the most frequent one, then the one seen first,
-by id and line number. Where that leaves lines of unequal templates with a segment in
-common, all of these are compared with each other, part by part, so that two lines that
-agree are always one template, and so are lines linked by others. This second step is
-quadratic in such a group of distinct lines, but not in groups that their leading line
-holds together, and it leaves a task as a spanning forest, never as all pairs.
+Two lines that agree are always one template, and so are lines linked by others. The
+distinct lines of a leaf meet in one task, which compares a line with those that nothing
+has linked to it so far, if they are at most ``PART`` lines of ``PART_BYTES``.
+
+Larger leaves, however large, are done without comparing all their lines. The tokens
+below the fixed depth are cut into one segment more than the positions in which two
+agreeing lines may differ, so two such lines share a segment. Each distinct line is
+compared with the leading line of every segment it has: the most frequent one, then the
+one seen first, by id and line number. Where that leaves lines of unequal templates with
+a segment in common, all of these are compared with each other, in cells of two parts
+that hold as much as a small leaf. This last step is quadratic in such a group of distinct
+lines, but not in groups that their leading line holds together. A task sends one link per
+line or template, never all pairs.
 
 Lines are those between line feeds; tokens are runs without ASCII white space, but each
 character of a script written without spaces is a token. Lines under ``LEAST`` tokens
@@ -48,8 +52,9 @@ from postlake.llm.components import components
 DEPTH = 3
 SAME = 0.8
 LEAST = 5
-# Lines that are compared with each other, or with as many of another part, at a time.
+# Lines that are compared with each other at a time, and bytes of their tokens' hashes.
 PART = 4096
+PART_BYTES = 1 << 20
 LINES = "key long, text_hash long, line_no int, leaf long, line long, tokens binary"
 SEGMENTS = "bucket long, n long, key long, line_no int, line long"
 LINKS = "a long, b long"
@@ -163,14 +168,81 @@ def _templates(
         ),
         "line-distinct",
     )
+    large = stored(
+        distinct.groupBy("leaf")
+        .agg(F.count("*").alias("lines"), F.max(F.length("tokens")).alias("width"))
+        .filter(_share("lines", "width", part) > 1)
+        .select("leaf"),
+        "line-large",
+    )
+    small = (
+        distinct.join(large, "leaf", "left_anti")
+        .groupBy("leaf")
+        .agg(F.collect_list(F.struct(F.col("line").alias("label"), "tokens")).alias("rows"))
+    )
+    found = stored(_linked(small, same).toDF("line", "template"), "line-templates")
+    if large.isEmpty():
+        return found
+    return found.union(_large(distinct.join(large, "leaf", "left_semi"), depth, same, part))
+
+
+def _share(lines: str, width: str, part: int) -> Column:
+    """How much a group is of what may be compared at a time."""
+    return F.greatest(F.col(lines) / part, F.col(lines) * F.col(width) / PART_BYTES)
+
+
+def _linked(groups: DataFrame, same: float) -> DataFrame:
+    """(a, b): each label that lines of a group link to another one, and the group's name for it."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            a, b = [], []
+            for rows in part["rows"]:
+                label, tokens = rows.values.flatten()
+                label = label.to_numpy()
+                words = np.frombuffer(b"".join(tokens.to_pylist()), "<u4").reshape(len(label), -1)
+                found = label[linked(words, label, same)]
+                moved = found != label
+                a.append(label[moved])
+                b.append(found[moved])
+            if a:
+                yield batch(LINKS, pa.array(np.concatenate(a)), pa.array(np.concatenate(b)))
+
+    return map_batches(groups.select("rows"), step, LINKS)
+
+
+def linked(words: np.ndarray, label: np.ndarray, same: float = SAME) -> np.ndarray:
+    """Per line, the place of the first line that equal labels and agreeing lines link it to.
+
+    A line is compared only with lines that nothing has linked to it so far.
+    """
+    least = same * words.shape[1]
+    root, left = np.arange(len(words)), np.arange(len(words))
+    while len(left):
+        first, left = left[0], left[1:]
+        todo = [first]
+        while todo and len(left):
+            i = todo.pop()
+            near = np.count_nonzero(words[left] == words[i], axis=1) >= least
+            near |= label[left] == label[i]
+            root[left[near]] = first
+            todo += left[near].tolist()
+            left = left[~near]
+    return root
+
+
+def _large(distinct: DataFrame, depth: int, same: float, part: int) -> DataFrame:
+    """(line, template) in leaves of more lines than one task compares."""
+    distinct = stored(distinct, "line-distinct")
     parts = stored(_segmented(distinct, depth, same), "line-segments")
     # ~x falls as x rises, without overflow.
     rank = F.struct("n", F.bitwise_not("key"), F.bitwise_not("line_no"), "line")
-    leads = (
+    leads = stored(
         parts.groupBy("bucket")
         .agg(F.max(rank).alias("lead"), F.count("*").alias("lines"))
         .filter("lines > 1")
-        .select("bucket", F.col("lead.line").alias("b"))
+        .select("bucket", F.col("lead.line").alias("b"), "lines"),
+        "line-leads",
     )
     pairs = stored(
         parts.join(leads, "bucket").select(F.col("line").alias("a"), "b").filter("a <> b").distinct(),
@@ -192,7 +264,7 @@ def _templates(
     links = map_batches(compared.select("a", "b", "x", "y"), step, LINKS)
     found = stored(
         components(links).select(F.col("node").alias("line"), F.col("root").alias("template")),
-        "line-templates",
+        "line-led",
     )
     more = stored(_unled(parts, leads, distinct, found, same, part), "line-more")
     if more.isEmpty():
@@ -207,73 +279,29 @@ def _unled(
     """(a, b): links between templates that the leading lines left apart."""
     labelled = stored(
         parts.select("bucket", "line")
-        .join(leads.select("bucket"), "bucket", "left_semi")
+        .join(leads.select("bucket", "lines"), "bucket")
         .join(found, "line", "left")
-        .select("bucket", "line", F.coalesce("template", "line").alias("label")),
+        .select("bucket", "lines", "line", F.coalesce("template", "line").alias("label")),
         "line-labels",
     )
-    open_ = stored(
+    open_ = (
         labelled.groupBy("bucket")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") / part).cast("int").alias("parts"))
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
         .filter("lo < hi")
-        .select("bucket", "parts"),
-        "line-open",
+        .select("bucket")
     )
-    groups = stored(
-        labelled.join(open_, "bucket")
-        .join(distinct.select("line", "tokens"), "line")
+    # Any two parts of a bucket meet in a cell, so any two of its lines do.
+    cells = (
+        labelled.join(open_, "bucket", "left_semi")
+        .join(distinct.select("line", "tokens", F.length("tokens").alias("width")), "line")
+        .withColumn("parts", F.ceil(2 * _share("lines", "width", part)).cast("int"))
         .withColumn("part", F.pmod(F.xxhash64("line"), F.col("parts")).cast("int"))
-        .groupBy("bucket", "parts", "part")
-        .agg(F.collect_list(F.struct("line", "label", "tokens")).alias("rows")),
-        "line-groups",
+        .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+        .filter("other <> part or parts = 1")
+        .groupBy("bucket", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+        .agg(F.collect_list(F.struct("label", "tokens")).alias("rows"))
     )
-    names = ["bucket", "part", "to_part", "rows", "to_rows"]
-    none = F.lit(None).cast(groups.schema["rows"].dataType)
-    alone = groups.withColumns({"to_part": F.col("part"), "to_rows": none}).select(names)
-    asked = groups.filter("part < parts - 1").withColumn(
-        "to_part", F.explode(F.expr("sequence(part + 1, parts - 1)"))
-    )
-    other = groups.select("bucket", F.col("part").alias("to_part"), F.col("rows").alias("to_rows"))
-    crossed = asked.join(other, ["bucket", "to_part"]).select(names)
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            for a, b in zip(rows["rows"], rows["to_rows"], strict=True):
-                line, label, tokens = a.values.flatten()
-                cut = None
-                if b.is_valid:
-                    cut = len(line)
-                    line, label, tokens = (
-                        pa.concat_arrays(x) for x in zip((line, label, tokens), b.values.flatten(), strict=True)
-                    )
-                u, v = agreeing(tokens.to_pylist(), label.to_numpy(), cut, same)
-                yield batch(LINKS, line.take(pa.array(u, pa.int64())), line.take(pa.array(v, pa.int64())))
-
-    return map_batches(alone.unionByName(crossed), step, LINKS).distinct()
-
-
-def agreeing(
-    tokens: list[bytes], label: np.ndarray, cut: int | None, same: float = SAME
-) -> tuple[list[int], list[int]]:
-    """Places of lines that agree, enough of them to link all labels that agreeing lines link.
-
-    Every line is compared with all later ones of another label; with a ``cut``, only
-    lines before it with those from it on.
-    """
-    label = np.unique(label, return_inverse=True)[1]
-    words = np.frombuffer(b"".join(tokens), "<u4").reshape(len(tokens), -1)
-    least = same * words.shape[1]
-    u, v = [], []
-    for i in range(len(words) if cut is None else cut):
-        start = i + 1 if cut is None else cut
-        others = start + np.flatnonzero(label[start:] != label[i])
-        near = others[np.count_nonzero(words[others] == words[i], axis=1) >= least]
-        if len(near):
-            labels, first = np.unique(label[near], return_index=True)
-            u += [i] * len(first)
-            v += near[first].tolist()
-            label[np.isin(label, labels)] = label[i]
-    return u, v
+    return _linked(cells, same).distinct()
 
 
 def dropped(

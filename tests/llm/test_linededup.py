@@ -3,6 +3,9 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from postlake.llm import linededup as d
 
 from tests.llm.cases import TEXTS, documents, empty, plain, rows_of
@@ -81,6 +84,65 @@ def test_all_agreeing_lines_are_linked_across_parts(spark):
         assert all((of[i] == of[j]) == (label[i] == label[j]) for i, _ in rows for j, _ in rows)
 
 
+def chained(rng, words, n):
+    """Lines of one leaf in chains, each step two words from the one before, in any order."""
+    out = set()
+    while len(out) < n:
+        line = ["a", "b", "c", *rng.choices(words, k=12)]
+        for _ in range(rng.randrange(1, 8)):
+            line[rng.randrange(3, 15)] = rng.choice(words)
+            line[rng.randrange(3, 15)] = rng.choice(words)
+            out.add(" ".join(line))
+    return rng.sample(sorted(out), n)
+
+
+def test_linked_is_all_that_labels_and_agreeing_lines_link():
+    rng = np.random.default_rng(7)
+    for same in (0.5, 0.8, 1.0):
+        words = rng.integers(0, 3, (60, 6)).astype("<u4")
+        label = rng.integers(0, 45, 60)
+        near = (words[:, None] == words).sum(2) >= same * 6
+        near |= label[:, None] == label
+        for _ in range(6):
+            near = near.astype(int) @ near > 0
+        assert d.linked(words, label, same).tolist() == near.argmax(1).tolist()
+    assert d.linked(words[:0], label[:0]).tolist() == []
+
+
+def test_leaves_that_a_task_holds_take_few_jobs(spark):
+    """Chains of lines inside a leaf don't start rounds of jobs."""
+    rng = random.Random(3)
+    rows = list(enumerate(chained(rng, [chr(97 + i) * 4 for i in range(9)], 150)))
+    context = spark.sparkContext
+    before = len(context.statusTracker().getJobIdsForGroup("few"))
+    context.setJobGroup("few", "")
+    try:
+        drops = d.dropped(plain(spark, rows)).count()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < drops < 150
+    assert len(context.statusTracker().getJobIdsForGroup("few")) - before <= 30
+
+
+def test_groups_are_bounded_by_bytes(spark, monkeypatch):
+    """Wide lines of a large leaf meet in groups of bounded size, with the same templates."""
+    rng = random.Random(5)
+    rows = list(enumerate(chained(rng, [chr(97 + i) * 4 for i in range(9)], 200)))
+    whole = texts(spark, rows)
+    sizes, linked = [], d._linked
+
+    def measured(groups, same):
+        size = "aggregate(rows, 0, (n, x) -> n + length(x.tokens))"
+        sizes.extend(r[0] for r in groups.select(F.expr(size)).collect())
+        return linked(groups, same)
+
+    monkeypatch.setattr(d, "_linked", measured)
+    monkeypatch.setattr(d, "PART_BYTES", 30 * 60)
+    assert texts(spark, rows) == whole
+    # Parts are dealt by hash, so they are a little uneven.
+    assert sizes and max(sizes) <= 2 * 30 * 60
+
+
 def test_scripts_without_spaces(spark):
     line = "".join(chr(0x4E00 + 7 * i) for i in range(185))
     changed = line[:90] + "\u3042" + line[91:]
