@@ -36,7 +36,9 @@ TELLING = 20.0
 FEATURES = 1 << 13
 PENALTY, STEPS = 2e-4, 300
 COUNTS = "bucket int, toxic long, clean long"
-ROWS = "toxic int, buckets array<int>"
+# Features of whole rows that a step of the fit unfolds at a time.
+ENTRIES = 1 << 18
+ROWS = "toxic int, features binary"
 
 
 def presence(texts: list[str | None], wanted: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -117,17 +119,26 @@ def telling_features(rows: DataFrame, toxic: int, clean: int, most: int = FEATUR
 
 
 def fit_linear(indptr: np.ndarray, indices: np.ndarray, ratio: np.ndarray, label: np.ndarray):
-    """Weights and intercept of a penalised logistic regression, by Adam on all rows."""
+    """Weights and intercept of a penalised logistic regression, by Adam on all rows.
+
+    What a step needs per feature of a row exists for some rows at a time.
+    """
     n, width = len(label), len(ratio)
-    rows = np.repeat(np.arange(n), np.diff(indptr))
-    values = ratio[indices]
+    cuts = np.searchsorted(indptr, np.arange(ENTRIES, indptr[-1], ENTRIES))
+    cuts = np.unique(np.concatenate([[0], cuts, [n]]))
     weight, bias = np.zeros(width), float(np.log((label.sum() + 1) / (n - label.sum() + 1)))
     mean, square = np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(rows, values * weight[indices], n) + bias
-        error = 1 / (1 + np.exp(-margin)) - label
-        slope = np.bincount(indices, values * error[rows], width) / n + PENALTY * weight
-        slope = np.append(slope, error.mean())
+        error, slope = np.zeros(n), np.zeros(width)
+        for lo, hi in zip(cuts, cuts[1:]):
+            at = indices[indptr[lo] : indptr[hi]].astype(np.intp)
+            rows = np.repeat(np.arange(hi - lo), np.diff(indptr[lo : hi + 1]))
+            values = ratio[at]
+            margin = np.bincount(rows, values * weight[at], hi - lo) + bias
+            error[lo:hi] = 1 / (1 + np.exp(-margin)) - label[lo:hi]
+            # In the order of the rows, so that the sums don't depend on the cuts.
+            np.add.at(slope, at, values * error[lo:hi][rows])
+        slope = np.append(slope / n + PENALTY * weight, error.mean())
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope * slope
         move = 0.05 * mean / (1 - 0.9**step) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
@@ -156,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
     n = dict(rows.groupBy("toxic").count().collect())
     toxic = sum(c for label, c in n.items() if label > 0)
     clean = sum(n.values()) - toxic
-    weights, none = np.zeros(1 << BITS, np.float32), np.zeros(0, np.int64)
+    weights = np.zeros(1 << BITS, np.float32)
     if not toxic or not clean:
         bias = {(True, False): 500.0}.get((bool(toxic), bool(clean)), -500.0)
         return Model(weights, bias)
@@ -169,17 +180,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, most: int = SAMPLE
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            found: list[list[int]] = [[] for _ in range(part.num_rows)]
+            found = [b""] * part.num_rows
             for owner, bucket in presence(part["text"].to_pylist(), wanted):
-                for text, own in zip(owner.tolist(), bucket.tolist(), strict=True):
-                    found[text].append(own)
+                at = np.searchsorted(buckets, bucket).astype("<u4")
+                own, first = np.unique(owner, return_index=True)
+                for text, features in zip(own.tolist(), np.split(at, first[1:]), strict=False):
+                    found[text] = features.tobytes()
             yield batch(ROWS, part["toxic"], found)
 
-    # At most `most` rows; the lists hold kept features only.
+    # At most `most` rows; the features are kept ones only, four bytes each.
     fitted = map_batches(rows, step, ROWS).toPandas().sort_values("toxic", kind="stable")
-    lists = [np.asarray(x, np.int64) for x in fitted["buckets"]]
-    indptr = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-    indices = np.searchsorted(buckets, np.concatenate([none, *lists]))
+    indptr = np.concatenate([[0], np.cumsum([len(x) // 4 for x in fitted["features"]])])
+    indices = np.frombuffer(b"".join(fitted["features"]), "<u4")
     label = (fitted["toxic"].to_numpy() > 0).astype(float)
     fitted_weights, bias = fit_linear(indptr, indices, ratio, label)
     weights[buckets] = fitted_weights * ratio

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from postlake.llm import toxicity as t
@@ -60,3 +62,28 @@ def test_sample_is_bounded(spark):
     labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
     n = t.training_rows(docs, labels, F.lit(True), most=500).count()
     assert 400 < n < 600
+
+
+def test_fit_unfolds_some_rows_at_a_time(monkeypatch):
+    """The same weights whatever the cuts; memory that doesn't grow with all features."""
+    rng = np.random.default_rng(2)
+    width = rng.integers(0, 40, 300)
+    indptr = np.concatenate([[0], np.cumsum(width)])
+    indices = rng.integers(0, 90, indptr[-1]).astype("<u4")
+    ratio, label = rng.normal(size=90), (rng.random(300) < 0.3).astype(float)
+    weight, bias = t.fit_linear(indptr, indices, ratio, label)
+    for entries in (1, 57, 5000):
+        monkeypatch.setattr(t, "ENTRIES", entries)
+        again = t.fit_linear(indptr, indices, ratio, label)
+        assert again[1] == bias and (again[0] == weight).all()
+    monkeypatch.undo()
+    monkeypatch.setattr(t, "STEPS", 2)
+    indptr = np.arange(20_001) * 100
+    indices = rng.integers(0, 90, indptr[-1]).astype("<u4")
+    label = np.arange(20_000) % 2.0
+    tracemalloc.start()
+    try:
+        t.fit_linear(indptr, indices, ratio, label)
+        assert tracemalloc.get_traced_memory()[1] < 30e6
+    finally:
+        tracemalloc.stop()
