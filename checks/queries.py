@@ -23,6 +23,7 @@ from postlake.schemas import ANNOTATION, RAW_POST
 from postlake.session import configure, scratch_path
 from postlake.sources import files, presence, tables
 from postlake.streaming import carry, incremental
+from postlake.streaming.state import CODEC
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -629,7 +630,8 @@ def _land_in_turns(spark: SparkSession, sf: str, landed: str, take_in: Callable[
         ),
     )
     for number in range(3):
-        posts.filter(F.col("landing") == number).drop("landing").write.mode("append").parquet(landed)
+        landing = posts.filter(F.col("landing") == number).drop("landing")
+        landing.write.mode("append").parquet(landed, compression=CODEC)
         take_in()
 
 
@@ -659,7 +661,7 @@ def incremental_gold(spark: SparkSession, sf: str) -> DataFrame:
     turns = [stored.filter(F.lit(False)), stored.filter("urgency_0_3 < 2"), stored.filter("urgency_0_3 >= 2")]
 
     def take_in() -> None:
-        turns.pop(0).write.mode("append").parquet(notes_landed)
+        turns.pop(0).write.mode("append").parquet(notes_landed, compression=CODEC)
         incremental.merge_new(spark, landed, RAW_POST, state, progress, 16)
         incremental.merge_annotations(spark, notes_landed, notes, notes_progress, 16)
         carry.carry_silver(spark, state, silver_path, 16)

@@ -50,12 +50,16 @@ def first_seen(df: DataFrame, key: str, arrival: list[Column]) -> DataFrame:
     return first_by(df, [key], arrival)
 
 
+def latest_annotations_order(columns: list[str], keys: list[str]) -> list[Column]:
+    """Newest first, then every other column."""
+    rest = [c for c in columns if c not in (*keys, "annotated_at")]
+    return [F.desc_nulls_last("annotated_at"), *[F.asc_nulls_last(c) for c in rest]]
+
+
 def latest_annotations(annotations: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One annotation per post, the newest one; ``keys`` as for posts."""
     keys = keys or ["post_id"]
-    rest = [c for c in annotations.columns if c not in (*keys, "annotated_at")]
-    order = [F.desc_nulls_last("annotated_at"), *[F.asc_nulls_last(c) for c in rest]]
-    return first_by(annotations, keys, order)
+    return first_by(annotations, keys, latest_annotations_order(annotations.columns, keys))
 
 
 def one_per_content(posts: DataFrame) -> DataFrame:

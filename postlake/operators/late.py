@@ -80,23 +80,46 @@ def _blocks(maps: DataFrame) -> list[list[str]]:
     return blocks
 
 
-def at_places(scan: DataFrame, maps: DataFrame) -> DataFrame:
-    """The rows of the scan whose bit is set, with all columns."""
+def _parted(placed: DataFrame, maps: DataFrame, inside: bool) -> DataFrame:
+    """Rows with their place, ``_file`` and ``_row``: those whose bit is set, or the others."""
 
     def block(files: list[str]) -> DataFrame:
-        own = scan.filter(F.col(FILE).isin(files)).select(
+        own = placed.filter(F.col("_file").isin(files)).select(
             "*",
-            F.col(FILE).alias("_file"),
-            (F.expr(f"{ROW} div {BITS}") + 1).alias("_part"),
-            F.expr(f"cast({ROW} % {BITS} as int)").alias("_at"),
+            (F.expr(f"_row div {BITS}") + 1).alias("_part"),
+            F.expr(f"cast(_row % {BITS} as int)").alias("_at"),
         )
         few = F.broadcast(maps.filter(F.col("_file").isin(files)).select("_file", "_part", "_bits"))
         byte = "cast(conv(hex(substring(_bits, _at div 8 + 1, 1)), 16, 10) as int)"
         is_set = F.expr(f"(shiftright({byte}, _at % 8) & 1) = 1")
-        return own.join(few, ["_file", "_part"]).filter(is_set).select(scan.columns)
+        if inside:
+            kept = own.join(few, ["_file", "_part"]).filter(is_set)
+        else:
+            kept = own.join(few, ["_file", "_part"], "left").filter(~F.coalesce(is_set, F.lit(False)))
+        return kept.select(placed.columns)
+
+    blocks = _blocks(maps)
+    parts = [block(files) for files in blocks]
+    if not inside:
+        # Files that no bitmap names are there whole.
+        parts.append(placed.filter(~F.col("_file").isin([file for files in blocks for file in files])))
+    return reduce(DataFrame.unionAll, parts) if parts else placed.filter(F.lit(False))
+
+
+def within(placed: DataFrame, maps: DataFrame) -> DataFrame:
+    """The rows whose bit is set, of rows with ``_file`` and ``_row``."""
+    return _parted(placed, maps, True)
 
-    parts = [block(files) for files in _blocks(maps)]
-    return reduce(DataFrame.unionAll, parts) if parts else scan.filter(F.lit(False))
+
+def without(placed: DataFrame, maps: DataFrame) -> DataFrame:
+    """The rows whose bit is not set, of rows with ``_file`` and ``_row``."""
+    return _parted(placed, maps, False)
+
+
+def at_places(scan: DataFrame, maps: DataFrame) -> DataFrame:
+    """The rows of the scan whose bit is set, with all columns."""
+    placed = scan.select("*", F.col(FILE).alias("_file"), F.col(ROW).alias("_row"))
+    return within(placed, maps).select(scan.columns)
 
 
 def fetch(scan: DataFrame, places: DataFrame) -> DataFrame:

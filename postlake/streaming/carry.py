@@ -1,23 +1,25 @@
-"""Changes carried through: a model is rewritten for the buckets whose inputs moved.
+"""Changes carried through: a model is made again for the posts whose inputs moved.
 
 Merged states (``incremental``) hold each post in one bucket, and a bucket has a version
-that rises when it is rewritten. A model of them, silver or gold, is kept in the same
-buckets. A run compares the versions of its inputs, bucket by bucket, with those the
-model was last made from, reads the buckets that differ, and writes these only. What is
-read and made again follows from what landed, not from what has been collected.
+that rises when posts of it change. A model of them, silver or gold, is kept in the same
+buckets (``state``). A run compares the versions of its inputs, bucket by bucket, with
+those the model was last made from, and asks the buckets that differ which posts have
+changed since. It reads and makes these only, and adds them as a version of the model. A
+bucket is made again whole where the model has none of it, where an input has written it
+whole since, or where most of its rows were replaced. What is read, made again and
+written follows from what landed, not from what has been collected.
 
 A carried model lies below its folder as ``data/version=RUN/bucket=B``, with a ``ledger``
-that says for each bucket which run holds it and which versions of the inputs it was made
+that says for each bucket which runs hold it and which versions of the inputs it was made
 from. The ledger is written last: a run that fails before leaves the model as it was, and
-the next run overwrites its folder. Older versions may be removed at any time. One run at
-a time may write a model. All states of a chain have the same number of buckets; the
-driver sees one row per bucket, and no more.
+the next run overwrites its folder. One run at a time may write a model. All states of a
+chain have the same number of buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,44 +27,8 @@ from pyspark.sql import types as T
 
 from postlake.plans import models
 from postlake.schemas import RAW_POST
-from postlake.streaming.incremental import CODEC, NOTE, PLACES, bucket_of
-
-LEDGER = T.StructType(
-    [
-        T.StructField("bucket", T.IntegerType()),
-        T.StructField("run", T.LongType()),
-        T.StructField("inputs", T.MapType(T.StringType(), T.LongType())),
-    ]
-)
-
-
-@dataclass(frozen=True)
-class State:
-    """Rows by bucket under a path: merged by batches, or carried by runs."""
-
-    path: str
-    schema: T.StructType
-    carried: bool = False
-
-    def rows(self, spark: SparkSession) -> DataFrame:
-        """All versions of all buckets, with ``version`` and ``bucket``."""
-        folder = f"{self.path}/data" if self.carried else self.path
-        return spark.read.schema(T.StructType([*self.schema.fields, *PLACES])).parquet(folder)
-
-    def versions(self, spark: SparkSession) -> DataFrame:
-        """(bucket, version) that counts, for every bucket there is."""
-        if self.carried:
-            ledger = spark.read.schema(LEDGER).parquet(f"{self.path}/ledger")
-            return ledger.groupBy("bucket").agg(F.max("run").alias("version"))
-        return self.rows(spark).groupBy("bucket").agg(F.max("version").alias("version"))
-
-    def current(self, spark: SparkSession, buckets: list[int] | None = None) -> DataFrame:
-        """The rows that count; of some buckets only their folders are opened."""
-        rows, versions = self.rows(spark), self.versions(spark)
-        if buckets is not None:
-            rows = rows.filter(F.col("bucket").isin(buckets))
-        known = rows.join(F.broadcast(versions), ["bucket", "version"], "left_semi")
-        return known.select(self.schema.fieldNames())
+from postlake.streaming.incremental import NOTE
+from postlake.streaming.state import TOUCHED, Head, State
 
 
 def carry(
@@ -72,34 +38,64 @@ def carry(
     buckets: int,
     build: Callable[[dict[str, DataFrame]], DataFrame],
 ) -> list[int]:
-    """Bring the target up to its inputs; returns the buckets that were made again.
+    """Bring the target up to its inputs; returns the buckets of which posts were made again.
 
     ``build`` makes the model from the inputs' rows by name, and must make the rows of a
     post from that post's rows alone.
     """
-    for folder, schema in (("data", target.schema), ("ledger", LEDGER)):
-        # An empty append makes the folder that the first run would miss.
-        spark.createDataFrame([], schema).write.mode("append").parquet(f"{target.path}/{folder}")
+    target.prepare(spark)
+    heads = {name: state.heads(spark) for name, state in inputs.items()}
     now: dict[int, dict[str, int]] = {}
-    for name, state in inputs.items():
-        for bucket, version in state.versions(spark).collect():
-            now.setdefault(bucket, {})[name] = version
-    ledger = spark.read.schema(LEDGER).parquet(f"{target.path}/ledger")
-    made = ledger.groupBy("bucket").agg(F.max("run"), F.max_by("inputs", "run")).collect()
+    for name, found in heads.items():
+        for bucket, head in found.items():
+            now.setdefault(bucket, {})[name] = head.version
+    made = target.ledger(spark).groupBy("bucket").agg(F.max("run"), F.max_by("inputs", "run")).collect()
     known = {bucket: versions for bucket, _, versions in made}
     changed = sorted(bucket for bucket, versions in now.items() if known.get(bucket) != versions)
     if not changed:
         return []
     run = 1 + max((number for _, number, _ in made), default=0)
-    model = build({name: state.current(spark, changed) for name, state in inputs.items()})
-    model = model.select(target.schema.fieldNames()).withColumn("bucket", bucket_of(buckets))
-    writer = model.write.mode("overwrite").partitionBy("bucket")
-    writer.parquet(f"{target.path}/data/version={run}", compression=CODEC)
-    rows = [(bucket, run, now[bucket]) for bucket in changed]
-    spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("append").parquet(f"{target.path}/ledger")
+    own = target.heads(spark)
+    whole = set(target.worn(spark, changed, own)) | {b for b in changed if b not in known}
+    for name, found in heads.items():
+        whole |= {b for b in changed if b in found and found[b].base > known.get(b, {}).get(name, found[b].base)}
+    some = [bucket for bucket in changed if bucket not in whole]
+
+    parts = []
+    if whole:
+        parts.append(build({n: state.current(spark, sorted(whole), heads[n]) for n, state in inputs.items()}))
+    places = spark.createDataFrame([], TOUCHED)
+    if some:
+        ids = [_changed_ids(spark, inputs[name], heads[name], name, known, some) for name in inputs]
+        moved = reduce(DataFrame.unionAll, ids).select(F.col("post_id").alias("_id")).distinct()
+        former = target.live(spark, some, own).select("post_id", "_file", "_row")
+        met = moved.join(former, F.col("post_id").eqNullSafe(F.col("_id")), "left")
+        places = met.select(F.col("_id").alias("post_id"), "_file", "_row")
+    touched = target.touch(spark, run, places, buckets)
+    if some:
+        parts.append(build({n: state.of_posts(spark, some, touched, heads[n]) for n, state in inputs.items()}))
+    target.store(spark, run, parts, buckets, [(b, run, now[b], b in whole) for b in changed])
     return changed
 
 
+def _changed_ids(
+    spark: SparkSession,
+    state: State,
+    heads: dict[int, Head],
+    name: str,
+    known: dict[int, dict[str, int]],
+    buckets: list[int],
+) -> DataFrame:
+    """The posts of an input that changed since the versions that are known of it."""
+    ids = spark.createDataFrame([], "post_id string")
+    first = [b for b in buckets if b in heads and name not in known[b]]
+    if first:
+        ids = ids.unionAll(state.live(spark, first, heads).select("post_id"))
+    after = {b: (known[b][name], heads[b].version) for b in buckets if b in heads and name in known[b]}
+    after = {b: (then, now) for b, (then, now) in after.items() if then != now}
+    return ids.unionAll(state.touched_ids(spark, after).select("post_id")) if after else ids
+
+
 def _schema(spark: SparkSession, build: Callable[..., DataFrame], *inputs: T.StructType) -> T.StructType:
     made = build(*(spark.createDataFrame([], schema) for schema in inputs)).schema
     return T.StructType([T.StructField(f.name, f.dataType) for f in made])
@@ -119,7 +115,7 @@ def gold_state(spark: SparkSession, path: str) -> State:
 
 
 def carry_silver(spark: SparkSession, posts: str, silver: str, buckets: int) -> list[int]:
-    """Silver of the posts that ``merge_new`` keeps. No row is shuffled."""
+    """Silver of the posts that ``merge_new`` keeps. No text is shuffled."""
     source = State(posts, RAW_POST)
     return carry(
         spark, {"posts": source}, silver_state(spark, silver), buckets, lambda rows: _silver_of(rows["posts"])
