@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,6 +114,32 @@ def gold_state(spark: SparkSession, path: str) -> State:
     return State(path, _schema(spark, models.gold, silver, NOTE), carried=True)
 
 
+# Up to so many bytes of an array are JSON text while they are shuffled.
+PACK_BYTES = 1 << 20
+ARRAYS = [f.name for f in NOTE if f.dataType == T.ArrayType(T.StringType())]
+
+
+def _packed(notes: DataFrame) -> DataFrame:
+    """Each array as (text, array), one of them null: a shuffled array has 16 bytes or more for a word.
+
+    An array that JSON would not give back as it was, with text that is no UTF-8, stays one.
+    """
+
+    def pair(name: str) -> Column:
+        words = F.array_join(name, " ")
+        fits = F.is_valid_utf8(words) & (F.octet_length(words) < PACK_BYTES)
+        return F.struct(F.when(fits, F.to_json(name)).alias("text"), F.when(~fits, F.col(name)).alias("array")).alias(name)
+
+    return notes.select([pair(f.name) if f.name in ARRAYS else F.col(f.name) for f in NOTE])
+
+
+def _unpacked(gold: DataFrame) -> DataFrame:
+    def array(name: str) -> Column:
+        return F.coalesce(F.from_json(f"{name}.text", "array<string>"), F.col(f"{name}.array")).alias(name)
+
+    return gold.select([array(c) if c in ARRAYS else F.col(c) for c in gold.columns])
+
+
 def carry_silver(spark: SparkSession, posts: str, silver: str, buckets: int) -> list[int]:
     """Silver of the posts that ``merge_new`` keeps. No text is shuffled."""
     source = State(posts, RAW_POST)
@@ -127,6 +153,6 @@ def carry_gold(spark: SparkSession, silver: str, notes: str, gold: str, buckets:
     inputs = {"silver": silver_state(spark, silver), "notes": State(notes, NOTE)}
 
     def build(rows: dict[str, DataFrame]) -> DataFrame:
-        return models.gold(rows["silver"], rows["notes"])
+        return _unpacked(models.gold(rows["silver"], _packed(rows["notes"])))
 
     return carry(spark, inputs, gold_state(spark, gold), buckets, build)

@@ -148,3 +148,20 @@ def test_posts_may_be_shaped_from_landed_rows(spark, make_raw, tmp_path):
     incremental.merge_new(spark, landed, RAW_POST, target, progress, 4, shape)
     found = {r.post_id: r.score for r in incremental.merged_posts(spark, target).collect()}
     assert found == {"a": 1, "a2": 1, "b": 2, "b2": 2}
+
+
+def test_arrays_come_back_from_the_shuffle_as_they_were(spark, make_annotations, monkeypatch):
+    monkeypatch.setattr(carry, "PACK_BYTES", 100)
+    lists = [None, [], [None], [""], ['a "b"', None, "\\n\n", "é☃\u0001"], ["w" * 200], ["x"] * 5]
+    notes = make_annotations(*[{"post_id": f"p{i}", "keywords": words} for i, words in enumerate(lists)])
+    broken = F.array(F.decode(F.unhex(F.lit("61")), "UTF-8"), F.unhex(F.lit("61C3")).cast("string"), F.unhex(F.lit("A9")).cast("string"))
+    notes = notes.unionAll(notes.limit(1).withColumns({"post_id": F.lit("b"), "keywords": broken}))
+    assert set(carry.ARRAYS) == {"secondary_topics", "keywords", "safety_flags"}
+    again = carry._unpacked(carry._packed(notes))
+    assert again.schema["keywords"].dataType == notes.schema["keywords"].dataType
+
+    def bits(df):
+        words = F.transform("keywords", lambda word: F.hex(word.cast("binary")))
+        return {r[0]: r[1] for r in df.select("post_id", words).collect()}
+
+    assert bits(again) == bits(notes) and len(bits(notes)) == 8
